@@ -1,0 +1,8 @@
+"""pacecast.streaming - intentionally empty.
+
+The forecast is a batch procedure: it has no watermarks, event-time
+windows, state stores or late-data handling. Late data is handled by
+design - on the 1st of a month the whole previous month is recomputed
+(``pacecast.plans.pipeline.run_day``), and any slice can be re-run
+idempotently. There is therefore no Structured Streaming operator to build.
+"""
