@@ -57,7 +57,7 @@ def _mapping(spark: SparkSession, rows: list[tuple], schema: StructType) -> Data
 # ---------------------------------------------------------------- O3 ---------
 
 def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
-                  bucket: str = "minute") -> DataFrame:
+                  bucket_minutes: int = 1) -> DataFrame:
     """Per (keys, day): the largest row value and the month-to-date sum.
 
     The month-to-date figure is a running sum ordered by ``ts_col`` within
@@ -81,7 +81,8 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
         per_ts = (df.groupBy(*keys, ts.alias("_ts"))
                   .agg(F.sum(v).alias("_tot"), F.max(F.col(value_col)).alias("_max"))
                   .withColumn("date", F.col("_ts").cast("date"))
-                  .withColumn("_bucket", F.date_trunc(bucket, F.col("_ts"))))
+                  .withColumn("_bucket", ((F.hour("_ts") * 60 + F.minute("_ts"))
+                                          / F.lit(bucket_minutes)).cast("int")))
         in_bucket = (Window.partitionBy(*day_keys, "_bucket").orderBy("_ts")
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         per_bucket = (per_ts.withColumn("_run", F.sum("_tot").over(in_bucket))
