@@ -23,6 +23,7 @@ from ..operators.lookup import period_lookup
 from ..operators.series import KEYS, metric_series
 from ..sources.standins import Inputs, standin_inputs
 from ..sources.store import read_output, write_slice
+from ..session import materialize
 from ..sources.tables import TableSet
 
 OUTPUT_COLUMNS = [
@@ -71,11 +72,13 @@ def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
     """
     self_history = isinstance(history, str) and history == "self"
     first = py_add_months(py_month_start(lo), -1) if self_history else lo
-    series = metric_series(spark, inputs, history_start(first))
+    series = materialize(metric_series(spark, inputs, history_start(first)), "daily-series")
     n = (hi - first).days
     spine = spine_for_anchors(anchor_range(spark, first, hi), own_month_shift=own_month_shift)
     months = (py_month_start(first), py_month_start(hi - dt.timedelta(days=1)))
     frame = forecast_frame(series, spine, n, months)
+    if self_history:
+        frame = materialize(frame, "forecast-frame")
     prev_range = _prev_range(lo, hi)
     out = lookback_accuracy(frame, frame if self_history else history, prev_range)
     return (out.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))

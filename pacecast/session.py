@@ -63,6 +63,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` to a fresh Parquet folder in the shared folder and read it back.
+
+    Used after the heavy aggregations, where the result is small (a daily
+    series, a forecast frame): it is computed once even when read by
+    several branches, later stages never recompute the raw-data work after
+    a lost executor, and the read-back carries real file sizes for AQE.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _count():
     i = 0
     while True:

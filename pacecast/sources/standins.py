@@ -120,36 +120,43 @@ def acceptor_grouping_sets(full: bool) -> list[list[str]]:
 
 def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
                              sets: list[list[str]], user_col: str,
-                             sums: dict[str, Column], prefix: list[str]) -> DataFrame:
-    """Grouping-set cube by ``time_col`` with daily/MTD users, rows and sums.
-
-    Unique users month-to-date cannot be summed from days; each user is
-    counted on its first ``time_col`` of the month (grouped by user, so a
-    hot member is spread over tasks by the user key), then running-summed.
+                             sums: dict[str, str], prefix: list[str]) -> DataFrame:
+    """Grouping-set cube by ``time_col`` with distinct users, rows and sums,
+    each also month-to-date.
+
+    One pass: every detail row is exploded into the slices it belongs to
+    (rolled-up members = ALL), aggregated once per (time, slice, user); a
+    user counts as new on its first time of the month (a window over the
+    (month, slice, user) key, at most one month of rows each, so neither a
+    hot slice nor a hot user lands in one task); then per (time, slice) the
+    distinct users are the row count, and the month-to-date figures are
+    running sums over a (slice, month) window of at most one month of rows.
+    Unique users month-to-date cannot be summed from daily figures; this
+    counts each user exactly once per month and slice.
     """
-    grouped = [prefix + [time_col] + s for s in sets]
-    daily = (detail.groupingSets(grouped, *(prefix + [time_col] + dims))
-             .agg(F.count_distinct(user_col).alias("users_daily"),
-                  F.count(F.lit(1)).alias("tx_daily"),
-                  *[agg.alias(name) for name, agg in sums.items()]))
-    firsts = (detail.groupBy(*(prefix + ["_month", user_col] + dims))
-              .agg(F.min(time_col).alias("_first")))
-    first_sets = [prefix + ["_month", user_col] + s for s in sets]
-    newcomers = (firsts.groupingSets(first_sets, *(prefix + ["_month", user_col] + dims))
-                 .agg(F.min("_first").alias(time_col))
-                 .groupBy(*(prefix + [time_col] + dims))
-                 .agg(F.count(F.lit(1)).alias("_new")))
-    fill = {d: F.coalesce(F.col(d), F.lit(ALL)).alias(d) for d in dims}
-    daily = daily.select(*prefix, time_col, *fill.values(), "users_daily", "tx_daily", *sums)
-    newcomers = newcomers.select(*prefix, time_col, *fill.values(), "_new")
-    month = F.trunc(F.col(time_col).cast("date"), "MM")
-    mtd = (Window.partitionBy(*(prefix + dims), month).orderBy(time_col)
+    members = F.explode(F.array(*[
+        F.struct(*[(F.col(d) if d in s else F.lit(ALL)).cast("int").alias(d) for d in dims])
+        for s in sets])).alias("_slice")
+    inputs = list(dict.fromkeys(sums.values()))
+    sliced = (detail.select(*prefix, time_col, "_month", user_col, *inputs, members)
+              .select(*prefix, time_col, "_month", user_col, *inputs, "_slice.*"))
+    per_user = (sliced.groupBy(*prefix, time_col, "_month", *dims, user_col)
+                .agg(F.count(F.lit(1)).alias("_tx"),
+                     *[F.sum(c).alias(f"_s_{c}") for c in inputs]))
+    first_seen = Window.partitionBy(*prefix, "_month", *dims, user_col)
+    per_user = per_user.withColumn(
+        "_new", (F.col(time_col) == F.min(time_col).over(first_seen)).cast("int"))
+    daily = (per_user.groupBy(*prefix, time_col, "_month", *dims)
+             .agg(F.count(F.lit(1)).alias("users_daily"),
+                  F.sum("_new").alias("_new"),
+                  F.sum("_tx").alias("tx_daily"),
+                  *[F.sum(f"_s_{c}").cast(MONEY).alias(name) for name, c in sums.items()]))
+    mtd = (Window.partitionBy(*prefix, *dims, "_month").orderBy(time_col)
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = daily.join(newcomers, prefix + [time_col] + dims, "left")
-    return joined.select(
+    return daily.select(
         *prefix, time_col, *dims,
         "users_daily",
-        F.sum(F.coalesce("_new", F.lit(0))).over(mtd).alias("users_mtd"),
+        F.sum("_new").over(mtd).alias("users_mtd"),
         "tx_daily",
         F.sum("tx_daily").over(mtd).alias("tx_mtd"),
         *[c for name in sums for c in (F.col(name), F.sum(name).over(mtd).cast(MONEY).alias(
@@ -185,7 +192,7 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                       .otherwise(F.col("price")).alias("net")))
     return _cube_with_month_to_date(
         detail, "date", ACCEPTOR_DIMS, acceptor_grouping_sets(full), "o_custkey",
-        {"net_volume_daily": F.sum("net").cast(MONEY)}, prefix=[])
+        {"net_volume_daily": "net"}, prefix=[])
 
 
 # ------------------------------------------------------------ hourly_cube ----
