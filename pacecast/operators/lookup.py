@@ -34,7 +34,8 @@ def role_dates(spine: DataFrame) -> DataFrame:
     return spine.selectExpr(*CARRIED, f"stack({len(PTD_ROLES)}, {pairs}) as (role, role_date)")
 
 
-def alive_pairs(series: DataFrame, spine: DataFrame, months: tuple[dt.date, dt.date]) -> DataFrame:
+def alive_pairs(series: DataFrame, spine: DataFrame, months: tuple[dt.date, dt.date],
+                n_anchors: int | None = None) -> DataFrame:
     """(anchor, series) pairs where the series has a row on/after the
     anchor's history start (first day of the month three months back).
 
@@ -50,7 +51,9 @@ def alive_pairs(series: DataFrame, spine: DataFrame, months: tuple[dt.date, dt.d
                                                     F.expr("interval 1 month")))
                         .alias("period_start")))
     anchors = spine.select(*CARRIED, "period_start")
-    return expanded.join(F.broadcast(anchors), "period_start").drop("period_start")
+    if n_anchors is not None and n_anchors <= MAX_BROADCAST_ANCHORS:
+        anchors = F.broadcast(anchors)
+    return expanded.join(anchors, "period_start").drop("period_start")
 
 
 def run_months(spine: DataFrame) -> tuple[dt.date, dt.date]:
@@ -75,7 +78,7 @@ def period_lookup(series: DataFrame, spine: DataFrame, n_anchors: int | None = N
         roles = F.broadcast(roles)
     hits = (series.join(roles, series["date"] == roles["role_date"])
             .select(*CARRIED, *KEYS, "role", "value", "value_ptd"))
-    alive = alive_pairs(series, spine, months).select(
+    alive = alive_pairs(series, spine, months, n_anchors).select(
         *CARRIED, *KEYS, F.lit(None).cast("string").alias("role"),
         F.lit(None).cast(series.schema["value"].dataType).alias("value"),
         F.lit(None).cast(series.schema["value_ptd"].dataType).alias("value_ptd"))

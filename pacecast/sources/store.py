@@ -1,7 +1,7 @@
 """The forecast table - Parquet partitioned by ``date``.
 
-A run replaces the days ``[lo, hi)``: the rows are first checkpointed into
-the shared checkpoint folder (cutting the lineage, which may read earlier
+A run replaces the days ``[lo, hi)``: the rows are first staged as Parquet
+in the shared checkpoint folder (cutting the lineage, which may read earlier
 partitions of the same table, and making the write retry-safe), then
 written with *dynamic* partition overwrite so only the slice's day
 partitions are swapped, each committed by Spark's output committer. Days
@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import materialize
 
 
 def _fs(spark: SparkSession, path: str):
@@ -57,11 +57,10 @@ def write_slice(df: DataFrame, path: str, lo: dt.date, hi: dt.date,
     Returns the days written. Rows outside the slice are never written.
     """
     spark = df.sparkSession
-    shared_dir(spark)
     rows = df.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
     if columns:
         rows = rows.select(*columns)
-    staged = rows.checkpoint(eager=True)
+    staged = materialize(rows, "slice-staging")
     # at most one row per day of the slice reaches the driver
     written = sorted(r["date"] for r in staged.select("date").distinct().collect())
     (staged.write.mode("overwrite")
