@@ -327,6 +327,35 @@ P_ROLES = {"anchor": "anchor", "p1": "p1", "p2": "p2", "p3": "p3", "m1": "m1", "
 V_ROLES = ["e1", "e2", "e3"]
 
 
+def role_lookup_ctes(anchor_rel: str) -> list[str]:
+    """Role-date form: spine unpivoted to (anchor, role, day), equi-joined on
+    the day; series alive from their last day. For long anchor ranges."""
+    roles = " UNION ALL ".join(
+        f"SELECT anchor, history_start, x1, x2, x3, days_in_month, '{k}' AS role, {r} AS d FROM spine"
+        for k, r in P_ROLES.items())
+    keys = KEYS.split(", ")
+    p = ",\n    ".join(f"MAX(CASE WHEN role = '{k}' THEN value_ptd END) AS P_{k}" for k in P_ROLES)
+    v = ",\n    ".join(f"MAX(CASE WHEN role = '{r}' THEN value END) AS V_{r}" for r in V_ROLES)
+    return [
+        f"spine AS ({spine_select(anchor_rel)})",
+        f"roles AS ({roles})",
+        f"""hits AS (
+  SELECT r.anchor, r.x1, r.x2, r.x3, r.days_in_month, {", ".join("s." + k for k in keys)}, r.role, s.value, s.value_ptd
+  FROM roles r JOIN series_rows s ON s.date = r.d)""",
+        f"""alive AS (
+  SELECT sp.anchor, sp.x1, sp.x2, sp.x3, sp.days_in_month, {", ".join("k." + c for c in keys)},
+         CAST(NULL AS VARCHAR) AS role, CAST(NULL AS DECIMAL(21,2)) AS value, CAST(NULL AS DECIMAL(31,2)) AS value_ptd
+  FROM spine sp JOIN (SELECT {KEYS}, MAX(date) AS last_date FROM series_rows GROUP BY ALL) k
+    ON k.last_date >= sp.history_start)""",
+        f"""lookups AS (
+  SELECT anchor AS date, x1, x2, x3, days_in_month, {KEYS},
+    {p},
+    {v}
+  FROM (SELECT * FROM hits UNION ALL SELECT * FROM alive)
+  GROUP BY ALL)""",
+    ]
+
+
 def lookup_ctes(lo: dt.date, hi: dt.date, own_month_shift: bool = False) -> list[str]:
     """Conditional aggregate over every series row on/after the history start."""
     p = ",\n    ".join(f"MAX(CASE WHEN s.date = sp.{r} THEN s.value_ptd END) AS P_{k}"
@@ -445,6 +474,23 @@ def forecast_sql(lo: dt.date, hi: dt.date, columns: list[str] | None = None,
     first = py_add_months(py_month_start(lo), -1) if self_history else lo
     since = py_add_months(py_month_start(first), -3)
     ctes = series_ctes(since, parts) + lookup_ctes(first, hi, own_month_shift) + arithmetic_ctes()
+    return _forecast_tail(ctes, f"date >= {d(lo)} AND date < {d(hi)}", columns, self_history)
+
+
+def backfill_all_days_sql() -> str:
+    """Every day of lineitem's ship-date range (plus the month before, for the
+    look-back), role-date lookup form."""
+    bounds = ("bounds AS (SELECT MIN(CAST(l_shipdate AS DATE)) AS lo, "
+              "MAX(CAST(l_shipdate AS DATE)) AS hi FROM lineitem)")
+    anchors = ("(SELECT CAST(g AS DATE) AS a FROM bounds, generate_series("
+               "CAST(date_trunc('month', lo) - INTERVAL 1 MONTH AS DATE), hi, INTERVAL 1 DAY) t(g))")
+    ctes = series_ctes(None) + [bounds] + role_lookup_ctes(anchors) + arithmetic_ctes()
+    return _forecast_tail(ctes, "date >= (SELECT lo FROM bounds) AND date <= (SELECT hi FROM bounds)",
+                          None, True)
+
+
+def _forecast_tail(ctes: list[str], where: str, columns: list[str] | None,
+                   self_history: bool) -> str:
     cols = final_columns()
     pre = {k: v for k, v in cols.items() if k not in ("acc_prev_m1", "acc_prev_linear")}
     body = ",\n  ".join(f"{v} AS {k}" for k, v in pre.items())
@@ -461,7 +507,7 @@ def forecast_sql(lo: dt.date, hi: dt.date, columns: list[str] | None = None,
                     "CAST(NULL AS DECIMAL(20,6)) AS acc_prev_linear FROM fc)")
     want = columns or OUTPUT
     sel = ", ".join(want)
-    return with_(ctes, f"SELECT {sel} FROM fc2 WHERE date >= {d(lo)} AND date < {d(hi)}")
+    return with_(ctes, f"SELECT {sel} FROM fc2 WHERE {where}")
 
 
 def run_sql(base_day: str, columns: list[str] | None = None, **kw) -> str:
@@ -566,5 +612,6 @@ def registry() -> dict[str, str]:
         "run_day_mid_all": run_sql(BASES["mid"]),
         "slice_rewrite_twice": run_sql(BASES["mar"], self_history=False),
         "backfill_two_months": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1)),
+        "backfill_all_days": backfill_all_days_sql(),
     }
     return q
