@@ -57,6 +57,19 @@ def forecast_frame(series: DataFrame, spine: DataFrame, n_anchors: int | None =
     return frame.select(*PRE_LOOKBACK)
 
 
+def anchor_ranges(lo: dt.date, hi: dt.date, with_previous: bool) -> list[tuple[dt.date, dt.date]]:
+    """Day ranges ``[a, b)`` to compute: the anchors, plus (for in-job
+    history) the days one month before them - a contiguous range since
+    ``add_months`` is monotone; merged with the anchors when they touch."""
+    if not with_previous:
+        return [(lo, hi)]
+    prev_lo = py_add_months(lo, -1)
+    prev_hi = py_add_months(hi - dt.timedelta(days=1), -1) + dt.timedelta(days=1)
+    if prev_hi >= lo:
+        return [(prev_lo, hi)]
+    return [(prev_lo, prev_hi), (lo, hi)]
+
+
 def _prev_range(lo: dt.date, hi: dt.date) -> tuple[dt.date, dt.date]:
     return py_add_months(lo, -1), py_add_months(hi - dt.timedelta(days=1), -1)
 
@@ -71,10 +84,14 @@ def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
     last month's accuracy NULL.
     """
     self_history = isinstance(history, str) and history == "self"
-    first = py_add_months(py_month_start(lo), -1) if self_history else lo
+    ranges = anchor_ranges(lo, hi, self_history)
+    first = ranges[0][0]
     series = materialize(metric_series(spark, inputs, history_start(first)), "daily-series")
-    n = (hi - first).days
-    spine = spine_for_anchors(anchor_range(spark, first, hi), own_month_shift=own_month_shift)
+    n = sum((b - a).days for a, b in ranges)
+    anchors = anchor_range(spark, *ranges[0])
+    for a, b in ranges[1:]:
+        anchors = anchors.unionByName(anchor_range(spark, a, b))
+    spine = spine_for_anchors(anchors, own_month_shift=own_month_shift)
     months = (py_month_start(first), py_month_start(hi - dt.timedelta(days=1)))
     frame = forecast_frame(series, spine, n, months)
     if self_history:

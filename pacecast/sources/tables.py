@@ -29,8 +29,12 @@ class TableSet:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
-        raise AttributeError(name)
+        if name not in TABLES:
+            raise AttributeError(name)
+        # one (lazy) scan DataFrame per table: file listing and footers once
+        if name not in self._frames:
+            self._frames[name] = read_table(self.spark, self.sf_dir, name)
+        return self._frames[name]
