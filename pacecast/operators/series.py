@@ -252,8 +252,7 @@ def hourly_peak_series(cube: DataFrame, since: dt.date | None = None,
     """
     src = cube.filter((F.col("group_id") == ALL) & (F.col("company_id") == ALL))
     if since is not None:
-        src = src.filter(F.col("hour") >= F.lit(dt.datetime.combine(since, dt.time()))
-                         .cast("timestamp_ntz"))
+        src = src.filter(F.col("hour") >= F.lit(since).cast("timestamp_ntz"))
     aggs = []
     for code, (hour_col, mtd_col) in measures.items():
         aggs.append(F.max(hour_col).cast(MONEY).alias(f"v{code}"))
@@ -274,8 +273,7 @@ def row_fee_series(fee_rows: DataFrame, feature: int, measure: int, entity: int,
     """Row-grain fee report: value = a row's fee, PTD = running sum by timestamp."""
     src = fee_rows
     if since is not None:
-        src = src.filter(F.col(ts_col) >= F.lit(dt.datetime.combine(since, dt.time()))
-                         .cast("timestamp_ntz"))
+        src = src.filter(F.col(ts_col) >= F.lit(since).cast("timestamp_ntz"))
     src = src.select(F.col(ts_col), zero_if_null(F.col(value_col)).cast(MONEY).alias("v"),
                      *_keyed(feature, measure, entity))
     return _finish(month_to_date(src, KEYS, ts_col, "v"))

@@ -41,7 +41,8 @@ HOURLY_DIMS = ["group_id", "company_id"]
 
 
 def _since_ts(since: dt.date | None) -> Column | None:
-    return None if since is None else F.lit(dt.datetime.combine(since, dt.time())).cast("timestamp_ntz")
+    """Midnight of ``since`` as timestamp_ntz (a date cast: no time zone involved)."""
+    return None if since is None else F.lit(since).cast("timestamp_ntz")
 
 
 def _filter_since(df: DataFrame, ts_col: str, since: dt.date | None) -> DataFrame:

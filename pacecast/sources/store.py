@@ -63,7 +63,8 @@ def write_slice(df: DataFrame, path: str, lo: dt.date, hi: dt.date,
     staged = materialize(rows, "slice-staging")
     # at most one row per day of the slice reaches the driver
     written = sorted(r["date"] for r in staged.select("date").distinct().collect())
-    (staged.write.mode("overwrite")
+    # one file per day partition (a day holds one row per live series)
+    (staged.repartition("date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("date")
      .parquet(path))

@@ -80,3 +80,17 @@ def test_empty_slice_deletes_days_and_rows_outside_are_not_written(spark):
     write_slice(spark.createDataFrame([], schema), target, day("2024-01-02"), day("2024-01-03"))
     assert sorted(stored_days(spark, target)) == [day("2024-01-01")]
     assert [r["v"] for r in read_output(spark, target).collect()] == [1]
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from pacecast.plans.queries import registry
+    q = registry()
+    names = ["hourly_cube", "lookup_missing_days", "mtd_with_ties"]
+    base = {n: sorted(map(tuple, q[n](spark, SF_SMOKE).collect())) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for n in names:
+            assert sorted(map(tuple, q[n](spark, SF_SMOKE).collect())) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
