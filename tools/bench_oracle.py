@@ -26,7 +26,7 @@ def main():
     out = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        con.execute(sqls[name]).arrow()
+        con.sql(sqls[name]).fetchall()
         out[name] = round(time.perf_counter() - t0, 3)
     print(json.dumps({"engine": "duckdb", "sf_dir": sf, "queries": out,
                       "value": round(sum(out.values()), 3)}))
