@@ -313,8 +313,14 @@ CUBE_SLICES = [
 ]
 
 
-def metric_series(spark: SparkSession, inputs: Inputs, since: dt.date | None = None) -> DataFrame:
-    """All 37 metrics as one long daily series (one scan per input table)."""
+def metric_series(spark: SparkSession, inputs: Inputs, since: dt.date | None = None,
+                  as_of: dt.date | None = None) -> DataFrame:
+    """All 37 metrics as one long daily series (one scan per input table).
+
+    By default there is no upper date bound: rows after the anchors count
+    (they keep a series alive and fill month ends). ``as_of`` keeps only
+    days before it.
+    """
     parts = [
         pair_total_series(inputs.card_daily, CARD_PAIRS, since),
         coded_series(spark, inputs.entry_type_daily, CODED_METRICS, since),
@@ -325,4 +331,4 @@ def metric_series(spark: SparkSession, inputs: Inputs, since: dt.date | None = N
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out if as_of is None else out.filter(F.col("date") < F.lit(as_of))

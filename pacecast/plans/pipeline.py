@@ -76,17 +76,19 @@ def _prev_range(lo: dt.date, hi: dt.date) -> tuple[dt.date, dt.date]:
 
 def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
                   history: DataFrame | str | None = "self",
-                  own_month_shift: bool = False) -> DataFrame:
+                  own_month_shift: bool = False, as_of: dt.date | None = None) -> DataFrame:
     """The 43-column rows of the anchor days ``[lo, hi)``.
 
     ``history``: ``"self"`` computes the previous month in the same job,
     a DataFrame (e.g. the stored table) is read for it, ``None`` leaves
-    last month's accuracy NULL.
+    last month's accuracy NULL. ``as_of`` ignores series days from it on
+    (the default, like the reference, has no upper bound).
     """
     self_history = isinstance(history, str) and history == "self"
     ranges = anchor_ranges(lo, hi, self_history)
     first = ranges[0][0]
-    series = materialize(metric_series(spark, inputs, history_start(first)), "daily-series")
+    series = materialize(metric_series(spark, inputs, history_start(first), as_of),
+                         "daily-series")
     n = sum((b - a).days for a, b in ranges)
     anchors = anchor_range(spark, *ranges[0])
     for a, b in ranges[1:]:
@@ -103,7 +105,8 @@ def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
 
 
 def run_day(spark: SparkSession, tables: TableSet, base_day: str | dt.date,
-            target: str | None = None, own_month_shift: bool = False) -> DataFrame:
+            target: str | None = None, own_month_shift: bool = False,
+            as_of: str | dt.date | None = None) -> DataFrame:
     """What the daily procedure does for ``base_day``.
 
     With ``target`` the slice is written to that table (reading last month's
@@ -111,11 +114,12 @@ def run_day(spark: SparkSession, tables: TableSet, base_day: str | dt.date,
     returned and last month is computed in the same job.
     """
     lo, hi = run_window(base_day)
-    inputs = standin_inputs(tables, history_start(py_add_months(lo, -1)))
+    as_of = as_date(as_of) if as_of is not None else None
+    inputs = standin_inputs(tables, history_start(py_add_months(lo, -1)), until=as_of)
     if target is None:
-        return forecast_days(spark, inputs, lo, hi, "self", own_month_shift)
+        return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of)
     stored = read_output(spark, target, OUTPUT_COLUMNS)
-    rows = forecast_days(spark, inputs, lo, hi, stored, own_month_shift)
+    rows = forecast_days(spark, inputs, lo, hi, stored, own_month_shift, as_of)
     write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
     return stored_slice(spark, target, lo, hi, rows)
 

@@ -45,10 +45,16 @@ def _since_ts(since: dt.date | None) -> Column | None:
     return None if since is None else F.lit(since).cast("timestamp_ntz")
 
 
-def _filter_since(df: DataFrame, ts_col: str, since: dt.date | None) -> DataFrame:
-    """Lower bound on the raw timestamp column, so it reaches the Parquet scan."""
+def _filter_since(df: DataFrame, ts_col: str, since: dt.date | None,
+                  until: dt.date | None = None) -> DataFrame:
+    """Bounds on the raw timestamp column (``since`` inclusive, ``until``
+    exclusive), so they reach the Parquet scan."""
     bound = _since_ts(since)
-    return df if bound is None else df.filter(F.col(ts_col) >= bound)
+    if bound is not None:
+        df = df.filter(F.col(ts_col) >= bound)
+    if until is not None:
+        df = df.filter(F.col(ts_col) < _since_ts(until))
+    return df
 
 
 def _month(col: str) -> Column:
@@ -62,12 +68,13 @@ def _lookup(mapping: dict, key: Column) -> Column:
 
 # ------------------------------------------------------------ card_daily -----
 
-def card_daily(lineitem: DataFrame, since: dt.date | None = None) -> DataFrame:
+def card_daily(lineitem: DataFrame, since: dt.date | None = None,
+               until: dt.date | None = None) -> DataFrame:
     """Daily card report: online ('O') and offline ('F') volume and count.
 
     A side absent on a day is NULL, as in a report table.
     """
-    li = _filter_since(lineitem, "l_shipdate", since).select(
+    li = _filter_since(lineitem, "l_shipdate", since, until).select(
         F.to_date("l_shipdate").alias("date"),
         F.col("l_linestatus").alias("status"),
         money("l_extendedprice").alias("price"))
@@ -81,11 +88,12 @@ def card_daily(lineitem: DataFrame, since: dt.date | None = None) -> DataFrame:
 
 # ------------------------------------------------------ entry_type_daily -----
 
-def entry_type_daily(lineitem: DataFrame, since: dt.date | None = None) -> DataFrame:
+def entry_type_daily(lineitem: DataFrame, since: dt.date | None = None,
+                     until: dt.date | None = None) -> DataFrame:
     """Daily volume and fee per entry-type code, with month-to-date columns."""
     code = F.element_at(F.array(*[F.lit(c) for c in ENTRY_TYPE_CODES]),
                         (F.col("l_suppkey") % 10 + 1).cast("int"))
-    daily = (_filter_since(lineitem, "l_shipdate", since)
+    daily = (_filter_since(lineitem, "l_shipdate", since, until)
              .select(F.to_date("l_shipdate").alias("date"), code.alias("type_code"),
                      money("l_extendedprice").alias("price"), money("l_quantity").alias("qty"))
              .groupBy("date", "type_code")
@@ -102,9 +110,10 @@ def entry_type_daily(lineitem: DataFrame, since: dt.date | None = None) -> DataF
 
 # --------------------------------------------------------------- fee_rows ----
 
-def fee_rows(orders: DataFrame, since: dt.date | None = None) -> DataFrame:
+def fee_rows(orders: DataFrame, since: dt.date | None = None,
+             until: dt.date | None = None) -> DataFrame:
     """Row-grain fee report; many rows share a timestamp (peers in a window)."""
-    return _filter_since(orders, "o_orderdate", since).select(
+    return _filter_since(orders, "o_orderdate", since, until).select(
         F.col("o_orderdate").alias("created_at"), money("o_totalprice").alias("fee"))
 
 
@@ -166,14 +175,14 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
 
 def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                   supplier: DataFrame, since: dt.date | None = None,
-                  full: bool = True) -> DataFrame:
+                  full: bool = True, until: dt.date | None = None) -> DataFrame:
     """Card-acceptor cube: members acceptor (supplier), category (customer
     segment), abroad (nations differ), offline (status 'F'); 10000 = all.
 
     ``full=False`` builds only the grouping sets the forecast reads
     (acceptor and category rolled up), which is all the branch filters see.
     """
-    li = _filter_since(lineitem, "l_shipdate", since).select(
+    li = _filter_since(lineitem, "l_shipdate", since, until).select(
         "l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("date"),
         "l_linestatus", "l_returnflag", money("l_extendedprice").alias("price"))
     detail = (li.join(orders.select("o_orderkey", "o_custkey"),
@@ -198,7 +207,8 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
 
 # ------------------------------------------------------------ hourly_cube ----
 
-def hourly_cube(events: DataFrame, since: dt.date | None = None, full: bool = True) -> DataFrame:
+def hourly_cube(events: DataFrame, since: dt.date | None = None, full: bool = True,
+                until: dt.date | None = None) -> DataFrame:
     """Hourly bill / game / travel-card cubes in one frame (``feature`` column).
 
     Members: group (event type) and company (user_id % 10 + 1); 10000 = all.
@@ -207,7 +217,7 @@ def hourly_cube(events: DataFrame, since: dt.date | None = None, full: bool = Tr
     ts = F.col("ts")
     hour = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
                                 F.lit(0), F.lit(0))
-    detail = _filter_since(events, "ts", since).select(
+    detail = _filter_since(events, "ts", since, until).select(
         _lookup(EVENT_FEATURE, F.col("event_type")).cast("int").alias("feature"),
         hour.alias("hour"),
         F.trunc(ts.cast("date"), "MM").alias("_month"),
@@ -233,12 +243,16 @@ class Inputs:
 
 
 def standin_inputs(tables: TableSet, since: dt.date | None = None,
-                   full_cubes: bool = False) -> Inputs:
-    """All stand-in inputs; cubes hold only the read slices unless ``full_cubes``."""
+                   full_cubes: bool = False, until: dt.date | None = None) -> Inputs:
+    """All stand-in inputs; cubes hold only the read slices unless ``full_cubes``.
+
+    ``until`` (exclusive) drops later rows at the scan; figures of earlier
+    days do not change (month-to-date sums only look back).
+    """
     return Inputs(
-        card_daily=card_daily(tables.lineitem, since),
-        entry_type_daily=entry_type_daily(tables.lineitem, since),
-        fee_rows=fee_rows(tables.orders, since),
+        card_daily=card_daily(tables.lineitem, since, until),
+        entry_type_daily=entry_type_daily(tables.lineitem, since, until),
+        fee_rows=fee_rows(tables.orders, since, until),
         acceptor_cube=acceptor_cube(tables.lineitem, tables.orders, tables.customer,
-                                    tables.supplier, since, full=full_cubes),
-        hourly_cube=hourly_cube(tables.events, since, full=full_cubes))
+                                    tables.supplier, since, full=full_cubes, until=until),
+        hourly_cube=hourly_cube(tables.events, since, full=full_cubes, until=until))

@@ -103,3 +103,39 @@ def test_week_start_probe_outside_calendar_is_null(spark):
     days = spark.createDataFrame([(dt.date(2023, 12, 1),)], "day date")
     row = week_start(cal, days).collect()[0]
     assert row["week_start"] is None
+
+
+def _model(a: dt.date, own: bool = False) -> dict:
+    """Plain-Python statement of the role dates of one anchor."""
+    def last_day(d):
+        nxt = (d.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        return nxt - dt.timedelta(days=1)
+    s0 = a.replace(day=1)
+    e = {0: last_day(a)}
+    for k in (1, 2, 3):
+        e[k] = last_day(py_add_months(s0, -k))
+    diff = {k: e[0].day - e[k].day for k in (1, 2, 3)}
+    out = {"period_start": s0, "history_start": py_add_months(s0, -3),
+           "days_in_month": e[0].day}
+    for k in (1, 2, 3):
+        out[f"p{k}"] = py_add_months(a, -k)
+        out[f"e{k}"] = e[k]
+        out[f"x{k}"] = max(diff[k], 0)
+    out["e0"] = e[0]
+    out["m1"] = e[1] + dt.timedelta(days=min(diff[1], 0))
+    out["m2"] = e[2] + dt.timedelta(days=min(diff[2], 0))
+    out["m3"] = e[3] + dt.timedelta(days=min(diff[3] if own else diff[1], 0))
+    return out
+
+
+def test_spine_matches_model_on_every_day(spark):
+    days = []
+    for start, end in ((dt.date(1999, 1, 1), dt.date(2001, 12, 31)),
+                       (dt.date(2099, 1, 1), dt.date(2101, 12, 31))):
+        days += [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+    df = spark.createDataFrame([(d,) for d in days], "anchor date")
+    for own in (False, True):
+        for r in spine_for_anchors(df, own_month_shift=own).collect():
+            want = _model(r["anchor"], own)
+            got = {k: r[k] for k in want}
+            assert got == want, r["anchor"]

@@ -94,3 +94,16 @@ def test_results_do_not_depend_on_session_time_zone(spark):
             assert sorted(map(tuple, q[n](spark, SF_SMOKE).collect())) == base[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_as_of_drops_future_rows(spark):
+    tables = TableSet(spark, SF_SMOKE)
+    default = {(r["feature"], r["measure"]): r for r in run_day(spark, tables, "1998-04-15").collect()}
+    capped = {(r["feature"], r["measure"]): r
+              for r in run_day(spark, tables, "1998-04-15", as_of="1998-04-15").collect()}
+    # the hourly series (2024 data) only reach a 1998 window through future rows
+    assert set(default) - set(capped) == {(5, 0), (5, 4), (6, 0), (6, 4), (7, 0), (7, 4)}
+    for key, row in capped.items():
+        assert row["eop_realised"] is None                 # April is not over on the 15th
+        assert row["ptd"] == default[key]["ptd"]            # figures up to the anchor unchanged
+        assert row["exp_m1"] == default[key]["exp_m1"]

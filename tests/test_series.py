@@ -111,3 +111,19 @@ def test_row_fee_series_ties_are_peers(spark):
                                "created_at timestamp_ntz, fee decimal(20,2)")
     got = {r["date"]: (r["value"], r["value_ptd"]) for r in row_fee_series(df, 3, 6, 2).collect()}
     assert got == {day("2024-01-05"): (D(4), D(7)), day("2024-01-06"): (D(0), D(7))}
+
+
+def test_ptd_at_month_end_is_the_month_sum(spark):
+    from conftest import SF_SMOKE
+    from pyspark.sql import functions as F
+    from pacecast.functions.decimals import money
+    li = spark.read.parquet(f"{SF_SMOKE}/lineitem.parquet").select(
+        "l_returnflag", "l_shipdate", money("l_extendedprice").alias("price"))
+    mtd = month_to_date(li, ["l_returnflag"], "l_shipdate", "price")
+    last = (mtd.groupBy("l_returnflag", F.trunc("date", "MM").alias("m"))
+            .agg(F.max_by("value_ptd", "date").alias("ptd_end")))
+    sums = (li.groupBy("l_returnflag", F.trunc(F.to_date("l_shipdate"), "MM").alias("m"))
+            .agg(F.sum("price").alias("total")))
+    joined = last.join(sums, ["l_returnflag", "m"], "full")
+    assert joined.filter(F.col("ptd_end").isNull() | F.col("total").isNull()
+                         | (F.col("ptd_end") != F.col("total"))).count() == 0
