@@ -56,18 +56,19 @@ def _mapping(spark: SparkSession, rows: list[tuple], schema: StructType) -> Data
 
 # ---------------------------------------------------------------- O3 ---------
 
-def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
-                  bucket_minutes: int = 1) -> DataFrame:
+def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str) -> DataFrame:
     """Per (keys, day): the largest row value and the month-to-date sum.
 
     The month-to-date figure is a running sum ordered by ``ts_col`` within
     (keys, year, month) where tied timestamps are peers; a day's figure is
     the largest running sum reached on that day. Rather than one window per
-    month (one task per month), it is computed as a three-level scan:
-    running sums inside small time buckets, then across a day's buckets,
-    then across a month's days. Each level's window holds a bounded number
-    of rows (one timestamp's, one day's buckets, one month's days). For a
-    date-grain ``ts_col`` the first two levels collapse.
+    month (one task holding a month of rows), it is a three-level scan:
+    ties are first summed per timestamp (map-side partial aggregation), then
+    running sums run inside one-second buckets, across a day's buckets, and
+    across a month's days. Every window partition is bounded by the clock,
+    not by the data: at most 10^6 distinct microsecond timestamps, 86,400
+    seconds, or 31 days - so a hot month, day or minute cannot land in one
+    task. For a date-grain ``ts_col`` the first two levels collapse.
     """
     v = zero_if_null(F.col(value_col))
     is_date = dict(df.dtypes)[ts_col] == "date"
@@ -81,8 +82,8 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
         per_ts = (df.groupBy(*keys, ts.alias("_ts"))
                   .agg(F.sum(v).alias("_tot"), F.max(F.col(value_col)).alias("_max"))
                   .withColumn("date", F.col("_ts").cast("date"))
-                  .withColumn("_bucket", ((F.hour("_ts") * 60 + F.minute("_ts"))
-                                          / F.lit(bucket_minutes)).cast("int")))
+                  .withColumn("_bucket", F.hour("_ts") * 3600 + F.minute("_ts") * 60
+                              + F.second("_ts")))
         in_bucket = (Window.partitionBy(*day_keys, "_bucket").orderBy("_ts")
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         per_bucket = (per_ts.withColumn("_run", F.sum("_tot").over(in_bucket))
