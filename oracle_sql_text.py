@@ -615,3 +615,12 @@ def registry() -> dict[str, str]:
         "backfill_all_days": backfill_all_days_sql(),
     }
     return q
+
+
+def forecast_from_series_sql(lo: dt.date, hi: dt.date) -> str:
+    """Forecast (41 columns, no look-back) of anchors ``[lo, hi)`` over an
+    existing relation ``series_rows`` (date, keys, value, value_ptd)."""
+    ctes = lookup_ctes(lo, hi) + arithmetic_ctes()
+    cols = {k: v for k, v in final_columns().items() if k not in ("acc_prev_m1", "acc_prev_linear")}
+    body = ",\n  ".join(f"{v} AS {k}" for k, v in cols.items())
+    return with_(ctes, f"SELECT\n  {body}\nFROM ar6")
