@@ -23,7 +23,7 @@ from ..operators.lookup import period_lookup
 from ..operators.series import KEYS, metric_series
 from ..sources.standins import Inputs, standin_inputs
 from ..sources.store import read_output, write_slice
-from ..session import materialize
+from ..session import materialize, remove_paths
 from ..sources.tables import TableSet
 
 OUTPUT_COLUMNS = [
@@ -76,19 +76,22 @@ def _prev_range(lo: dt.date, hi: dt.date) -> tuple[dt.date, dt.date]:
 
 def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
                   history: DataFrame | str | None = "self",
-                  own_month_shift: bool = False, as_of: dt.date | None = None) -> DataFrame:
+                  own_month_shift: bool = False, as_of: dt.date | None = None,
+                  scratch: list[str] | None = None) -> DataFrame:
     """The 43-column rows of the anchor days ``[lo, hi)``.
 
     ``history``: ``"self"`` computes the previous month in the same job,
     a DataFrame (e.g. the stored table) is read for it, ``None`` leaves
     last month's accuracy NULL. ``as_of`` ignores series days from it on
-    (the default, like the reference, has no upper bound).
+    (the default, like the reference, has no upper bound). Paths of the
+    intermediate tables written to the shared folder are appended to
+    ``scratch`` (the caller removes them once the result is stored).
     """
     self_history = isinstance(history, str) and history == "self"
     ranges = anchor_ranges(lo, hi, self_history)
     first = ranges[0][0]
     series = materialize(metric_series(spark, inputs, history_start(first), as_of),
-                         "daily-series")
+                         "daily-series", scratch)
     n = sum((b - a).days for a, b in ranges)
     anchors = anchor_range(spark, *ranges[0])
     for a, b in ranges[1:]:
@@ -97,7 +100,7 @@ def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
     months = (py_month_start(first), py_month_start(hi - dt.timedelta(days=1)))
     frame = forecast_frame(series, spine, n, months)
     if self_history:
-        frame = materialize(frame, "forecast-frame")
+        frame = materialize(frame, "forecast-frame", scratch)
     prev_range = _prev_range(lo, hi)
     out = lookback_accuracy(frame, frame if self_history else history, prev_range)
     return (out.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
@@ -119,9 +122,12 @@ def run_day(spark: SparkSession, tables: TableSet, base_day: str | dt.date,
     if target is None:
         return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of)
     stored = read_output(spark, target, OUTPUT_COLUMNS)
-    rows = forecast_days(spark, inputs, lo, hi, stored, own_month_shift, as_of)
+    scratch: list[str] = []
+    rows = forecast_days(spark, inputs, lo, hi, stored, own_month_shift, as_of, scratch)
     write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
-    return stored_slice(spark, target, lo, hi, rows)
+    out = stored_slice(spark, target, lo, hi, rows)
+    remove_paths(spark, scratch)
+    return out
 
 
 def stored_slice(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
@@ -129,7 +135,7 @@ def stored_slice(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
     """The stored rows of ``[lo, hi)`` (an empty frame shaped like ``like``)."""
     stored = read_output(spark, target, OUTPUT_COLUMNS)
     if stored is None:
-        return like.limit(0)
+        return spark.createDataFrame([], like.schema)
     return stored.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
 
 
@@ -140,11 +146,14 @@ def backfill(spark: SparkSession, tables: TableSet, first_base: str | dt.date,
     lo, _ = run_window(first_base)
     _, hi = run_window(last_base)
     inputs = standin_inputs(tables, history_start(py_add_months(lo, -1)))
-    rows = forecast_days(spark, inputs, lo, hi, "self", own_month_shift)
+    scratch: list[str] = []
+    rows = forecast_days(spark, inputs, lo, hi, "self", own_month_shift, scratch=scratch)
     if target is None:
         return rows
     write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
-    return stored_slice(spark, target, lo, hi, rows)
+    out = stored_slice(spark, target, lo, hi, rows)
+    remove_paths(spark, scratch)
+    return out
 
 
 def base_days_between(first: str | dt.date, last: str | dt.date) -> list[dt.date]:

@@ -63,7 +63,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, scratch: list | None = None):
     """Write ``df`` to a fresh Parquet folder in the shared folder and read it back.
 
     Used after the heavy aggregations, where the result is small (a daily
@@ -73,9 +73,21 @@ def materialize(df, name: str):
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders once nothing reads them any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(conf).delete(jpath, True)
+    paths.clear()
+
+
 def _count():
     i = 0
     while True:

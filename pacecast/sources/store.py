@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, remove_paths
 
 
 def _fs(spark: SparkSession, path: str):
@@ -60,7 +60,8 @@ def write_slice(df: DataFrame, path: str, lo: dt.date, hi: dt.date,
     rows = df.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
     if columns:
         rows = rows.select(*columns)
-    staged = materialize(rows, "slice-staging")
+    scratch: list[str] = []
+    staged = materialize(rows, "slice-staging", scratch)
     # at most one row per day of the slice reaches the driver
     written = sorted(r["date"] for r in staged.select("date").distinct().collect())
     # one file per day partition (a day holds one row per live series)
@@ -72,4 +73,5 @@ def write_slice(df: DataFrame, path: str, lo: dt.date, hi: dt.date,
     for day, jpath in stored_days(spark, path).items():
         if lo <= day < hi and day not in written:
             fs.delete(jpath, True)
+    remove_paths(spark, scratch)
     return written

@@ -107,3 +107,16 @@ def test_as_of_drops_future_rows(spark):
         assert row["eop_realised"] is None                 # April is not over on the 15th
         assert row["ptd"] == default[key]["ptd"]            # figures up to the anchor unchanged
         assert row["exp_m1"] == default[key]["exp_m1"]
+
+
+def test_stored_run_leaves_no_scratch_behind(spark):
+    import os
+    from pacecast.session import shared_dir
+    base = shared_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    before = set(os.listdir(local))
+    target = scratch_path(spark, "t-clean")
+    rows = run_day(spark, TableSet(spark, SF_SMOKE), "1998-04-15", target=target).collect()
+    assert len(rows) == 37
+    created = set(os.listdir(local)) - before
+    assert created == {target.rsplit("/", 1)[-1]}
