@@ -20,9 +20,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
 
-from ..functions.decimals import MONEY, SERIES_PTD, SERIES_VALUE, sum_or_zero, zero_if_null
+from ..functions.decimals import (MONEY, SERIES_PTD, SERIES_VALUE, from_units, sum_or_zero,
+                                  to_units, zero_if_null)
 from ..sources.standins import ALL, Inputs
 
 KEYS = ["feature", "measure", "period", "entity", "currency"]
@@ -70,7 +71,14 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str) -
     seconds, or 31 days - so a hot month, day or minute cannot land in one
     task. For a date-grain ``ts_col`` the first two levels collapse.
     """
-    v = zero_if_null(F.col(value_col))
+    vtype = df.schema[value_col].dataType
+    if isinstance(vtype, DecimalType) and vtype.precision <= 28:
+        # sums run on exact long units; converted back at the end
+        v = to_units(zero_if_null(F.col(value_col)), vtype.scale)
+        back = lambda c: from_units(c, min(38, vtype.precision + 10), vtype.scale)
+    else:
+        v = zero_if_null(F.col(value_col))
+        back = lambda c: c
     is_date = dict(df.dtypes)[ts_col] == "date"
     day_keys = keys + ["date"]
     if is_date:
@@ -102,7 +110,7 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str) -
                   .rowsBetween(Window.unboundedPreceding, -1))
     return per_day.select(
         *day_keys, "value",
-        (zero_if_null(F.sum("day_total").over(before_day)) + F.col("day_peak"))
+        back(zero_if_null(F.sum("day_total").over(before_day)) + F.col("day_peak"))
         .alias("value_ptd"))
 
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.decimals import MONEY, money
+from ..functions.decimals import MONEY, from_units, money, to_units
 from .tables import TableSet
 
 # ----------------------------------------------------------------------------
@@ -77,11 +77,11 @@ def card_daily(lineitem: DataFrame, since: dt.date | None = None,
     li = _filter_since(lineitem, "l_shipdate", since, until).select(
         F.to_date("l_shipdate").alias("date"),
         F.col("l_linestatus").alias("status"),
-        money("l_extendedprice").alias("price"))
+        to_units(money("l_extendedprice")).alias("cents"))
     online, offline = F.col("status") == "O", F.col("status") == "F"
     return li.groupBy("date").agg(
-        F.sum(F.when(online, F.col("price"))).cast(MONEY).alias("online_volume"),
-        F.sum(F.when(offline, F.col("price"))).cast(MONEY).alias("offline_volume"),
+        from_units(F.sum(F.when(online, F.col("cents")))).alias("online_volume"),
+        from_units(F.sum(F.when(offline, F.col("cents")))).alias("offline_volume"),
         F.sum(F.when(online, F.lit(1))).cast(MONEY).alias("online_count"),
         F.sum(F.when(offline, F.lit(1))).cast(MONEY).alias("offline_count"))
 
@@ -95,17 +95,17 @@ def entry_type_daily(lineitem: DataFrame, since: dt.date | None = None,
                         (F.col("l_suppkey") % 10 + 1).cast("int"))
     daily = (_filter_since(lineitem, "l_shipdate", since, until)
              .select(F.to_date("l_shipdate").alias("date"), code.alias("type_code"),
-                     money("l_extendedprice").alias("price"), money("l_quantity").alias("qty"))
+                     to_units(money("l_extendedprice")).alias("price"),
+                     to_units(money("l_quantity")).alias("qty"))
              .groupBy("date", "type_code")
-             .agg(F.sum("price").cast(MONEY).alias("volume"),
-                  F.sum("qty").cast(MONEY).alias("fee")))
+             .agg(F.sum("price").alias("volume"), F.sum("qty").alias("fee")))
     mtd = (Window.partitionBy("type_code", _month("date")).orderBy("date")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return daily.select(
-        "date", "type_code", "volume",
-        F.sum("volume").over(mtd).cast(MONEY).alias("volume_mtd"),
-        "fee",
-        F.sum("fee").over(mtd).cast(MONEY).alias("fee_mtd"))
+        "date", "type_code", from_units("volume").alias("volume"),
+        from_units(F.sum("volume").over(mtd)).alias("volume_mtd"),
+        from_units("fee").alias("fee"),
+        from_units(F.sum("fee").over(mtd)).alias("fee_mtd"))
 
 
 # --------------------------------------------------------------- fee_rows ----
@@ -131,8 +131,8 @@ def acceptor_grouping_sets(full: bool) -> list[list[str]]:
 def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
                              sets: list[list[str]], user_col: str,
                              sums: dict[str, str], prefix: list[str]) -> DataFrame:
-    """Grouping-set cube by ``time_col`` with distinct users, rows and sums,
-    each also month-to-date.
+    """Grouping-set cube by ``time_col`` with distinct users, rows and sums
+    (inputs in long cents, outputs decimal(20,2)), each also month-to-date.
 
     One pass: every detail row is exploded into the slices it belongs to
     (rolled-up members = ALL), aggregated once per (time, slice, user); a
@@ -160,7 +160,7 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
              .agg(F.count(F.lit(1)).alias("users_daily"),
                   F.sum("_new").alias("_new"),
                   F.sum("_tx").alias("tx_daily"),
-                  *[F.sum(f"_s_{c}").cast(MONEY).alias(name) for name, c in sums.items()]))
+                  *[F.sum(f"_s_{c}").alias(name) for name, c in sums.items()]))
     mtd = (Window.partitionBy(*prefix, *dims, "_month").orderBy(time_col)
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return daily.select(
@@ -169,8 +169,9 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
         F.sum("_new").over(mtd).alias("users_mtd"),
         "tx_daily",
         F.sum("tx_daily").over(mtd).alias("tx_mtd"),
-        *[c for name in sums for c in (F.col(name), F.sum(name).over(mtd).cast(MONEY).alias(
-            name.replace("_daily", "_mtd")))])
+        *[c for name in sums for c in (from_units(name).alias(name),
+                                       from_units(F.sum(name).over(mtd)).alias(
+                                           name.replace("_daily", "_mtd")))])
 
 
 def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
@@ -198,8 +199,8 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                       (F.col("c_nationkey") != F.col("s_nationkey")).cast("int").alias("is_abroad"),
                       (F.col("l_linestatus") == "F").cast("int").alias("is_offline"),
                       "o_custkey",
-                      F.when(F.col("l_returnflag") == "R", -F.col("price"))
-                      .otherwise(F.col("price")).alias("net")))
+                      to_units(F.when(F.col("l_returnflag") == "R", -F.col("price"))
+                               .otherwise(F.col("price"))).alias("net")))
     return _cube_with_month_to_date(
         detail, "date", ACCEPTOR_DIMS, acceptor_grouping_sets(full), "o_custkey",
         {"net_volume_daily": "net"}, prefix=[])
