@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.decimals import dec, safe_ratio
+from .forecast import _with, cast, ratio
 from .series import KEYS
 
 
 def backtest_errors(df: DataFrame) -> DataFrame:
     """Error of each expectation (NULL while the month is open) and its rate
     (0, not NULL, while open)."""
-    realised = F.col("eop_realised")
     cols = {}
     for k in (1, 2, 3):
-        err = F.col(f"exp_m{k}") - realised
+        err = f"exp_m{k} - eop_realised"
         cols[f"err_m{k}"] = err
-        cols[f"err_rate_m{k}"] = dec(safe_ratio(dec(err, 38, 10), dec(realised, 38, 10)), 20, 6)
-    return df.withColumns(cols)
+        cols[f"err_rate_m{k}"] = cast(ratio(cast(err, 38, 10), cast("eop_realised", 38, 10)), 20, 6)
+    return _with(df, cols)
 
 
 def lookback_accuracy(df: DataFrame, history: DataFrame | None,
@@ -33,10 +32,8 @@ def lookback_accuracy(df: DataFrame, history: DataFrame | None,
     Duplicate earlier rows fan out, as an unconstrained target would.
     """
     if history is None:
-        return df.withColumns({
-            "acc_prev_m1": F.lit(None).cast("decimal(20,6)"),
-            "acc_prev_linear": F.lit(None).cast("decimal(20,6)"),
-        })
+        return _with(df, {"acc_prev_m1": "CAST(NULL AS DECIMAL(20,6))",
+                          "acc_prev_linear": "CAST(NULL AS DECIMAL(20,6))"})
     if prev_range is not None:
         history = history.filter((F.col("date") >= F.lit(prev_range[0]))
                                  & (F.col("date") <= F.lit(prev_range[1])))
@@ -47,7 +44,7 @@ def lookback_accuracy(df: DataFrame, history: DataFrame | None,
     cond = [F.add_months(df["date"], -1) == prev["_prev_date"]]
     cond += [df[k] == prev[f"_prev_{k}"] for k in KEYS]
     joined = df.join(prev, cond, "left")
-    return joined.withColumns({
-        "acc_prev_m1": dec(F.abs(F.lit(1) - F.abs(F.col("_prev_err_rate"))), 20, 6),
-        "acc_prev_linear": dec(F.abs(F.lit(1) - F.abs(F.col("_prev_linear_rate"))), 20, 6),
+    return _with(joined, {
+        "acc_prev_m1": cast("ABS(1 - ABS(_prev_err_rate))", 20, 6),
+        "acc_prev_linear": cast("ABS(1 - ABS(_prev_linear_rate))", 20, 6),
     }).drop("_prev_date", *[f"_prev_{k}" for k in KEYS], "_prev_err_rate", "_prev_linear_rate")

@@ -83,8 +83,10 @@ def period_lookup(series: DataFrame, spine: DataFrame, n_anchors: int | None = N
         F.lit(None).cast(series.schema["value"].dataType).alias("value"),
         F.lit(None).cast(series.schema["value_ptd"].dataType).alias("value_ptd"))
     both = hits.unionByName(alive)
-    aggs = [F.max(F.when(F.col("role") == r, F.col("value_ptd"))).alias(f"P_{r}") for r in PTD_ROLES]
-    aggs += [F.max(F.when(F.col("role") == r, F.col("value"))).alias(f"V_{r}") for r in VALUE_ROLES]
+    aggs = [F.expr(f"max(CASE WHEN role = '{r}' THEN value_ptd END)").alias(f"P_{r}")
+            for r in PTD_ROLES]
+    aggs += [F.expr(f"max(CASE WHEN role = '{r}' THEN value END)").alias(f"V_{r}")
+             for r in VALUE_ROLES]
     # keys: the anchor and the series; the carried columns depend on the anchor only
     out = both.groupBy(*CARRIED, *KEYS).agg(*aggs)
     return out.withColumnRenamed("anchor", "date")
