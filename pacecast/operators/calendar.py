@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date, month_end, month_start, months_back, run_window
+from ..functions.dates import month_end, month_start, months_back, run_window
 
 # A spine is one row per anchor day; beyond this many rows it is not broadcast.
 MAX_BROADCAST_ANCHORS = 200_000
@@ -88,15 +88,6 @@ def backfill_spine(spark: SparkSession, first_base: str | dt.date, last_base: st
     return spine_for_anchors(anchor_range(spark, lo, hi), own_month_shift=own_month_shift)
 
 
-def spine_size(lo: dt.date, hi: dt.date) -> int:
-    return max((hi - lo).days, 0)
-
-
-def maybe_broadcast(frame: DataFrame, n_rows: int, limit: int = MAX_BROADCAST_ANCHORS) -> DataFrame:
-    """Broadcast hint only when the row count, known from run parameters, is bounded."""
-    return F.broadcast(frame) if n_rows <= limit else frame
-
-
 # ---------------------------------------------------------------- O2 ----------
 
 def week_start(calendar: DataFrame, days: DataFrame | None = None,

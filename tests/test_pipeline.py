@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import SF_SMOKE, D, day
+from conftest import SF_SMOKE, day
 
 from pacecast.plans.pipeline import OUTPUT_COLUMNS, backfill, run_day
 from pacecast.session import scratch_path

@@ -1,7 +1,6 @@
 import datetime as dt
 import random
 from collections import defaultdict
-from decimal import Decimal
 
 from conftest import D, day
 
