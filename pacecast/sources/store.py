@@ -1,12 +1,13 @@
 """The forecast table - Parquet partitioned by ``date``.
 
 A run replaces the days ``[lo, hi)``: the rows are first staged as Parquet
-in the shared checkpoint folder (cutting the lineage, which may read earlier
-partitions of the same table, and making the write retry-safe), then
-written with *dynamic* partition overwrite so only the slice's day
-partitions are swapped, each committed by Spark's output committer. Days
-of the slice that the new rows do not cover (a slice with no live series)
-are removed afterwards, so re-running a slice is idempotent.
+partitioned by day in the shared checkpoint folder (cutting the lineage,
+which may read earlier partitions of the same table, and making the write
+retry-safe), then written with *dynamic* partition overwrite so only the
+slice's day partitions are swapped, each committed by Spark's output
+committer. Days of the slice that the new rows do not cover (a slice with
+no live series) are removed afterwards, so re-running a slice is
+idempotent.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, remove_paths
+from ..session import remove_paths, scratch_path
 
 
 def _fs(spark: SparkSession, path: str):
@@ -55,23 +56,28 @@ def write_slice(df: DataFrame, path: str, lo: dt.date, hi: dt.date,
     """Replace the days ``[lo, hi)`` of the table at ``path`` with ``df``'s rows.
 
     Returns the days written. Rows outside the slice are never written.
+    The rows are staged partitioned by day (one file per day) in the shared
+    folder: the staged day folders tell which days the slice has, and the
+    final write copies them without another shuffle.
     """
     spark = df.sparkSession
     rows = df.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
     if columns:
         rows = rows.select(*columns)
-    scratch: list[str] = []
-    staged = materialize(rows, "slice-staging", scratch)
-    # at most one row per day of the slice reaches the driver
-    written = sorted(r["date"] for r in staged.select("date").distinct().collect())
-    # one file per day partition (a day holds one row per live series)
-    (staged.repartition("date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date")
-     .parquet(path))
+    staging = scratch_path(spark, "slice-staging")
+    rows.repartition("date").write.mode("overwrite").partitionBy("date").parquet(staging)
+    written = sorted(stored_days(spark, staging))
+    if written:
+        staged = spark.read.parquet(staging)
+        if columns:
+            staged = staged.select(*columns)
+        (staged.write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date")
+         .parquet(path))
     fs, _ = _fs(spark, path)
     for day, jpath in stored_days(spark, path).items():
         if lo <= day < hi and day not in written:
             fs.delete(jpath, True)
-    remove_paths(spark, scratch)
+    remove_paths(spark, [staging])
     return written
