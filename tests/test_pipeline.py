@@ -120,3 +120,11 @@ def test_stored_run_leaves_no_scratch_behind(spark):
     assert len(rows) == 37
     created = set(os.listdir(local)) - before
     assert created == {target.rsplit("/", 1)[-1]}
+
+
+def test_command_line_run_day(spark, capsys):
+    from pacecast.__main__ import main
+    target = scratch_path(spark, "t-cli")
+    main(["run-day", "--base-day", "1998-04-15", "--tables", SF_SMOKE, "--target", target])
+    assert "stored 37 rows" in capsys.readouterr().out
+    assert sorted(stored_days(spark, target)) == [day("1998-04-14")]
