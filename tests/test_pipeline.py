@@ -35,7 +35,12 @@ def test_open_month_from_data_that_stops_early(spark):
 
 def test_month_close_contains_the_daily_runs(spark):
     tables = TableSet(spark, SF_SMOKE)
-    close = rows_of(run_day(spark, tables, "1998-03-01"))
+    close_df = run_day(spark, tables, "1998-03-01")
+    for r in close_df.collect():                      # spread and bands are consistent
+        assert r["exp_std"] >= 0
+        for name in ("exp_m1", "exp_m2", "exp_m3", "exp_mean"):
+            assert r[f"{name}_lo"] <= float(r[name]) <= r[f"{name}_hi"]
+    close = rows_of(close_df)
     assert {r[0] for r in close} == {dt.date(1998, 2, 1) + dt.timedelta(days=i) for i in range(28)}
     for base in ("1998-02-11", "1998-02-28"):
         daily = rows_of(run_day(spark, tables, base))
