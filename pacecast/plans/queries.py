@@ -22,7 +22,7 @@ from ..operators.series import (CARD_PAIRS, CODED_METRICS, CUBE_SLICES, FEE_METR
                                 coded_series, cube_slice_series, hourly_peak_series,
                                 metric_series, month_to_date, pair_total_series,
                                 row_fee_series)
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import standins
 from ..sources.tables import TableSet
 from .pipeline import OUTPUT_COLUMNS, backfill, forecast_days, history_start, run_day
@@ -143,6 +143,8 @@ def _lookup(spark: SparkSession, sf_dir: str, base_day: str, only_hourly: bool =
         series = hourly_peak_series(standins.hourly_cube(t.events, since, full=False), since)
     else:
         series = metric_series(spark, standins.standin_inputs(t, since), since)
+    # read twice below (role join and alive pairs): computed once
+    series = materialize(series, "daily-series")
     spine = spine_for_anchors(
         spark.range(1).select(F.explode(F.sequence(F.lit(lo), F.lit(hi - dt.timedelta(days=1))))
                               .alias("anchor")))
