@@ -154,8 +154,3 @@ def backfill(spark: SparkSession, tables: TableSet, first_base: str | dt.date,
     out = stored_slice(spark, target, lo, hi, rows)
     remove_paths(spark, scratch)
     return out
-
-
-def base_days_between(first: str | dt.date, last: str | dt.date) -> list[dt.date]:
-    a, b = as_date(first), as_date(last)
-    return [a + dt.timedelta(days=i) for i in range((b - a).days + 1)]
