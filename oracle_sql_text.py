@@ -545,6 +545,12 @@ SELECT od.day, f.week_start, CAST(f.week_start - INTERVAL 7 DAY AS DATE) AS prev
 FROM od LEFT JOIN calw USING (day) LEFT JOIN firsts f USING (week_id)"""
 
 
+CALENDAR_SQL = """WITH b AS (SELECT MIN(CAST(l_shipdate AS DATE)) AS lo, MAX(CAST(l_shipdate AS DATE)) AS hi FROM lineitem)
+SELECT CAST(g AS DATE) AS day,
+       CAST((CAST(date_trunc('week', CAST(g AS DATE)) AS DATE) - DATE '1970-01-05') // 7 AS INTEGER) AS week_id
+FROM b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(g)"""
+
+
 def _row_mtd_sql(table: str, key: str, ts_col: str, val: str) -> str:
     price = f"CAST({val} AS DECIMAL(20,2))"
     return f"""SELECT {key}, date, CAST(MAX(price) AS DECIMAL(21,2)) AS value,
@@ -583,6 +589,8 @@ def registry() -> dict[str, str]:
         "week_start_lookup": WEEK_START_SQL,
         "mtd_by_day": _row_mtd_sql("lineitem", "l_returnflag", "l_shipdate", "l_extendedprice"),
         "mtd_with_ties": _row_mtd_sql("orders", "o_orderpriority", "o_orderdate", "o_totalprice"),
+        "calendar_days": CALENDAR_SQL,
+        "fee_rows": with_(inputs_ctes(None, {"fee"}), "SELECT * FROM fee_rows"),
         "card_daily": with_(inputs_ctes(None, {"card"}), "SELECT * FROM card_daily"),
         "entry_type_daily": with_(inputs_ctes(None, {"coded"}), "SELECT * FROM entry_type_daily"),
         "acceptor_cube": with_(inputs_ctes(None, {"cube"}, full_cubes=True),

@@ -89,6 +89,18 @@ def mtd_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
                          ["o_orderpriority"])
 
 
+def calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar dimension (day, Monday-based week id) over lineitem's ship days."""
+    li = _tables(spark, sf_dir).lineitem
+    bounds = li.agg(F.min(F.to_date("l_shipdate")).alias("lo"),
+                    F.max(F.to_date("l_shipdate")).alias("hi"))
+    return calendar_from_range(spark, F.col("lo"), F.col("hi"), bounds)
+
+
+def fee_rows(spark, sf_dir):
+    return standins.fee_rows(_tables(spark, sf_dir).orders)
+
+
 def card_daily(spark, sf_dir):
     return standins.card_daily(_tables(spark, sf_dir).lineitem)
 
@@ -194,6 +206,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "week_start_lookup": week_start_lookup,
         "mtd_by_day": mtd_by_day,
         "mtd_with_ties": mtd_with_ties,
+        "calendar_days": calendar_days,
+        "fee_rows": fee_rows,
         "card_daily": card_daily,
         "entry_type_daily": entry_type_daily,
         "acceptor_cube": acceptor_cube,
