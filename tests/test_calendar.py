@@ -139,3 +139,10 @@ def test_spine_matches_model_on_every_day(spark):
             want = _model(r["anchor"], own)
             got = {k: r[k] for k in want}
             assert got == want, r["anchor"]
+
+
+def test_empty_anchor_range_does_not_count_down(spark):
+    from pacecast.operators.calendar import anchor_range
+    assert anchor_range(spark, day("2024-03-05"), day("2024-03-05")).count() == 0
+    assert anchor_range(spark, day("2024-03-05"), day("2024-03-01")).count() == 0
+    assert anchor_range(spark, day("2024-03-05"), day("2024-03-06")).count() == 1
