@@ -33,21 +33,14 @@ SERIES_COLUMNS = ["date"] + KEYS + ["value", "value_ptd"]
 USERS, COUNT, VOLUME, FEE = 0, 4, 5, 6
 
 
-def _keyed(feature: Column | int, measure: Column | int, entity: Column | int) -> list[Column]:
-    def as_int(v):
-        return (v if isinstance(v, Column) else F.lit(v)).cast("int")
-    return [as_int(feature).alias("feature"), as_int(measure).alias("measure"),
-            F.lit(0).alias("period"), as_int(entity).alias("entity"),
-            F.lit(0).alias("currency")]
+_FINISH = (["CAST(date AS DATE) AS date"] + [f"CAST({k} AS INT) AS {k}" for k in KEYS]
+           + [f"CAST(value AS {SERIES_VALUE.simpleString()}) AS value",
+              f"CAST(value_ptd AS {SERIES_PTD.simpleString()}) AS value_ptd"])
 
 
 def _finish(df: DataFrame) -> DataFrame:
     """Fixed column order and types of the long series."""
-    return df.select(
-        F.col("date").cast("date").alias("date"),
-        *[F.col(k).cast("int").alias(k) for k in KEYS],
-        F.col("value").cast(SERIES_VALUE).alias("value"),
-        F.col("value_ptd").cast(SERIES_PTD).alias("value_ptd"))
+    return df.selectExpr(*_FINISH)
 
 
 def _mapping(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
@@ -130,14 +123,14 @@ def pair_total_series(df: DataFrame, pairs: list[PairTotal], since: dt.date | No
                       date_col: str = "date") -> DataFrame:
     """Sum-of-two-columns metrics of a daily report, month-to-date by day."""
     src = df if since is None else df.filter(F.col(date_col) >= F.lit(since))
-    stacked = src.select(
-        F.col(date_col).alias("date"),
-        F.explode(F.array(*[
-            F.struct(*_keyed(p.feature, p.measure, p.entity),
-                     (zero_if_null(F.col(p.left)).cast(MONEY)
-                      + zero_if_null(F.col(p.right)).cast(MONEY)).alias("v"))
-            for p in pairs])).alias("m"))
-    flat = stacked.select("date", *[F.col(f"m.{k}").alias(k) for k in KEYS], F.col("m.v").alias("v"))
+    money_type = MONEY.simpleString()
+    rows = ", ".join(
+        f"{p.feature}, {p.measure}, 0, {p.entity}, 0, "
+        f"CAST(COALESCE({p.left}, 0) AS {money_type}) + CAST(COALESCE({p.right}, 0) AS {money_type})"
+        for p in pairs)
+    flat = src.selectExpr(
+        f"{date_col} AS date",
+        f"stack({len(pairs)}, {rows}) AS (feature, measure, period, entity, currency, v)")
     return _finish(month_to_date(flat, KEYS, "date", "v"))
 
 
@@ -189,8 +182,8 @@ def coded_series(spark: SparkSession, df: DataFrame, metrics: list[CodedMetric],
     daily = (joined.groupBy("date", "feature", "measure", "entity")
              .agg(sum_or_zero(pick(0)).cast(MONEY).alias("value"),
                   sum_or_zero(pick(1)).cast(MONEY).alias("value_ptd")))
-    return _finish(daily.select("date", *_keyed(F.col("feature"), F.col("measure"), F.col("entity")),
-                                "value", "value_ptd"))
+    return _finish(daily.selectExpr("date", "feature", "measure", "0 AS period", "entity",
+                                    "0 AS currency", "value", "value_ptd"))
 
 
 # ---------------------------------------------------------------- O6 ---------
@@ -241,10 +234,9 @@ def cube_slice_series(spark: SparkSession, cube: DataFrame, slices: list[CubeSli
         aggs.append(sum_or_zero(measure_col(mtd_col, absolute)).cast(MONEY).alias(f"p{code}"))
     daily = joined.groupBy("date", "feature").agg(*aggs)
     stack = ", ".join(f"{code}, v{code}, p{code}" for code in measures)
-    long = daily.selectExpr("date", "feature",
+    long = daily.selectExpr("date", "feature", "0 AS period", "0 AS entity", "0 AS currency",
                             f"stack({len(measures)}, {stack}) as (measure, value, value_ptd)")
-    return _finish(long.select("date", *_keyed(F.col("feature"), F.col("measure"), 0),
-                               "value", "value_ptd"))
+    return _finish(long)
 
 
 # ---------------------------------------------------------------- O7 ---------
@@ -268,10 +260,9 @@ def hourly_peak_series(cube: DataFrame, since: dt.date | None = None,
         aggs.append(F.max(mtd_col).cast(MONEY).alias(f"p{code}"))
     daily = src.groupBy(F.col("hour").cast("date").alias("date"), "feature").agg(*aggs)
     stack = ", ".join(f"{code}, v{code}, p{code}" for code in measures)
-    long = daily.selectExpr("date", "feature",
+    long = daily.selectExpr("date", "feature", "0 AS period", "0 AS entity", "0 AS currency",
                             f"stack({len(measures)}, {stack}) as (measure, value, value_ptd)")
-    return _finish(long.select("date", *_keyed(F.col("feature"), F.col("measure"), 0),
-                               "value", "value_ptd"))
+    return _finish(long)
 
 
 # ------------------------------------------------------------- fee (B5) ------
@@ -283,8 +274,9 @@ def row_fee_series(fee_rows: DataFrame, feature: int, measure: int, entity: int,
     src = fee_rows
     if since is not None:
         src = src.filter(F.col(ts_col) >= F.lit(since).cast("timestamp_ntz"))
-    src = src.select(F.col(ts_col), zero_if_null(F.col(value_col)).cast(MONEY).alias("v"),
-                     *_keyed(feature, measure, entity))
+    src = src.selectExpr(ts_col, f"CAST(COALESCE({value_col}, 0) AS {MONEY.simpleString()}) AS v",
+                         f"{feature} AS feature", f"{measure} AS measure", "0 AS period",
+                         f"{entity} AS entity", "0 AS currency")
     return _finish(month_to_date(src, KEYS, ts_col, "v"))
 
 

@@ -61,9 +61,10 @@ def _month(col: str) -> Column:
     return F.trunc(F.col(col), "MM")
 
 
-def _lookup(mapping: dict, key: Column) -> Column:
-    return F.create_map(*itertools.chain.from_iterable(
-        (F.lit(k), F.lit(v)) for k, v in mapping.items()))[key]
+def _lookup(mapping: dict, key: str) -> Column:
+    """``CASE key WHEN 'k' THEN v ... END`` (NULL for an unknown key)."""
+    whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
+    return F.expr(f"CASE {key} {whens} END")
 
 
 # ------------------------------------------------------------ card_daily -----
@@ -144,9 +145,10 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
     Unique users month-to-date cannot be summed from daily figures; this
     counts each user exactly once per month and slice.
     """
-    members = F.explode(F.array(*[
-        F.struct(*[(F.col(d) if d in s else F.lit(ALL)).cast("int").alias(d) for d in dims])
-        for s in sets])).alias("_slice")
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{d}', CAST({d if d in s else ALL} AS INT)" for d in dims) + ")"
+        for s in sets)
+    members = F.expr(f"explode(array({structs}))").alias("_slice")
     inputs = list(dict.fromkeys(sums.values()))
     sliced = (detail.select(*prefix, time_col, "_month", user_col, *inputs, members)
               .select(*prefix, time_col, "_month", user_col, *inputs, "_slice.*"))
@@ -195,7 +197,7 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
               .select("date",
                       F.trunc("date", "MM").alias("_month"),
                       F.col("s_suppkey").cast("int").alias("acceptor_id"),
-                      _lookup(SEGMENT_CODES, F.col("c_mktsegment")).cast("int").alias("category_id"),
+                      _lookup(SEGMENT_CODES, "c_mktsegment").cast("int").alias("category_id"),
                       (F.col("c_nationkey") != F.col("s_nationkey")).cast("int").alias("is_abroad"),
                       (F.col("l_linestatus") == "F").cast("int").alias("is_offline"),
                       "o_custkey",
@@ -219,10 +221,10 @@ def hourly_cube(events: DataFrame, since: dt.date | None = None, full: bool = Tr
     hour = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
                                 F.lit(0), F.lit(0))
     detail = _filter_since(events, "ts", since, until).select(
-        _lookup(EVENT_FEATURE, F.col("event_type")).cast("int").alias("feature"),
+        _lookup(EVENT_FEATURE, "event_type").cast("int").alias("feature"),
         hour.alias("hour"),
         F.trunc(ts.cast("date"), "MM").alias("_month"),
-        _lookup(EVENT_TYPE_CODES, F.col("event_type")).cast("int").alias("group_id"),
+        _lookup(EVENT_TYPE_CODES, "event_type").cast("int").alias("group_id"),
         (F.col("user_id") % 10 + 1).cast("int").alias("company_id"),
         "user_id")
     sets = [HOURLY_DIMS, ["group_id"], ["company_id"], []] if full else [[]]
