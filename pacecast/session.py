@@ -39,6 +39,28 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(total_cores: int, input_bytes: int,
+                 shuffle_bytes_per_partition: int = 512 << 20) -> dict[str, str]:
+    """Suggested settings for a cluster session (the library sets none itself).
+
+    The first aggregations shuffle at most the pruned input after map-side
+    partial aggregation, so initial shuffle partitions are sized from the
+    input (``shuffle_bytes_per_partition`` each, at least 2 per core, at
+    most 100k) and AQE coalesces the small later stages to ~128 MB. Splits
+    stay at 128 MB so a scan task fits comfortably in executor memory.
+    """
+    partitions = min(100_000, max(2 * total_cores, -(-input_bytes // shuffle_bytes_per_partition)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written tables.
 
