@@ -51,9 +51,10 @@ def main():
            f"on `{sf}`, produced by `tools/plans.py`. Pipeline queries read the daily series written "
            "by an earlier job of the same call (shared folder); that job is `metric_series_all`.", "",
            "Reading: scans without pushed filters read whole tables on purpose (whole-history "
-           "queries) or a written intermediate; every scan reads only the needed columns; the "
-           "RoundRobin exchanges are the spread of single-split test files (absent for large inputs); "
-           "no query has a nested-loop or cartesian join or a Python node.", "",
+           "queries) or a written intermediate; every scan reads only the needed columns; a "
+           "RoundRobin exchange, where present, spreads a sizeable single-split file over the cores "
+           "(never on large inputs); no query has a nested-loop or cartesian join or a Python node. "
+           "Pipeline rows show the final job (forecast over the written series and frame).", "",
            "| query | " + " | ".join(cols) + " |", "|---|" + "---|" * len(cols)]
     for name, f in rows:
         out.append(f"| {name} | " + " | ".join(str(f[c]) for c in cols) + " |")
