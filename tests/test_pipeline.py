@@ -133,3 +133,24 @@ def test_command_line_run_day(spark, capsys):
     main(["run-day", "--base-day", "1998-04-15", "--tables", SF_SMOKE, "--target", target])
     assert "stored 37 rows" in capsys.readouterr().out
     assert sorted(stored_days(spark, target)) == [day("1998-04-14")]
+
+
+def test_failed_write_leaves_table_unchanged_and_rerun_completes(spark, monkeypatch):
+    import pacecast.sources.store as store
+    schema = "date date, v int"
+    target = scratch_path(spark, "t-fail")
+    old = spark.createDataFrame([(day("2024-01-01"), 1), (day("2024-01-02"), 2)], schema)
+    write_slice(old, target, day("2024-01-01"), day("2024-01-03"))
+    new = spark.createDataFrame([(day("2024-01-01"), 10), (day("2024-01-02"), 20)], schema)
+
+    def boom(*args, **kwargs):
+        raise RuntimeError("driver lost after staging")
+    monkeypatch.setattr(store, "stored_days", boom)   # fails between staging and the final write
+    try:
+        write_slice(new, target, day("2024-01-01"), day("2024-01-03"))
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    assert sorted(r["v"] for r in read_output(spark, target).collect()) == [1, 2]
+    write_slice(new, target, day("2024-01-01"), day("2024-01-03"))
+    assert sorted(r["v"] for r in read_output(spark, target).collect()) == [10, 20]
