@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     fill.add_argument("--first", required=True)
     fill.add_argument("--last", required=True)
     for p in (run, fill):
+        if p is fill:
+            p.add_argument("--as-of", default=None, help="ignore source days from this day on")
         p.add_argument("--tables", required=True)
         p.add_argument("--target", default=None)
         p.add_argument("--own-month-shift", action="store_true",
@@ -47,7 +49,7 @@ def main(argv: list[str] | None = None) -> None:
                        own_month_shift=args.own_month_shift, as_of=args.as_of)
     else:
         rows = backfill(spark, tables, args.first, args.last, target=args.target,
-                        own_month_shift=args.own_month_shift)
+                        own_month_shift=args.own_month_shift, as_of=args.as_of)
     if args.target is None:
         rows.show(args.show, truncate=False)
     else:

@@ -141,13 +141,14 @@ def stored_slice(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
 
 def backfill(spark: SparkSession, tables: TableSet, first_base: str | dt.date,
              last_base: str | dt.date, target: str | None = None,
-             own_month_shift: bool = False) -> DataFrame:
+             own_month_shift: bool = False, as_of: str | dt.date | None = None) -> DataFrame:
     """All days the runs on ``first_base..last_base`` recompute, in one job."""
     lo, _ = run_window(first_base)
     _, hi = run_window(last_base)
-    inputs = standin_inputs(tables, history_start(py_add_months(lo, -1)))
+    as_of = as_date(as_of) if as_of is not None else None
+    inputs = standin_inputs(tables, history_start(py_add_months(lo, -1)), until=as_of)
     scratch: list[str] = []
-    rows = forecast_days(spark, inputs, lo, hi, "self", own_month_shift, scratch=scratch)
+    rows = forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of, scratch)
     if target is None:
         return rows
     write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)

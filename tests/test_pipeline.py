@@ -154,3 +154,10 @@ def test_failed_write_leaves_table_unchanged_and_rerun_completes(spark, monkeypa
     assert sorted(r["v"] for r in read_output(spark, target).collect()) == [1, 2]
     write_slice(new, target, day("2024-01-01"), day("2024-01-03"))
     assert sorted(r["v"] for r in read_output(spark, target).collect()) == [10, 20]
+
+
+def test_backfill_as_of_equals_run_day_as_of(spark):
+    tables = TableSet(spark, SF_SMOKE)
+    a = rows_of(backfill(spark, tables, "1998-04-01", "1998-04-01", as_of="1998-04-10"))
+    b = rows_of(run_day(spark, tables, "1998-04-01", as_of="1998-04-10"))
+    assert a == b and len(a) > 0
