@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_end, month_start, months_back, run_window
 
-# A spine is one row per anchor day; beyond this many rows it is not broadcast.
-MAX_BROADCAST_ANCHORS = 200_000
+# A spine is one row per anchor day; the role table has 11 rows (~50 bytes
+# each) per anchor. Up to this many anchors (55 years of days, a role table
+# of ~10 MB) they are broadcast; beyond it the join strategy is left to AQE.
+MAX_BROADCAST_ANCHORS = 20_000
 
 SPINE_COLUMNS = [
     "anchor", "period_start", "history_start", "days_in_month",
