@@ -55,3 +55,19 @@ def test_missing_day_and_alive_rules(spark):
     assert rows[(day("1998-03-16"), 1)]["P_p1"] == D(160)
     r2 = rows[(day("1998-03-01"), 2)]
     assert r2["P_anchor"] is None and r2["P_p1"] is None  # alive, but nothing to read
+
+
+def test_without_broadcast_same_rows(spark, monkeypatch):
+    import pacecast.operators.lookup as lookup
+    series = make_series(spark)
+    spine = calendar_spine(spark, "1998-04-01")
+    with_hint = period_lookup(series, spine, 31)
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_ANCHORS", 0)   # beyond the gate: planner decides
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        without = period_lookup(series, spine, 31)
+        plan = without._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert without.exceptAll(with_hint).count() == 0 and with_hint.exceptAll(without).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
