@@ -44,6 +44,21 @@ def main():
         if name == "metric_series_all":
             flagship = df._jdf.queryExecution().explainString(
                 spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    # the lookup + forecast job of the March close, over a written daily series
+    import datetime as dt
+    from pacecast.operators.calendar import calendar_spine
+    from pacecast.operators.series import metric_series
+    from pacecast.plans.pipeline import forecast_frame
+    from pacecast.session import materialize
+    from pacecast.sources.standins import standin_inputs
+    from pacecast.sources.tables import TableSet
+    since = dt.date(1997, 11, 1)
+    series = materialize(metric_series(spark, standin_inputs(TableSet(spark, sf), since), since),
+                         "plans-series")
+    frame = forecast_frame(series, calendar_spine(spark, "1998-04-01"), 31,
+                           (dt.date(1998, 3, 1), dt.date(1998, 3, 1)))
+    frame_plan = frame._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     spark.stop()
     cols = list(rows[0][1])
     out = ["# PLANS", "",
@@ -58,6 +73,10 @@ def main():
            "| query | " + " | ".join(cols) + " |", "|---|" + "---|" * len(cols)]
     for name, f in rows:
         out.append(f"| {name} | " + " | ".join(str(f[c]) for c in cols) + " |")
+    out += ["", "## Lookup + forecast job of the March close (formatted)", "",
+            "Role-date equi-join with the broadcast role table, alive pairs by month, one "
+            "aggregation per (anchor, series), then row-local decimal expressions.", "",
+            "```", frame_plan.strip(), "```", ""]
     out += ["", "## `metric_series_all` (formatted)", "", "```", flagship.strip(), "```", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w") as fh:
