@@ -41,3 +41,15 @@ def test_forecast_plan_has_no_nested_loop(spark):
                                   (dt.date(1998, 3, 1), dt.date(1998, 3, 1))))
     assert not any(word in plan for word in FORBIDDEN)
     assert "BroadcastHashJoin" in plan
+
+
+def test_date_partitioned_fact_is_pruned_by_history_bound(spark):
+    from pacecast.operators.series import CODED_METRICS, coded_series
+    from pacecast.session import scratch_path
+    from pacecast.sources.standins import entry_type_daily
+    path = scratch_path(spark, "t-partitioned-fact")
+    entry_type_daily(TableSet(spark, SF_SMOKE).lineitem).write.partitionBy("date").parquet(path)
+    fact = spark.read.parquet(path)
+    plan = plan_of(coded_series(spark, fact, CODED_METRICS, since=dt.date(1998, 1, 1)))
+    scan = [l for l in plan.split("\n") if "FileScan parquet" in l][0]
+    assert re.search(r"PartitionFilters: \[[^\]]*\(date#\d+ >= 1998-01-01\)", scan), scan
