@@ -161,3 +161,30 @@ def test_backfill_as_of_equals_run_day_as_of(spark):
     a = rows_of(backfill(spark, tables, "1998-04-01", "1998-04-01", as_of="1998-04-10"))
     b = rows_of(run_day(spark, tables, "1998-04-01", as_of="1998-04-10"))
     assert a == b and len(a) > 0
+
+
+def test_readme_flow_with_separate_fact_frames(spark):
+    from pyspark.sql import functions as F
+    from pacecast.functions.dates import run_window
+    from pacecast.plans.pipeline import OUTPUT_COLUMNS, forecast_days
+    from pacecast.sources import standins
+    from pacecast.sources.standins import Inputs
+
+    t = TableSet(spark, SF_SMOKE)
+    cube = standins.hourly_cube(t.events, full=False)
+    bill, game, travel = (cube.filter(F.col("feature") == f).drop("feature") for f in (5, 6, 7))
+    hourly = (bill.withColumn("feature", F.lit(5))
+              .unionByName(game.withColumn("feature", F.lit(6)))
+              .unionByName(travel.withColumn("feature", F.lit(7))))
+    inputs = Inputs(card_daily=standins.card_daily(t.lineitem),
+                    entry_type_daily=standins.entry_type_daily(t.lineitem),
+                    fee_rows=standins.fee_rows(t.orders),
+                    acceptor_cube=standins.acceptor_cube(t.lineitem, t.orders, t.customer,
+                                                         t.supplier, full=False),
+                    hourly_cube=hourly)
+    target = scratch_path(spark, "t-readme")
+    lo, hi = run_window("1998-04-15")
+    rows = forecast_days(spark, inputs, lo, hi, history=read_output(spark, target, OUTPUT_COLUMNS))
+    write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
+    stored = rows_of(read_output(spark, target))
+    assert stored == rows_of(run_day(spark, t, "1998-04-15", target=scratch_path(spark, "t-r2")))
