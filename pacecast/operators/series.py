@@ -65,13 +65,15 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str) -
     task. For a date-grain ``ts_col`` the first two levels collapse.
     """
     vtype = df.schema[value_col].dataType
-    if isinstance(vtype, DecimalType) and vtype.precision <= 28:
-        # sums run on exact long units; converted back at the end
-        v = to_units(zero_if_null(F.col(value_col)), vtype.scale)
-        back = lambda c: from_units(c, min(38, vtype.precision + 10), vtype.scale)
-    else:
-        v = zero_if_null(F.col(value_col))
-        back = lambda c: c
+    in_units = isinstance(vtype, DecimalType) and vtype.precision <= 28
+
+    def back(total: Column) -> Column:
+        """Sums run on exact long units for decimals; converted back at the end."""
+        return from_units(total, min(38, vtype.precision + 10), vtype.scale) if in_units else total
+
+    v = zero_if_null(F.col(value_col))
+    if in_units:
+        v = to_units(v, vtype.scale)
     is_date = dict(df.dtypes)[ts_col] == "date"
     day_keys = keys + ["date"]
     if is_date:
