@@ -146,3 +146,10 @@ def test_empty_anchor_range_does_not_count_down(spark):
     assert anchor_range(spark, day("2024-03-05"), day("2024-03-05")).count() == 0
     assert anchor_range(spark, day("2024-03-05"), day("2024-03-01")).count() == 0
     assert anchor_range(spark, day("2024-03-05"), day("2024-03-06")).count() == 1
+
+
+def test_backfill_spine_covers_every_recomputed_day(spark):
+    from pacecast.operators.calendar import backfill_spine
+    days = sorted(r["anchor"] for r in backfill_spine(spark, "1998-03-01", "1998-04-15").collect())
+    assert days[0] == day("1998-02-01") and days[-1] == day("1998-04-14")
+    assert len(days) == (day("1998-04-15") - day("1998-02-01")).days
