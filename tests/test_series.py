@@ -126,3 +126,28 @@ def test_ptd_at_month_end_is_the_month_sum(spark):
     joined = last.join(sums, ["l_returnflag", "m"], "full")
     assert joined.filter(F.col("ptd_end").isNull() | F.col("total").isNull()
                          | (F.col("ptd_end") != F.col("total"))).count() == 0
+
+
+def test_hourly_cube_users_mtd_with_a_hot_user(spark):
+    import random
+    from pacecast.sources.standins import ALL, EVENT_FEATURE, hourly_cube
+    rnd = random.Random(3)
+    types = sorted(EVENT_FEATURE)
+    rows = []
+    for i in range(600):
+        user = 7 if rnd.random() < 0.6 else rnd.randint(1, 40)       # one user holds most rows
+        ts = dt.datetime(2024, rnd.choice([1, 2]), rnd.randint(1, 3), rnd.randint(0, 23), rnd.randint(0, 59))
+        rows.append((i, ts, user, rnd.choice(types), 1.0, ""))
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, "
+                                         "event_type string, value double, props string")
+    got = {(r["feature"], r["hour"]): (r["users_hourly"], r["users_mtd"], r["tx_hourly"], r["tx_mtd"])
+           for r in hourly_cube(events, full=False).collect()
+           if r["group_id"] == ALL and r["company_id"] == ALL}
+    want = {}
+    for f in set(EVENT_FEATURE.values()):
+        mine = [(ts.replace(minute=0), u) for _, ts, u, t, _, _ in rows if EVENT_FEATURE[t] == f]
+        for hour in {h for h, _ in mine}:
+            in_hour = [u for h, u in mine if h == hour]
+            to_date = [u for h, u in mine if h <= hour and (h.year, h.month) == (hour.year, hour.month)]
+            want[(f, hour)] = (len(set(in_hour)), len(set(to_date)), len(in_hour), len(to_date))
+    assert got == want
