@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> None:
                        help="align month -3 by its own length difference")
         p.add_argument("--master", default=None)
         p.add_argument("--show", type=int, default=20)
+        p.add_argument("--explain", action="store_true",
+                       help="print the formatted physical plan of the final job")
     args = parser.parse_args(argv)
 
     if args.master:
@@ -48,6 +50,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         rows = backfill(spark, tables, args.first, args.last, target=args.target,
                         own_month_shift=args.own_month_shift, as_of=args.as_of)
+    if args.explain:
+        rows.explain(mode="formatted")
     if args.target is None:
         rows.show(args.show, truncate=False)
     else:
