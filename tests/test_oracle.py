@@ -9,10 +9,13 @@ import pytest
 from conftest import SF_SMOKE
 
 import __spark_entry__ as entry
+import oracle_sql_text
+from pacecast.plans import queries as own
 from pacecast.sources.tables import TABLES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# the library's own queries; those of the optional subpackage have their tests in tests/llm
+QUERIES = own.registry()
+ORACLE = oracle_sql_text.registry()
 # queries without SQL oracle (checked against brute force elsewhere)
 NO_ORACLE = set(QUERIES) - set(ORACLE)
 
@@ -38,6 +41,8 @@ def duck():
 def test_oracle_keys_are_queries():
     assert set(ORACLE) <= set(QUERIES)
     assert NO_ORACLE == set()
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
