@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, BinaryType, LongType
 
-from .common import slices
+from .common import map_arrow, slices
 
 SHIFT = 20  # ids stay below 2**20
 NONE = 1 << 30  # no merge
@@ -273,7 +273,7 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text
                 new.append(pa.array([decode_ids(x, vocabulary) for x in ids], pa.binary()))
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + new, names=list(keep) + names)
 
-    return source.mapInArrow(work, schema)
+    return map_arrow(source, work, schema)
 
 
 def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
@@ -292,4 +292,4 @@ def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", to: str =
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(out, pa.binary())],
                                              names=schema.names)
 
-    return encoded.mapInArrow(work, schema)
+    return map_arrow(encoded, work, schema)

@@ -6,7 +6,12 @@ Scratch tables go to the folder the session names in ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import atexit
+import os
+import shutil
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +34,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()  # application ids
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per context.
+
+    Not needed where it is installed or on PYTHONPATH; else it goes with
+    ``addPyFile``, which the driver serves to all executors.
+    """
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = os.path.dirname(package)
+    on_path = root in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if sc.applicationId in _shipped or on_path or os.path.basename(root) == "site-packages":
+        return
+    folder = tempfile.mkdtemp(prefix="pacecast-")  # served by the driver as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    out.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, work: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def fold(key: Column, modulus: int) -> Column:
     """crc32 of the key as text modulo ``modulus``; -1 for a null key.
 

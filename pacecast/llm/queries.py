@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fold, table
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +27,66 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_naive_bayes_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and posterior of every text; learned where crc32(doc_id) mod 3 is 0 or 2."""
+    from . import langid
+
+    docs = table(spark, sf_dir, "documents")
+    part = fold(F.col("doc_id"), 3)
+    model = langid.train(docs, learn=part.isin(0, 2))
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (~part.isin(0, 2)).alias("held_out"), "lang_pred", "score")
+
+
+def op7_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text; learned from labels where crc32(doc_id) mod 3 is 0 or 2."""
+    from . import quality
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    part = fold(F.col("doc_id"), 3)
+    model = quality.train(docs, labels, part.isin(0, 2))
+    out = quality.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (~part.isin(0, 2)).alias("held_out"), "score", "predicted")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every text: counts and digest of the base kinds, all spans."""
+    from . import pii
+
+    found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("pii")).alias("spans"))
+
+
+def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; learned from labels where crc32(doc_id) mod 5 is not 0."""
+    from . import toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    part = fold(F.col("doc_id"), 5)
+    model = toxicity.train(docs, labels, part > 0)
+    out = toxicity.score(docs.select("doc_id", "text"), model)
+    spans = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(
+        ":", s["start"].cast("string"), s["end"].cast("string"))))
+    return out.select("doc_id", (part <= 0).alias("held_out"), "score", "predicted", spans.alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_naive_bayes_lang": op5_naive_bayes_lang,
+    "op7_pairwise_quality": op7_pairwise_quality,
+    "op8_pii": op8_pii,
+    "op10_crf_toxicity": op10_crf_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
