@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from .common import fold, table
 
 
+def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix the sources to weights 3, 1, 2 over 150% of all words; how often each document is taken."""
+    from .mixing import mix
+
+    out = mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; the digests of ids and decoded bytes."""
     import public_tokenizers as tokenizers
@@ -82,6 +90,7 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_entropy_mix": op1_entropy_mix,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_naive_bayes_lang": op5_naive_bayes_lang,
     "op7_pairwise_quality": op7_pairwise_quality,
