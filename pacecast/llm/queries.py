@@ -22,6 +22,13 @@ def op1_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found by inner product for every 20th vector, by a hash-prefix forest."""
+    from .lsh_forest import approximate_nearest
+
+    return approximate_nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; the digests of ids and decoded bytes."""
     import public_tokenizers as tokenizers
@@ -46,6 +53,13 @@ def op5_naive_bayes_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~part.isin(0, 2)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_kd_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest integer inner products for every 20th vector, exactly, by KD-trees."""
+    from .kdtree import exact_nearest
+
+    return exact_nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text; learned from labels where crc32(doc_id) mod 3 is 0 or 2."""
     from . import quality
@@ -91,11 +105,33 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mix": op1_entropy_mix,
+    "op2_lsh_forest": op2_lsh_forest,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_naive_bayes_lang": op5_naive_bayes_lang,
+    "op6_kd_tree": op6_kd_tree,
     "op7_pairwise_quality": op7_pairwise_quality,
     "op8_pii": op8_pii,
     "op10_crf_toxicity": op10_crf_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_kd_tree": """
+        WITH whole AS (
+            SELECT CAST(vec_id AS BIGINT) AS vec_id,
+                   list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0),
+        rows AS (SELECT vec_id, min(vec) AS vec FROM whole GROUP BY vec_id),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.vec) + 1), lambda i: q.vec[i] * c.vec[i])) AS BIGINT)
+                       AS score
+            FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec)
+            WHERE q.vec_id % 20 = 0)
+        SELECT query_id,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored
+        QUALIFY rank <= 20""",
+}
