@@ -90,6 +90,13 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("pii")).alias("spans"))
 
 
+def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets are 80% alike."""
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text; learned from labels where crc32(doc_id) mod 5 is not 0."""
     from . import toxicity
@@ -111,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_kd_tree": op6_kd_tree,
     "op7_pairwise_quality": op7_pairwise_quality,
     "op8_pii": op8_pii,
+    "op9_hyperminhash": op9_hyperminhash,
     "op10_crf_toxicity": op10_crf_toxicity,
 }
 
@@ -134,4 +142,31 @@ ORACLE_SQL: dict[str, str] = {
                vec_id, score
         FROM scored
         QUALIFY rank <= 20""",
+    "op9_hyperminhash": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, coalesce(regexp_extract_all(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+'), []) AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(
+                range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s
+            FROM worded),
+        classes AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+        inverted AS (SELECT rep, n, unnest(s) AS shingle FROM classes),
+        links AS (
+            SELECT a.rep AS a, b.rep AS b
+            FROM inverted a JOIN inverted b ON a.shingle = b.shingle AND a.rep <> b.rep
+                AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.rep, b.rep, a.n, b.n
+            HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        reached AS (
+            SELECT rep AS node, rep AS root FROM classes
+            UNION
+            SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.node),
+        rooted AS (SELECT node, min(root) AS component FROM reached GROUP BY node)
+        SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles,
+               coalesce(r.component, d.doc_id) AS component_id,
+               d.doc_id = coalesce(r.component, d.doc_id) AS kept
+        FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN rooted r ON r.node = c.rep""",
 }
