@@ -1,16 +1,88 @@
-"""Corpus pipeline: the stages that turn ``documents`` into training tokens."""
+"""Corpus pipeline: the stages that turn ``documents`` into training tokens.
+
+Every stage takes (spark, docs, sf_dir), works on all documents it is given and
+returns documents again; the last one adds the token ids. What each stage does:
+
+1. language ID: learns from the documents' own languages and drops those it rejects:
+   without a text or a letter, or with no language at least as likely as not.
+2. near-dedup: of the documents whose 5-word shingle sets are linked by a similarity
+   of 0.8 or more, the one with the smallest id stays. Rows without an id stay.
+3. PII: replaces personal data by its kind in brackets; ``n_chars`` follows.
+4. mixing: takes each document as often as the mix of sources asks, up to twice.
+5. byte-level BPE: the text gives way to ``n_tokens`` and ``ids`` (packed, little-endian).
+
+``ORACLE_SQL`` is None: SQL can express neither the classifier, the tilted rates nor
+the merges. The tests hold each stage against a brute-force version instead.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pacecast.llm import bpe, langid, mixing, neardup, pii
+from pacecast.llm.common import columns, stored
+
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language; ``lang`` itself is not changed."""
+    model = langid.train(docs)
+    found = langid.predict(docs, model, lang_to="__lang", score_to="__score")
+    kept = (F.col("__lang") != "und") & (F.col("__score") >= 0.5)
+    return found.where(kept).select(*columns(docs, docs.columns))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates; fully repeated rows count as copies."""
+    found = stored(neardup.near_duplicates(docs).where("kept and doc_id is not null")
+                   .groupBy("doc_id").agg(F.count("*").alias("__rows")), "pipeline-kept")
+    out = docs.join(found, "doc_id", "left_semi").select(*columns(docs, docs.columns))
+    again = found.where("__rows > 1")
+    if not again.isEmpty():  # an id on several kept rows: equal texts under it are copies as well
+        repeated = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        out = (docs.join(found.where("__rows = 1"), "doc_id", "left_semi")
+               .unionByName(repeated).select(*columns(docs, docs.columns)))
+    return out.unionByName(docs.where("doc_id is null"))
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with personal data replaced."""
+    out = pii.redact(docs)
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(size))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it."""
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-numbered")
+    taken = mixing.mix(numbered, keep=["__row"]).where("copies > 0").select("__row", "copies")
+    repeated = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("__copy")
+    return (numbered.join(taken, "__row").select(*columns(docs, docs.columns), repeated)
+            .select(*columns(docs, docs.columns)))
+
+
+def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in place of the texts."""
+    kept = [c for c in docs.columns if c != "text"]
+    return bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN, keep=kept)
+
 
-STAGES: list = []
+STAGES = [
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
+    ("PII", redact_pii),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE", encode_bpe),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply every stage in turn to ``documents``."""
+    """Apply every stage in turn to ``documents``, each result written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), "pipeline")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, BinaryType, LongType
 
-from .common import map_arrow, slices
+from .common import columns, map_arrow, others, slices
 
 SHIFT = 20  # ids stay below 2**20
 NONE = 1 << 30  # no merge
 #: Words whose encoding a worker remembers; the memo starts anew when full.
-MEMO_WORDS = 900_000
+MEMO_WORDS = 500_000
+#: Characters of text that are replayed together.
+SLICE_CHARS = 16_000_000
 
 
 class Vocabulary:
@@ -246,32 +248,30 @@ def _read(path: str) -> bytes:
 
 def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text",
            keep: list[str] | None = None, decoded: bool = False,
-           prefix: str = "", space_led: bool = True) -> DataFrame:
+           space_led: bool = True) -> DataFrame:
     """Encode whole texts: ``keep`` columns, ``n_tokens`` long and ``ids`` binary.
 
     ``ids`` packs the ids as little-endian unsigned 32-bit integers;
     ``decoded`` adds the bytes that decoding those ids gives. Special tokens
-    are ordinary text. Columns of ``keep`` (default: all) named like a new
-    column are rejected; ``prefix`` renames the new ones.
+    are ordinary text. An old column (``keep``: default all) with a new one's
+    name gives way to it.
     """
-    keep = docs.columns if keep is None else keep
-    names = [f"{prefix}{n}" for n in ("n_tokens", "ids", "decoded")][:3 if decoded else 2]
-    if clash := set(names) & set(keep):
-        raise ValueError(f"columns already there: {sorted(clash)}; give a prefix")
+    names = ["n_tokens", "ids", "decoded"][:3 if decoded else 2]
+    kept = [c for c in others(docs, *names) if keep is None or c in keep]
     data = docs.sparkSession.sparkContext.broadcast(_read(vocab_path))
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
-    kept = [source.schema[c] for c in keep]
+    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
     types = (LongType(), BinaryType(), BinaryType())
-    schema = StructType(kept + [StructField(n, t) for n, t in zip(names, types, strict=False)])
+    schema = StructType(source.schema.fields[:-1]
+                        + [StructField(n, t) for n, t in zip(names, types, strict=False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, splitter, memo = _codec(data.value, pattern)
-        for batch, texts in slices(batches, "__text", max_chars=24_000_000, max_rows=10_000):
+        for batch, texts in slices(batches, len(kept), max_chars=SLICE_CHARS, max_rows=10_000):
             ids = encode_texts(texts, vocabulary, splitter, memo, space_led)
             new = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             if decoded:
                 new.append(pa.array([decode_ids(x, vocabulary) for x in ids], pa.binary()))
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + new, names=list(keep) + names)
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + new, names=schema.names)
 
     return map_arrow(source, work, schema)
 
@@ -279,17 +279,16 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text
 def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """Add the bytes that the packed ids stand for (null ids: null)."""
     data = encoded.sparkSession.sparkContext.broadcast(_read(vocab_path))
-    if to in encoded.columns:
-        raise ValueError(f"column already there: {to}")
-    schema = StructType(encoded.schema.fields + [StructField(to, BinaryType())])
-    at = encoded.columns.index(ids_col)
+    kept = others(encoded, to)
+    source = encoded.select(*columns(encoded, kept), F.col(f"`{ids_col}`").alias("__ids"))
+    schema = StructType(source.schema.fields[:-1] + [StructField(to, BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, _, _ = _codec(data.value, "")
         for batch in batches:
             out = [None if x is None else decode_ids(x, vocabulary)
-                   for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(out, pa.binary())],
+                   for x in batch.column(len(kept)).to_pylist()]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(out, pa.binary())],
                                              names=schema.names)
 
-    return map_arrow(encoded, work, schema)
+    return map_arrow(source, work, schema)

@@ -77,14 +77,25 @@ def fold(key: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4_000_000,
+def others(df: DataFrame, *new: str) -> list[str]:
+    """The columns of ``df`` that stay beside the new ones: an old column gives way to a new one's name."""
+    taken = {n.lower() for n in new}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def columns(df: DataFrame, names: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in names]
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: int, max_chars: int = 4_000_000,
            max_rows: int = 2_000) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Batches cut so that one slice holds ``max_rows`` rows and about ``max_chars`` of text.
 
-    A single longer text makes a slice of its own; texts are never cut.
+    ``text`` is the text column's place. A single longer text makes a slice of
+    its own; texts are never cut.
     """
     for batch in batches:
-        values = batch.column(batch.schema.get_field_index(column)).to_pylist()
+        values = batch.column(text).to_pylist()
         start = chars = 0
         for i, value in enumerate(values):
             size = len(value or "")
@@ -94,8 +105,3 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_chars: int = 4_00
             chars += size
         if start < len(values):
             yield batch.slice(start), values[start:]
-
-
-def keyed_texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    """Only the columns an operator needs, under names of its own (``_id``, ``_text``)."""
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *more)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import map_arrow, slices
+from .common import columns, map_arrow, others, slices
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -128,7 +128,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(languages), BUCKETS), np.int64)
         docs_of = np.zeros(len(languages), np.int64)
-        for batch, texts in slices(batches, "_text"):
+        for batch, texts in slices(batches, 1):
             by: dict[str, list[str]] = {}
             for name, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 by.setdefault(name, []).append(text)
@@ -171,20 +171,19 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
             score_to: str = "score") -> DataFrame:
     """All rows and columns with the predicted language and its probability.
 
-    Columns already named like the new ones are rejected.
+    An old column with a new one's name gives way to it.
     """
-    if clash := {lang_to, score_to} & set(docs.columns):
-        raise ValueError(f"columns already there: {sorted(clash)}; name the new ones")
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names = [*docs.columns, lang_to, score_to]
-    schema = StructType(docs.schema.fields + [StructField(lang_to, StringType()),
-                                              StructField(score_to, DoubleType())])
+    kept = others(docs, lang_to, score_to)
+    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
+    schema = StructType(source.schema.fields[:-1] + [StructField(lang_to, StringType()),
+                                                     StructField(score_to, DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, text_col):
+        for batch, texts in slices(batches, len(kept)):
             langs, scores = predict_texts(texts, held.value)
             yield pa.RecordBatch.from_arrays(
-                batch.columns + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=names)
+                batch.columns[:-1] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                names=schema.names)
 
-    return map_arrow(docs, work, schema)
+    return map_arrow(source, work, schema)

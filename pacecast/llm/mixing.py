@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, stored
+from .common import WORD, others, stored
 
 #: Residual of a constraint, as a share of its target, at which the Newton steps end.
 TOLERANCE = 1e-6
@@ -126,12 +126,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         keep: list[str] | None = None) -> DataFrame:
     """One row per document: ``keep`` columns, size, source, source_size, target, rate, copies, taken.
 
-    ``keep`` (default: the id) must not hold the names of the new columns.
+    An old column (``keep``: default the id) with a new one's name gives way to it.
     """
-    keep = [id_col] if keep is None else keep
-    new = {"size", "source_size", "target", "rate", "copies", "taken"}
-    if clash := new & set(keep):
-        raise ValueError(f"columns already there: {sorted(clash)}")
+    new = ("size", "mix_source", "source_size", "target", "rate", "copies", "taken")
+    keep = [c for c in others(docs, *new) if c in ([id_col] if keep is None else keep)]
     # a null source gets a key of its own, distinct from every name
     key = F.when(F.col(source_col).isNull(), "0").otherwise(F.concat(F.lit("1"), source_col))
     docs = stored(docs.select(

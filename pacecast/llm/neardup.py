@@ -290,7 +290,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
     """(_id, n, key, registers) of every row; key and registers are null for an empty set."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch, texts in slices(batches, "_text", max_chars=2_000_000):
+        for batch, texts in slices(batches, 1, max_chars=2_000_000):
             if len(hashes) > MEMO_WORDS:
                 hashes.clear()
             sets = [shingles(t, width, hashes) for t in texts]
@@ -324,7 +324,7 @@ def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, id_col: str,
     """(a, b): spanning links of the classes in each group, confirmed on full sets."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch, texts in slices(batches, "_text", max_chars=2_000_000):
+        for batch, texts in slices(batches, 1, max_chars=2_000_000):
             if len(hashes) > MEMO_WORDS:
                 hashes.clear()
             sets = [shingles(t, width, hashes) for t in texts]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField,
                                StructType)
 
-from .common import map_arrow, slices
+from .common import columns, map_arrow, others, slices
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "short_card", "local_phone")
@@ -169,18 +169,16 @@ SPANS = ArrayType(StructType([StructField("kind", StringType()), StructField("st
 def detect(docs: DataFrame, text_col: str = "text", to: str = "pii") -> DataFrame:
     """All rows and columns but the text, with an array of (kind, start, end, score).
 
-    A column already named ``to`` is rejected.
+    An old column named ``to`` gives way to it.
     """
-    kept = [c for c in docs.columns if c != text_col]
-    if to in kept:
-        raise ValueError(f"column already there: {to}")
-    source = docs.select(*[F.col(f"`{c}`") for c in [*kept, text_col]])
-    schema = StructType([source.schema[c] for c in kept] + [StructField(to, SPANS)])
+    kept = others(docs, text_col, to)
+    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
+    schema = StructType(source.schema.fields[:-1] + [StructField(to, SPANS)])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
                                ("score", pa.float64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, text_col):
+        for batch, texts in slices(batches, len(kept)):
             found = [[s._asdict() for s in find(t)] for t in texts]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [pa.array(found, kind)],
                                              names=schema.names)
@@ -190,12 +188,12 @@ def detect(docs: DataFrame, text_col: str = "text", to: str = "pii") -> DataFram
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The same rows and columns with the texts redacted."""
-    at = docs.columns.index(text_col)
+    names, at = docs.columns, docs.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, text_col):
+        for batch, texts in slices(batches, at):
             clean = pa.array([redact_text(t) for t in texts], batch.column(at).type)
-            columns = [*batch.columns[:at], clean, *batch.columns[at + 1:]]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            new = [*batch.columns[:at], clean, *batch.columns[at + 1:]]
+            yield pa.RecordBatch.from_arrays(new, names=names)
 
     return map_arrow(docs, work, docs.schema)

@@ -42,6 +42,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-count and subword-lattice scores of every text; learned where crc32(doc_id) mod 10 is not 0."""
+    import public_tokenizers as tokenizers
+
+    from .lattice import score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, fold(F.col("doc_id"), 10) > 0, tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op5_naive_bayes_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language and posterior of every text; learned where crc32(doc_id) mod 3 is 0 or 2."""
     from . import langid
@@ -114,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_lsh_forest": op2_lsh_forest,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_lattice_lm": op4_lattice_lm,
     "op5_naive_bayes_lang": op5_naive_bayes_lang,
     "op6_kd_tree": op6_kd_tree,
     "op7_pairwise_quality": op7_pairwise_quality,

@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
                                StructType)
 
-from .common import map_arrow, slices
+from .common import columns, map_arrow, others, slices
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 DIMENSIONS = 1 << 18
 #: Tokens of a training segment, and segments taken of a sampled text.
-SEGMENT, SEGMENTS = 40, 6
+SEGMENT, SEGMENTS = 40, 4
 #: Words whose weight a worker remembers; the memo starts anew when full.
 MEMO_WORDS = 400_000
 
@@ -125,7 +125,7 @@ def sample(labels: DataFrame, learn: Column, id_col: str, label_col: str, toxic_
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(feature, label, group) of each text's distinct features; group: its smallest word hash."""
-    for batch, texts in slices(batches, "_text"):
+    for batch, texts in slices(batches, 1):
         for label, text in zip(batch.column(0).to_pylist(), texts, strict=True):
             words = set(TOKEN.findall((text or "").lower()))
             if words:
@@ -158,7 +158,7 @@ def indicators(texts: DataFrame, chance: float = 0.1) -> set[str]:
 def _segments(marks: set[str]):
     """Tagged segments of a text: those with toxic tokens first, then from its start."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "_text"):
+        for batch, texts in slices(batches, 2):
             ids, kinds, words, tags = [], [], [], []
             for key, label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts,
                                         strict=True):
@@ -178,27 +178,26 @@ def _segments(marks: set[str]):
     return work
 
 
-def fit(words: list[list[str]], tags: list[np.ndarray], rounds: int = 40, rate: float = 0.5) -> Model:
-    """Maximise the chain's log likelihood by AdaGrad over all segments, with hashed features."""
+def fit(words: list[str], number: np.ndarray, lengths: np.ndarray, truth: np.ndarray,
+        rounds: int = 40, rate: float = 0.5) -> Model:
+    """Maximise the chain's log likelihood by AdaGrad over all segments, with hashed features.
+
+    The segments' tokens follow each other in ``number`` (places in ``words``) and ``truth`` (tags).
+    """
     weights, bias, moves = np.zeros(DIMENSIONS), -2.0, np.zeros((2, 2))
-    seen: dict[str, int] = {}
-    for segment in words:
-        for w in segment:
-            seen.setdefault(w, len(seen))
-    slots = [_slots(w) for w in seen]
+    slots = [_slots(w) for w in words]
     owner = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
-    slot = np.concatenate([np.array(s, int) for s in slots]) if slots else np.zeros(0, int)
-    number = [np.array([seen[w] for w in s], int) for s in words]
-    flat = np.concatenate(number) if number else np.zeros(0, int)
-    truth = np.concatenate(tags) if tags else np.zeros(0)
-    inner = np.concatenate([np.arange(len(s)) > 0 for s in number]) if number else np.zeros(0, bool)
-    here, there = truth[1:][inner[1:]].astype(int), truth[:-1][inner[1:]].astype(int)
-    wanted = np.bincount(there * 2 + here, minlength=4).reshape(2, 2)
+    slot = np.fromiter((x for s in slots for x in s), np.int64)
+    starts = np.cumsum(lengths) - lengths
+    inner = np.ones(len(number), bool)
+    inner[starts] = False
+    here = np.flatnonzero(inner)
+    wanted = np.bincount(truth[here - 1].astype(int) * 2 + truth[here].astype(int), minlength=4).reshape(2, 2)
     g_w, g_b, g_m = np.full(DIMENSIONS, 1e-6), 1e-6, np.full((2, 2), 1e-6)
-    for _ in range(rounds if len(flat) else 0):
+    for _ in range(rounds):
         odds = np.bincount(owner, weights[slot], minlength=len(slots)) + bias
-        p, pairs = _expected([odds[s] for s in number], moves)
-        error = np.bincount(flat, truth - p, minlength=len(slots))
+        p, pairs = _expected(odds[number], starts, lengths, moves)
+        error = np.bincount(number, truth - p, minlength=len(slots))
         step = np.bincount(slot, error[owner], minlength=DIMENSIONS) - 0.02 * weights
         g_w += step ** 2
         weights += rate * step / np.sqrt(g_w)
@@ -210,32 +209,32 @@ def fit(words: list[list[str]], tags: list[np.ndarray], rounds: int = 40, rate:
     return Model(weights, bias, moves, 1.0, 0.0)
 
 
-def _expected(odds: list[np.ndarray], moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of tag 1 over all tokens in order, and expected transition counts."""
-    lengths = np.array([len(o) for o in odds])
-    longest = lengths.max()
-    e = np.zeros((len(odds), longest, 2))
-    for i, o in enumerate(odds):
-        e[i, :len(o), 1] = o
-    f, b = np.zeros_like(e), np.zeros_like(e)
-    f[:, 0] = e[:, 0]
+def _expected(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves: np.ndarray
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of tag 1 over all tokens in order, and expected transition counts [from][to]."""
+    a = np.exp(moves)
+    f, p, pairs = np.zeros(len(odds)), np.zeros(len(odds)), np.zeros((2, 2))
+    f[starts] = odds[starts]
+    longest = int(lengths.max())
     for t in range(1, longest):
-        f[:, t] = e[:, t] + np.logaddexp(f[:, t - 1, 0, None] + moves[0], f[:, t - 1, 1, None] + moves[1])
-    for t in range(longest - 2, -1, -1):
-        after = e[:, t + 1] + b[:, t + 1]
-        value = np.logaddexp(after[:, 0, None] + moves[:, 0], after[:, 1, None] + moves[:, 1])
-        b[:, t] = np.where((lengths > t + 1)[:, None], value, 0)
-    both = f + b
-    norm = np.logaddexp(both[:, 0, 0], both[:, 0, 1])
-    inside = np.arange(longest) < lengths[:, None]
-    p = np.exp(both[:, :, 1] - norm[:, None])[inside]
-    joint = (f[:, :-1, :, None] + moves[None, None] + (e + b)[:, 1:, None, :] - norm[:, None, None, None])
-    return p, np.exp(joint[inside[:, 1:]]).sum(axis=0)
+        at = starts[lengths > t] + t
+        r = np.exp(np.clip(f[at - 1], -40, 40))
+        f[at] = odds[at] + np.log((a[0, 1] + a[1, 1] * r) / (a[0, 0] + a[1, 0] * r))
+    b = np.zeros(len(odds))
+    for t in range(longest - 1, 0, -1):
+        at = starts[lengths > t] + t
+        r = np.exp(np.clip(odds[at] + b[at], -40, 40))
+        left = np.exp(np.clip(f[at - 1], -40, 40))
+        joint = np.array([[a[0, 0] + 0 * r, a[0, 1] * r], [a[1, 0] * left, a[1, 1] * left * r]])
+        pairs += (joint / joint.sum(axis=(0, 1))).sum(axis=2)
+        b[at - 1] = np.log((a[1, 0] + a[1, 1] * r) / (a[0, 0] + a[0, 1] * r))
+    p = _sigmoid(f + b)
+    return p, pairs
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
-          text_col: str = "text", label_col: str = "toxic", toxic_rows: int = 4_000,
-          clean_rows: int = 8_000) -> Model:
+          text_col: str = "text", label_col: str = "toxic", toxic_rows: int = 2_500,
+          clean_rows: int = 5_000) -> Model:
     """Fit on at most ``toxic_rows`` + ``clean_rows`` labelled texts.
 
     The sampled ids are broadcast; the driver gets at most ``SEGMENTS`` segments
@@ -245,18 +244,23 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
              .join(F.broadcast(chosen), "_id").select("_id", "_label", "_text"))
     marks = indicators(texts.select("_label", "_text"))
-    rows = map_arrow(texts, _segments(marks),
-                     "id string, label int, words array<string>, tags array<int>").toPandas()
-    if rows.empty or not marks:
+    if not marks:
         return Model(np.zeros(DIMENSIONS), -8.0, np.zeros((2, 2)), 1.0, 0.0)
-    rows["key"] = [" ".join(w) for w in rows["words"]]
-    rows = rows.sort_values(["id", "key"], kind="stable")
-    words = [list(w) for w in rows["words"]]
-    model = fit(words, [np.asarray(t, float) for t in rows["tags"]])
-    found = marginal_odds([np.array([model.word_odds(w) for w in s]) for s in words], model.moves)
-    rows["top"] = [o.max() for o in found]
-    by_text = rows.groupby("id").agg({"top": "max", "label": "max"})
-    return _calibrated(model, by_text["top"].to_numpy(), by_text["label"].to_numpy())
+    rows = map_arrow(texts, _segments(marks), "id string, label int, words array<string>, tags array<int>"
+                     ).orderBy("id", "words").toArrow().combine_chunks()
+    lists = rows["words"].chunk(0)
+    tokens = lists.flatten().dictionary_encode()
+    words, number = tokens.dictionary.to_pylist(), tokens.indices.to_numpy()
+    lengths = np.diff(lists.offsets.to_numpy())
+    model = fit(words, number, lengths, rows["tags"].chunk(0).flatten().to_numpy().astype(float))
+    odds = np.array([model.word_odds(w) for w in words])[number]
+    found = marginal_odds(np.split(odds, np.cumsum(lengths)[:-1]), model.moves)
+    _, text = np.unique(rows["id"].to_pylist(), return_inverse=True)
+    top = np.full(text.max() + 1, -np.inf)
+    np.maximum.at(top, text, [o.max() for o in found])
+    label = np.zeros(len(top))
+    label[text] = rows["label"].to_numpy()
+    return _calibrated(model, top, label)
 
 
 def _calibrated(model: Model, top: np.ndarray, label: np.ndarray) -> Model:
@@ -313,26 +317,23 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All rows and columns but the text, with score, predicted (1: score >= 0.5) and spans.
 
     ``spans`` holds the code point offsets of the toxic tokens and their
-    marginals. Columns already named like the new ones are rejected.
+    marginals. An old column with a new one's name gives way to it.
     """
-    kept = [c for c in docs.columns if c != text_col]
-    new = ["score", "predicted", "spans"]
-    if clash := {*new} & set(kept):
-        raise ValueError(f"columns already there: {sorted(clash)}")
+    kept = others(docs, text_col, "score", "predicted", "spans")
     held = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*[F.col(f"`{c}`") for c in [*kept, text_col]])
-    schema = StructType([source.schema[c] for c in kept]
+    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
+    schema = StructType(source.schema.fields[:-1]
                         + [StructField("score", DoubleType()), StructField("predicted", IntegerType()),
                            StructField("spans", SPANS)])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, float] = {}
-        for batch, texts in slices(batches, text_col):
+        for batch, texts in slices(batches, len(kept)):
             p, spans = tag_texts(texts, held.value, memo)
             found = [[{"start": a, "end": b, "marginal": m} for a, b, m in s] for s in spans]
             yield pa.RecordBatch.from_arrays(
                 batch.columns[:-1] + [pa.array(p), pa.array((p >= 0.5).astype(np.int32)),
-                                      pa.array(found, kind)], names=[*kept, *new])
+                                      pa.array(found, kind)], names=schema.names)
 
     return map_arrow(source, work, schema)
