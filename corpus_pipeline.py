@@ -36,16 +36,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; fully repeated rows count as copies."""
-    found = stored(neardup.near_duplicates(docs).where("kept and doc_id is not null")
-                   .groupBy("doc_id").agg(F.count("*").alias("__rows")), "pipeline-kept")
-    out = docs.join(found, "doc_id", "left_semi").select(*columns(docs, docs.columns))
-    again = found.where("__rows > 1")
-    if not again.isEmpty():  # an id on several kept rows: equal texts under it are copies as well
-        repeated = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        out = (docs.join(found.where("__rows = 1"), "doc_id", "left_semi")
-               .unionByName(repeated).select(*columns(docs, docs.columns)))
-    return out.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near-duplicates; fully repeated rows are copies as well."""
+    marked = docs.withColumn("__text", F.xxhash64("text"))
+    found = neardup.near_duplicates(marked, keep=["__text"])
+    # of the rows of a component's smallest id (several, if an id is repeated) those of one text
+    winners = stored(found.where("kept and component_id is not null").groupBy("component_id").agg(
+        F.min("__text").alias("__text"), F.count("*").alias("__rows"))
+        .withColumnRenamed("component_id", "doc_id"), "pipeline-kept")
+    out = marked.join(winners, ["doc_id", "__text"], "left_semi")
+    repeated = winners.where("__rows > 1")
+    if not repeated.isEmpty():
+        rows = marked.join(repeated, ["doc_id", "__text"], "left_semi").dropDuplicates(["doc_id"])
+        out = marked.join(winners.where("__rows = 1"), ["doc_id", "__text"], "left_semi").unionByName(rows)
+    return out.unionByName(marked.where("doc_id is null")).select(*columns(docs, docs.columns))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,10 +23,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, BinaryType, LongType
 
-from .common import columns, map_arrow, others, slices
+from .common import beside, map_arrow, others, slices
 
 SHIFT = 20  # ids stay below 2**20
 NONE = 1 << 30  # no merge
@@ -259,9 +258,9 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text
     names = ["n_tokens", "ids", "decoded"][:3 if decoded else 2]
     kept = [c for c in others(docs, *names) if keep is None or c in keep]
     data = docs.sparkSession.sparkContext.broadcast(_read(vocab_path))
-    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
+    source, fields = beside(docs, kept, text_col)
     types = (LongType(), BinaryType(), BinaryType())
-    schema = StructType(source.schema.fields[:-1]
+    schema = StructType(fields
                         + [StructField(n, t) for n, t in zip(names, types, strict=False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +279,8 @@ def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", to: str =
     """Add the bytes that the packed ids stand for (null ids: null)."""
     data = encoded.sparkSession.sparkContext.broadcast(_read(vocab_path))
     kept = others(encoded, to)
-    source = encoded.select(*columns(encoded, kept), F.col(f"`{ids_col}`").alias("__ids"))
-    schema = StructType(source.schema.fields[:-1] + [StructField(to, BinaryType())])
+    source, fields = beside(encoded, kept, ids_col)
+    schema = StructType(fields + [StructField(to, BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, _, _ = _codec(data.value, "")

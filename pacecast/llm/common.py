@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from ..session import scratch_path
 
@@ -87,6 +88,13 @@ def columns(df: DataFrame, names: list[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in names]
 
 
+def beside(df: DataFrame, kept: list[str], value: str) -> tuple[DataFrame, list[StructField]]:
+    """The ``kept`` columns under numbers and ``value`` as the last one, and the kept fields by name."""
+    numbered = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)]
+    source = df.select(*numbered, F.col(f"`{value}`").alias("_value"))
+    return source, [StructField(c, f.dataType) for c, f in zip(kept, source.schema.fields, strict=False)]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int, max_chars: int = 4_000_000,
            max_rows: int = 2_000) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Batches cut so that one slice holds ``max_rows`` rows and about ``max_chars`` of text.

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import columns, map_arrow, others, slices
+from .common import beside, map_arrow, others, slices
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -175,8 +175,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     kept = others(docs, lang_to, score_to)
-    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
-    schema = StructType(source.schema.fields[:-1] + [StructField(lang_to, StringType()),
+    source, fields = beside(docs, kept, text_col)
+    schema = StructType(fields + [StructField(lang_to, StringType()),
                                                      StructField(score_to, DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

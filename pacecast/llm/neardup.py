@@ -34,8 +34,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import map_arrow, slices, stored
+from .common import map_arrow, others, slices, stored
 from .components import components
 
 BANDS, ROWS = 42, 6
@@ -286,8 +287,14 @@ def _to_sets(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(_id, n, key, registers) of every row; key and registers are null for an empty set."""
+def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, keep: list[str]) -> DataFrame:
+    """(_id, n, key, registers, kept columns) of every row; key and registers are null for an empty set."""
+    source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
+                         *[F.col(f"`{c}`").alias(f"k_{c}") for c in keep])
+    schema = StructType([StructField("_id", LongType()), StructField("n", LongType()),
+                         StructField("key", BinaryType()), StructField("registers", BinaryType()),
+                         *source.schema.fields[2:]])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch, texts in slices(batches, 1, max_chars=2_000_000):
@@ -300,11 +307,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
             data = [next(packed).tobytes() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(key, pa.binary()), pa.array(data, pa.binary())],
-                names=["_id", "n", "key", "registers"])
+                 pa.array(key, pa.binary()), pa.array(data, pa.binary()), *batch.columns[2:]],
+                names=schema.names)
 
-    source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return map_arrow(source, work, "_id long, n long, key binary, registers binary")
+    return map_arrow(source, work, schema)
 
 
 def _groups(classes: DataFrame, share: float) -> DataFrame:
@@ -346,24 +352,25 @@ def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, id_col: str,
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    share: float = 0.8) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept): one row per document.
+                    share: float = 0.8, keep: list[str] | None = None) -> DataFrame:
+    """(id_col, n_shingles, component_id, kept, columns of ``keep``): one row per document.
 
     Documents whose sets' Jaccard similarity is at least ``share`` (a multiple of 0.01) are linked;
     ``component_id`` is the smallest id that links lead to, and ``kept`` marks it. Ids are integers.
     """
-    sketched = stored(sketches(docs, id_col, text_col, width), "neardup-sketches")
+    keep = [c for c in others(docs, id_col, "n_shingles", "component_id", "kept") if c in (keep or ())]
+    sketched = stored(sketches(docs, id_col, text_col, width, keep), "neardup-sketches")
     classes = stored(
         sketched.where("n > 0 and _id is not null").groupBy("key")
         .agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("data")),
         "neardup-classes")
-    # one id may stand for several texts: then these are one document of the link graph
     groups = stored(_groups(classes, share), "neardup-groups")
     linked = components(_links(docs, classes, groups, id_col, text_col, width, share))
     names = classes.select("key", F.col("rep").alias("node")).join(linked, "node", "left").select(
         "key", F.coalesce("component", "node").alias("component"))
-    out = sketched.select("_id", "n", "key").join(names, "key", "left")
+    out = sketched.drop("registers").join(names, "key", "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("component", "_id"))
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
                       component.alias("component_id"),
-                      F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"),
+                      *[F.col(f"`k_{c}`").alias(c) for c in keep])

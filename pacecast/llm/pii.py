@@ -22,11 +22,10 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField,
                                StructType)
 
-from .common import columns, map_arrow, others, slices
+from .common import beside, map_arrow, others, slices
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "short_card", "local_phone")
@@ -172,8 +171,8 @@ def detect(docs: DataFrame, text_col: str = "text", to: str = "pii") -> DataFram
     An old column named ``to`` gives way to it.
     """
     kept = others(docs, text_col, to)
-    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
-    schema = StructType(source.schema.fields[:-1] + [StructField(to, SPANS)])
+    source, fields = beside(docs, kept, text_col)
+    schema = StructType(fields + [StructField(to, SPANS)])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
                                ("score", pa.float64())]))
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
                                StructType)
 
-from .common import columns, map_arrow, others, slices
+from .common import beside, map_arrow, others, slices
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -321,8 +321,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """
     kept = others(docs, text_col, "score", "predicted", "spans")
     held = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*columns(docs, kept), F.col(f"`{text_col}`").alias("__text"))
-    schema = StructType(source.schema.fields[:-1]
+    source, fields = beside(docs, kept, text_col)
+    schema = StructType(fields
                         + [StructField("score", DoubleType()), StructField("predicted", IntegerType()),
                            StructField("spans", SPANS)])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
