@@ -242,8 +242,9 @@ def _sliced(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataF
                 raw = text.encode("utf-8", "surrogatepass") if text else b""
                 name.update(len(raw).to_bytes(8, "little") + raw)
                 words = raw.lower().split()
-                for word in {*words} - number.keys():
-                    number[word] = len(number)
+                for word in {*words}:
+                    if word not in number:
+                        number[word] = len(number)
                 own.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             name.update(repr(batch.column(0).to_pylist()).encode())
             tokens = np.concatenate([*own, np.zeros(0, np.int32)])
