@@ -224,8 +224,7 @@ def encode_texts(texts: list, vocabulary: Vocabulary, pattern, memo: Memo,
                                      memo.last[parts[-1]]]))
                 continue
             except TypeError:  # one of the parts is None
-                late = {*pattern.findall(text)} - ids.keys()
-                ids.update(_ids(late, vocabulary))
+                ids.update(_ids({w for w in pattern.findall(text) if w not in ids}, vocabulary))
         out.append(b"".join([ids[w] for w in pattern.findall(text)]) if text else b"")
     return out
 
