@@ -10,9 +10,10 @@ source, taken over the counts of documents by (source, size), so a step costs
 one aggregation of that table and is distributed however large a source is.
 
 Rates become copies by systematic rounding in the order of sizes: the running sum
-of rates, rounded down, goes up by a document's copies. The taken words of a source
-then miss its target by about one large document at most, and up to
-``CORRECTIONS`` documents of a fitting size take one copy more or less. Running
+of rates, rounded down, goes up by a document's copies. Documents longer than ``LONG``
+times their source's mean are rounded first, and the dual is solved once more for the others
+and what is left of the target. Then up to ``CORRECTIONS`` documents of a fitting size
+take one copy more or less. Running
 sums go over the (source, size) table and, for a size that many documents share,
 over cells of about the square root of their number, so no window holds a
 source or a group of copies.
@@ -36,6 +37,7 @@ from .common import WORD, others, stored
 TOLERANCE = 1e-6
 STEPS_A_JOB, JOBS = 4, 12
 CORRECTIONS = 3
+LONG = 2.0
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
@@ -121,6 +123,26 @@ def multipliers(sizes: DataFrame, sources: DataFrame, most: float = 2.0) -> Data
     return state.select("source_key", "lambda")
 
 
+def _rounded(rates: Column) -> Column:
+    """Copies up to a running sum of rates; half a copy ahead, so that no end is at a disadvantage."""
+    return F.floor(rates + F.lit(0.5 + 1e-9))
+
+
+def _starts(sizes: DataFrame, solved: DataFrame, most: float) -> DataFrame:
+    """Add rate, _start (running sum of rates before a size, long documents apart) and _all (its copies).
+
+    ``sizes``: (source_key, size, n, long, target, mean, ...), ``solved``: (source_key, lambda).
+    """
+    rate = (F.when((F.col("target") <= 0) | (F.col("size") == 0), 0.0)
+            .when(F.col("lambda").isNull(), most)
+            .otherwise(_rate(F.col("lambda"), F.col("size"), F.col("mean"), most)))
+    before = (Window.partitionBy("source_key", "long").orderBy("size")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    start = F.coalesce(F.sum(F.col("n") * F.col("rate")).over(before), F.lit(0.0))
+    return (sizes.join(solved, "source_key", "left").withColumn("rate", rate).withColumn("_start", start)
+            .withColumn("_all", _rounded(F.col("_start") + F.col("n") * F.col("rate")) - _rounded(F.col("_start"))))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0,
         keep: list[str] | None = None) -> DataFrame:
@@ -144,25 +166,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     named = per_source.withColumn("source", F.when(F.col("source_key") != "0",
                                                    F.substring("source_key", 2, 1 << 30)))
     sources = stored(targets(named, weights, share, most).drop("source"), "mixing-sources")
-    solved = multipliers(sizes.where("size > 0"), sources, most)
-    terms = sources.join(solved, "source_key", "left")
-    rate = (F.when((F.col("target") <= 0) | (F.col("size") == 0), 0.0)
-            .when(F.col("lambda").isNull(), most)
-            .otherwise(_rate(F.col("lambda"), F.col("size"), F.col("mean"), most)))
+    # the rounding of long documents is made up for by the others: these are solved again for what is left
+    marked = sizes.join(sources, "source_key").withColumn("long", F.col("size") > LONG * F.col("mean"))
+    rounded_long = _starts(marked, multipliers(sizes.where("size > 0"), sources, most), most).where("long")
+    spent = rounded_long.groupBy("source_key").agg(F.sum(F.col("_all") * F.col("size")).alias("_spent"))
+    rest = marked.where("not long and size > 0").groupBy("source_key").agg(
+        F.first("target").alias("_target"), F.sum(F.col("n") * F.col("size")).alias("source_size"),
+        (F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"), F.min("size").alias("smallest"))
+    rest = stored(rest.join(spent, "source_key", "left").withColumn("target", F.greatest(F.lit(0.0), F.least(
+        F.col("_target") - F.coalesce("_spent", F.lit(0)), most * F.col("source_size")))).drop("_target", "_spent"),
+        "mixing-rest")
+    short = marked.where("not long and size > 0").select("source_key", "size", "n")
+    rounded_short = _starts(short.join(rest, "source_key").withColumn("long", F.lit(False)),
+                            multipliers(short, rest, most), most)
+    common = ["source_key", "size", "rate", "_start"]
+    starts = stored(rounded_long.select(*common).unionByName(rounded_short.select(*common)), "mixing-starts")
+    starts = (marked.select("source_key", "size", "source_size", "target").join(starts, ["source_key", "size"], "left")
+              .fillna(0.0, ["rate", "_start"]))
     # documents of one size: cells by hash, their number growing as the square root of the documents'
     cells = sizes.select("source_key", "size", F.ceil(F.sqrt("n")).alias("_cells"))
     placed = docs.join(cells, ["source_key", "size"]).withColumn(
         "_cell", F.pmod(F.xxhash64("_id", "_text"), F.col("_cells")))
     by_cell = placed.groupBy("source_key", "size", "_cell").agg(F.count("*").alias("n"))
-    rated = sizes.join(terms, "source_key").withColumn("rate", rate)
-    # running sums: over the sizes of a source, then over the cells of a size
-    to_size = (Window.partitionBy("source_key").orderBy("size")
-               .rowsBetween(Window.unboundedPreceding, -1))
     to_cell = (Window.partitionBy("source_key", "size").orderBy("_cell")
                .rowsBetween(Window.unboundedPreceding, -1))
-    starts = rated.select(
-        "source_key", "size", "source_size", "target", "rate",
-        F.coalesce(F.sum(F.col("n") * F.col("rate")).over(to_size), F.lit(0.0)).alias("_start"))
     cell_starts = (by_cell.join(starts, ["source_key", "size"])
                    .withColumn("_start", F.col("_start") + F.col("rate")
                                * F.coalesce(F.sum("n").over(to_cell), F.lit(0))).drop("n"))
@@ -170,8 +197,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken = placed.drop("_cells").join(cell_starts, ["source_key", "size", "_cell"]).withColumn("_rank", rank)
 
     def rounded(k: Column) -> Column:
-        # half a copy more: a source's first document isn't put at a disadvantage
-        return F.floor(F.col("_start") + F.col("rate") * k + F.lit(0.5 + 1e-9))
+        return _rounded(F.col("_start") + F.col("rate") * k)
 
     copies = F.least(rounded(F.col("_rank")) - rounded(F.col("_rank") - 1),
                      F.lit(int(most))).cast("long")
