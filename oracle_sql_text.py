@@ -15,8 +15,29 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pacecast.functions.dates import py_add_months, py_month_start, run_window
-from pacecast.sources.standins import ALL, ENTRY_TYPE_CODES, EVENT_FEATURE, EVENT_TYPE_CODES, SEGMENT_CODES
+# Fixed values, stated here again so that the oracle doesn't depend on the package under test.
+ALL = 10000
+ENTRY_TYPE_CODES = [71, 73, 64, 29, 28, 30, 31, 91, 14, 15]
+SEGMENT_CODES = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4, "MACHINERY": 5}
+EVENT_TYPE_CODES = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
+EVENT_FEATURE = {"click": 6, "error": 7, "purchase": 5, "signup": 7, "view": 6}
+
+
+def py_month_start(day: dt.date) -> dt.date:
+    return dt.date(day.year, day.month, 1)
+
+
+def py_add_months(first: dt.date, k: int) -> dt.date:
+    """``k`` months from the first of a month."""
+    assert first.day == 1
+    year, month = divmod(first.year * 12 + first.month - 1 + k, 12)
+    return dt.date(year, month + 1, 1)
+
+
+def run_window(base: dt.date) -> tuple[dt.date, dt.date]:
+    """The days that a run on ``base`` recomputes: yesterday, or on a 1st the month before."""
+    return (py_add_months(base, -1) if base.day == 1 else base - dt.timedelta(days=1)), base
+
 
 KEYS = "feature, measure, period, entity, currency"
 
@@ -339,13 +360,15 @@ def role_lookup_ctes(anchor_rel: str) -> list[str]:
     return [
         f"spine AS ({spine_select(anchor_rel)})",
         f"roles AS ({roles})",
+        f"""daily_rows AS MATERIALIZED (
+  SELECT date, {KEYS}, MAX(value) AS value, MAX(value_ptd) AS value_ptd FROM series_rows GROUP BY ALL)""",
         f"""hits AS (
   SELECT r.anchor, r.x1, r.x2, r.x3, r.days_in_month, {", ".join("s." + k for k in keys)}, r.role, s.value, s.value_ptd
-  FROM roles r JOIN series_rows s ON s.date = r.d)""",
+  FROM roles r JOIN daily_rows s ON s.date = r.d)""",
         f"""alive AS (
   SELECT sp.anchor, sp.x1, sp.x2, sp.x3, sp.days_in_month, {", ".join("k." + c for c in keys)},
          CAST(NULL AS VARCHAR) AS role, CAST(NULL AS DECIMAL(21,2)) AS value, CAST(NULL AS DECIMAL(31,2)) AS value_ptd
-  FROM spine sp JOIN (SELECT {KEYS}, MAX(date) AS last_date FROM series_rows GROUP BY ALL) k
+  FROM spine sp JOIN (SELECT {KEYS}, MAX(date) AS last_date FROM daily_rows GROUP BY ALL) k
     ON k.last_date >= sp.history_start)""",
         f"""lookups AS (
   SELECT anchor AS date, x1, x2, x3, days_in_month, {KEYS},
@@ -494,7 +517,7 @@ def _forecast_tail(ctes: list[str], where: str, columns: list[str] | None,
     cols = final_columns()
     pre = {k: v for k, v in cols.items() if k not in ("acc_prev_m1", "acc_prev_linear")}
     body = ",\n  ".join(f"{v} AS {k}" for k, v in pre.items())
-    ctes.append(f"fc AS (SELECT\n  {body}\nFROM ar6)")
+    ctes.append(f"fc AS MATERIALIZED (SELECT\n  {body}\nFROM ar6)")
     if self_history:
         keys_eq = " AND ".join(f"h.{k} = f.{k}" for k in KEYS.split(", "))
         ctes.append(f"""fc2 AS (
@@ -600,6 +623,10 @@ def registry() -> dict[str, str]:
         "pair_totals": _series_sql(("card",)),
         "coded_series": _series_sql(("coded",)),
         "row_fee_series": _series_sql(("fee",)),
+        "row_fee_fine": with_([
+            "fee_rows AS (SELECT o_orderdate AS created_at, CAST(CAST(o_totalprice AS DECIMAL(20,2)) "
+            "* CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(20,4)) AS fee FROM orders)",
+            f"series_rows AS ({fee_branch(None)[0]})"], daily_series_select()),
         "cube_slice_series": _series_sql(("cube",)),
         "hourly_peak_series": _series_sql(("hourly",)),
         "metric_series_all": _series_sql(ALL_PARTS),

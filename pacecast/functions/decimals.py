@@ -8,18 +8,14 @@ metric definitions state them; they never round on their own.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, LongType
 
 # Fixed types of the long daily series and of the forecast columns.
 MONEY = DecimalType(20, 2)
 SERIES_VALUE = DecimalType(21, 2)
 SERIES_PTD = DecimalType(31, 2)
-RATE = DecimalType(20, 6)
-WIDE = DecimalType(38, 10)
 
 
 def dec(col: Column | str, precision: int, scale: int) -> Column:
@@ -32,37 +28,21 @@ def money(col: Column | str) -> Column:
     return dec(col, 20, 2)
 
 
-def one() -> Column:
-    """The decimal literal 1.0, i.e. decimal(2,1) - not a double."""
-    return F.lit(Decimal("1.0"))
-
-
 def zero_if_null(col: Column) -> Column:
     return F.coalesce(col, F.lit(0))
 
 
-def safe_ratio(numerator: Column, denominator: Column) -> Column:
-    """``coalesce(n * 1.0 / nullif(d, 0), 0)``: 0 for a missing or zero base."""
-    return F.coalesce(numerator * one() / F.nullif(denominator, F.lit(0)), F.lit(0))
-
-
 def sum_or_zero(col: Column) -> Column:
     """Aggregate ``sum`` that yields 0 for an empty or all-NULL group."""
     return F.coalesce(F.sum(col), F.lit(0))
 
 
-# Exact integer units. Aggregating decimal(20,2) (precision > 18) runs on
-# BigDecimal objects; the same sums over the unscaled long value ("cents")
-# are exact, allocation-free and ~30% faster. With ANSI mode a long overflow
-# (beyond 9.2e16 in currency units) raises instead of wrapping.
+def total_type(kind: DataType) -> DataType:
+    """The type of running totals of a column: ten digits more, as Spark's sum has.
 
-def to_units(col: Column | str, scale: int = 2) -> Column:
-    """Unscaled long of a decimal with ``scale`` places (e.g. cents)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return (c * F.lit(10 ** scale)).cast("long")
-
-
-def from_units(col: Column | str, precision: int = 20, scale: int = 2) -> Column:
-    """Back from unscaled long units to decimal(precision, scale), exactly."""
-    c = F.col(col) if isinstance(col, str) else col
-    return (c.cast("decimal(38,0)") / F.lit(10 ** scale)).cast(DecimalType(precision, scale))
+    One digit below the widest type is left free, so that adding two totals
+    keeps their scale. Types other than decimals stay as Spark sums them.
+    """
+    if not isinstance(kind, DecimalType):
+        return LongType() if isinstance(kind, IntegralType) else kind
+    return DecimalType(min(37, kind.precision + 10), kind.scale)

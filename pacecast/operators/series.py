@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..functions.decimals import (MONEY, SERIES_PTD, SERIES_VALUE, from_units, sum_or_zero,
-                                  to_units, zero_if_null)
+from ..functions.decimals import (MONEY, SERIES_PTD, SERIES_VALUE, sum_or_zero, total_type,
+                                  zero_if_null)
 from ..sources.standins import ALL, Inputs
 
 KEYS = ["feature", "measure", "period", "entity", "currency"]
@@ -50,9 +50,12 @@ def _mapping(spark: SparkSession, rows: list[tuple], schema: StructType) -> Data
 
 # ---------------------------------------------------------------- O3 ---------
 
-def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str) -> DataFrame:
+def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
+                  sum_col: str | None = None) -> DataFrame:
     """Per (keys, day): the largest row value and the month-to-date sum.
 
+    The sum is that of ``sum_col`` (default: the value itself).
+
     The month-to-date figure is a running sum ordered by ``ts_col`` within
     (keys, year, month) where tied timestamps are peers; a day's figure is
     the largest running sum reached on that day. Rather than one window per
@@ -64,48 +67,45 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str) -
     seconds, or 31 days - so a hot month, day or minute cannot land in one
     task. For a date-grain ``ts_col`` the first two levels collapse.
     """
-    vtype = df.schema[value_col].dataType
-    in_units = isinstance(vtype, DecimalType) and vtype.precision <= 28
+    sum_col = sum_col or value_col
+    kind = total_type(df.schema[sum_col].dataType)
 
-    def back(total: Column) -> Column:
-        """Sums run on exact long units for decimals; converted back at the end."""
-        return from_units(total, min(38, vtype.precision + 10), vtype.scale) if in_units else total
+    def total(col: Column) -> Column:
+        return F.sum(col).cast(kind)
 
-    v = zero_if_null(F.col(value_col))
-    if in_units:
-        v = to_units(v, vtype.scale)
+    v = zero_if_null(F.col(sum_col))
     is_date = dict(df.dtypes)[ts_col] == "date"
     day_keys = keys + ["date"]
     if is_date:
         per_day = (df.groupBy(*keys, F.col(ts_col).alias("date"))
-                   .agg(F.sum(v).alias("day_total"), F.max(F.col(value_col)).alias("value")))
+                   .agg(total(v).alias("day_total"), F.max(F.col(value_col)).alias("value")))
         per_day = per_day.withColumn("day_peak", F.col("day_total"))
     else:
         ts = F.col(ts_col)
         per_ts = (df.groupBy(*keys, ts.alias("_ts"))
-                  .agg(F.sum(v).alias("_tot"), F.max(F.col(value_col)).alias("_max"))
+                  .agg(total(v).alias("_tot"), F.max(F.col(value_col)).alias("_max"))
                   .withColumn("date", F.col("_ts").cast("date"))
                   .withColumn("_bucket", F.hour("_ts") * 3600 + F.minute("_ts") * 60
                               + F.second("_ts")))
         in_bucket = (Window.partitionBy(*day_keys, "_bucket").orderBy("_ts")
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        per_bucket = (per_ts.withColumn("_run", F.sum("_tot").over(in_bucket))
+        per_bucket = (per_ts.withColumn("_run", F.sum("_tot").over(in_bucket).cast(kind))
                       .groupBy(*day_keys, "_bucket")
-                      .agg(F.sum("_tot").alias("_btot"), F.max("_run").alias("_bpeak"),
+                      .agg(total("_tot").alias("_btot"), F.max("_run").alias("_bpeak"),
                            F.max("_max").alias("_bmax")))
         before_bucket = (Window.partitionBy(*day_keys).orderBy("_bucket")
                          .rowsBetween(Window.unboundedPreceding, -1))
         per_day = (per_bucket
-                   .withColumn("_prev", zero_if_null(F.sum("_btot").over(before_bucket)))
+                   .withColumn("_prev", zero_if_null(F.sum("_btot").over(before_bucket).cast(kind)))
                    .groupBy(*day_keys)
-                   .agg(F.sum("_btot").alias("day_total"),
-                        F.max(F.col("_prev") + F.col("_bpeak")).alias("day_peak"),
+                   .agg(total("_btot").alias("day_total"),
+                        F.max(F.col("_prev") + F.col("_bpeak")).cast(kind).alias("day_peak"),
                         F.max("_bmax").alias("value")))
     before_day = (Window.partitionBy(*keys, F.trunc("date", "MM")).orderBy("date")
                   .rowsBetween(Window.unboundedPreceding, -1))
     return per_day.select(
         *day_keys, "value",
-        back(zero_if_null(F.sum("day_total").over(before_day)) + F.col("day_peak"))
+        (zero_if_null(F.sum("day_total").over(before_day).cast(kind)) + F.col("day_peak"))
         .alias("value_ptd"))
 
 
@@ -272,14 +272,17 @@ def hourly_peak_series(cube: DataFrame, since: dt.date | None = None,
 def row_fee_series(fee_rows: DataFrame, feature: int, measure: int, entity: int,
                    since: dt.date | None = None, ts_col: str = "created_at",
                    value_col: str = "fee") -> DataFrame:
-    """Row-grain fee report: value = a row's fee, PTD = running sum by timestamp."""
+    """Row-grain fee report: value = a row's fee in two decimals, PTD = running sum by
+    timestamp of the fees as they are, in two decimals at the end."""
     src = fee_rows
     if since is not None:
         src = src.filter(F.col(ts_col) >= F.lit(since).cast("timestamp_ntz"))
-    src = src.selectExpr(ts_col, f"CAST(COALESCE({value_col}, 0) AS {MONEY.simpleString()}) AS v",
+    src = src.selectExpr(ts_col, f"COALESCE({value_col}, 0) AS fee",
+                         f"CAST(COALESCE({value_col}, 0) AS {MONEY.simpleString()}) AS v",
                          f"{feature} AS feature", f"{measure} AS measure", "0 AS period",
                          f"{entity} AS entity", "0 AS currency")
-    return _finish(month_to_date(src, KEYS, ts_col, "v"))
+    daily = month_to_date(src, KEYS, ts_col, "v", "fee")
+    return _finish(daily.withColumn("value_ptd", F.col("value_ptd").cast(MONEY)))
 
 
 # ---------------------------------------------------------------- O8 ---------

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,14 +132,22 @@ def row_fee(spark, sf_dir):
     return row_fee_series(standins.fee_rows(_tables(spark, sf_dir).orders), *FEE_METRIC)
 
 
+def row_fee_fine(spark, sf_dir):
+    """B5/W3 on fees of four decimals: summed as they are, cast at the end."""
+    fees = _tables(spark, sf_dir).orders.select(
+        F.col("o_orderdate").alias("created_at"),
+        (money("o_totalprice") * F.lit(Decimal("0.01"))).cast("decimal(20,4)").alias("fee"))
+    return row_fee_series(fees, *FEE_METRIC)
+
+
 def cube_slices(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    cube = standins.acceptor_cube(t.lineitem, t.orders, t.customer, t.supplier, full=False)
+    cube = standins.acceptor_cube(t.lineitem, t.orders, t.customer, t.supplier, full=True)
     return cube_slice_series(spark, cube, CUBE_SLICES)
 
 
 def hourly_peaks(spark, sf_dir):
-    return hourly_peak_series(standins.hourly_cube(_tables(spark, sf_dir).events, full=False))
+    return hourly_peak_series(standins.hourly_cube(_tables(spark, sf_dir).events, full=True))
 
 
 def metric_series_all(spark, sf_dir):
@@ -215,6 +224,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_totals": pair_totals,
         "coded_series": coded,
         "row_fee_series": row_fee,
+        "row_fee_fine": row_fee_fine,
         "cube_slice_series": cube_slices,
         "hourly_peak_series": hourly_peaks,
         "metric_series_all": metric_series_all,

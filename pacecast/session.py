@@ -2,8 +2,8 @@
 
 The library never invents machine-local scratch space on a cluster: the
 shared folder is whatever the cluster names in ``spark.checkpoint.dir``.
-Only when that setting is absent (local runs, tests) is a private temporary
-folder created and registered as the checkpoint directory.
+Where that setting is absent, a session with a local master (tests) gets a
+private temporary folder and any other session an error.
 """
 
 from __future__ import annotations
@@ -45,11 +45,11 @@ def cluster_conf(total_cores: int, input_bytes: int,
 
     The first aggregations shuffle at most the pruned input after map-side
     partial aggregation, so initial shuffle partitions are sized from the
-    input (``shuffle_bytes_per_partition`` each, at least 2 per core, at
-    most 100k) and AQE coalesces the small later stages to ~128 MB. Splits
+    input (``shuffle_bytes_per_partition`` each, at least 2 per core) and AQE
+    coalesces the small later stages to ~128 MB. Splits
     stay at 128 MB so a scan task fits comfortably in executor memory.
     """
-    partitions = min(100_000, max(2 * total_cores, -(-input_bytes // shuffle_bytes_per_partition)))
+    partitions = max(2 * total_cores, -(-input_bytes // shuffle_bytes_per_partition))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -61,22 +61,27 @@ def cluster_conf(total_cores: int, input_bytes: int,
     }
 
 
+_local_folders: dict[str, str] = {}  # by application id
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint directory); a private temporary folder is set up only where
-    neither is configured, as in local tests.
+    Read from the session: the context's checkpoint directory or
+    ``spark.checkpoint.dir``. Without either, a local master gets one private
+    temporary folder for its application; on a cluster, where executors would not
+    see such a folder, an error names the missing setting. The session's own
+    checkpoint directory is never changed.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="pacecast-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _local_folders:
+        _local_folders[sc.applicationId] = tempfile.mkdtemp(prefix="pacecast-")
+    return _local_folders[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.decimals import MONEY, from_units, money, to_units
+from ..functions.decimals import MONEY, money
 from .tables import TableSet
 
 # ----------------------------------------------------------------------------
@@ -78,11 +78,11 @@ def card_daily(lineitem: DataFrame, since: dt.date | None = None,
     li = _filter_since(lineitem, "l_shipdate", since, until).select(
         F.to_date("l_shipdate").alias("date"),
         F.col("l_linestatus").alias("status"),
-        to_units(money("l_extendedprice")).alias("cents"))
+        money("l_extendedprice").alias("price"))
     online, offline = F.col("status") == "O", F.col("status") == "F"
     return li.groupBy("date").agg(
-        from_units(F.sum(F.when(online, F.col("cents")))).alias("online_volume"),
-        from_units(F.sum(F.when(offline, F.col("cents")))).alias("offline_volume"),
+        F.sum(F.when(online, F.col("price"))).cast(MONEY).alias("online_volume"),
+        F.sum(F.when(offline, F.col("price"))).cast(MONEY).alias("offline_volume"),
         F.sum(F.when(online, F.lit(1))).cast(MONEY).alias("online_count"),
         F.sum(F.when(offline, F.lit(1))).cast(MONEY).alias("offline_count"))
 
@@ -96,17 +96,16 @@ def entry_type_daily(lineitem: DataFrame, since: dt.date | None = None,
                         (F.col("l_suppkey") % 10 + 1).cast("int"))
     daily = (_filter_since(lineitem, "l_shipdate", since, until)
              .select(F.to_date("l_shipdate").alias("date"), code.alias("type_code"),
-                     to_units(money("l_extendedprice")).alias("price"),
-                     to_units(money("l_quantity")).alias("qty"))
+                     money("l_extendedprice").alias("price"), money("l_quantity").alias("qty"))
              .groupBy("date", "type_code")
              .agg(F.sum("price").alias("volume"), F.sum("qty").alias("fee")))
     mtd = (Window.partitionBy("type_code", _month("date")).orderBy("date")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return daily.select(
-        "date", "type_code", from_units("volume").alias("volume"),
-        from_units(F.sum("volume").over(mtd)).alias("volume_mtd"),
-        from_units("fee").alias("fee"),
-        from_units(F.sum("fee").over(mtd)).alias("fee_mtd"))
+        "date", "type_code", F.col("volume").cast(MONEY).alias("volume"),
+        F.sum("volume").over(mtd).cast(MONEY).alias("volume_mtd"),
+        F.col("fee").cast(MONEY).alias("fee"),
+        F.sum("fee").over(mtd).cast(MONEY).alias("fee_mtd"))
 
 
 # --------------------------------------------------------------- fee_rows ----
@@ -133,7 +132,7 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
                              sets: list[list[str]], user_col: str,
                              sums: dict[str, str], prefix: list[str]) -> DataFrame:
     """Grouping-set cube by ``time_col`` with distinct users, rows and sums
-    (inputs in long cents, outputs decimal(20,2)), each also month-to-date.
+    (outputs decimal(20,2)), each also month-to-date.
 
     One pass: every detail row is exploded into the slices it belongs to
     (rolled-up members = ALL), aggregated once per (time, slice, user); a
@@ -171,11 +170,57 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
         F.sum("_new").over(mtd).alias("users_mtd"),
         "tx_daily",
         F.sum("tx_daily").over(mtd).alias("tx_mtd"),
-        *[c for name in sums for c in (from_units(name).alias(name),
-                                       from_units(F.sum(name).over(mtd)).alias(
+        *[c for name in sums for c in (F.col(name).cast(MONEY).alias(name),
+                                       F.sum(name).over(mtd).cast(MONEY).alias(
                                            name.replace("_daily", "_mtd")))])
 
 
+def _flag_cube(detail: DataFrame) -> DataFrame:
+    """The slices with acceptor and category rolled up, without a row per slice.
+
+    One row per (day, user) holds rows and net of the four (abroad, offline)
+    cells; a slice is a sum of cells, and a user is new to it on the first
+    day of the month with a row in it. All steps share one shuffle by (month, user),
+    whose groups hold at most a month of rows; then one aggregation per day.
+    """
+    cells = [(a, o) for a in (0, 1) for o in (0, 1)]
+    hit = {c: (F.col("is_abroad") == c[0]) & (F.col("is_offline") == c[1]) for c in cells}
+    per_user = (detail.repartition("_month", "o_custkey").groupBy("_month", "o_custkey", "date")
+                .agg(*[F.count(F.when(hit[a, o], 1)).alias(f"_tx{a}{o}") for a, o in cells],
+                     *[F.sum(F.when(hit[a, o], F.col("net"))).alias(f"_net{a}{o}") for a, o in cells]))
+    slices = [(a, o) for a in (0, 1, ALL) for o in (0, 1, ALL)]
+
+    def within(s: tuple[int, int]) -> list[str]:
+        return [f"{a}{o}" for a, o in cells if s[0] in (a, ALL) and s[1] in (o, ALL)]
+
+    def seen(s: tuple[int, int]) -> str:
+        return "(" + " + ".join(f"_tx{c}" for c in within(s)) + " > 0)"
+
+    month = Window.partitionBy("_month", "o_custkey")
+    first = {s: F.min(F.when(F.expr(seen(s)), F.col("date"))).over(month) for s in slices}
+    per_user = per_user.select("*", *[(F.expr(seen(s)) & (F.col("date") == f)).alias(f"_new{k}")
+                                      for k, (s, f) in enumerate(first.items())])
+    aggs = []
+    for k, s in enumerate(slices):
+        net = " + ".join(f"COALESCE(_net{c}, 0)" for c in within(s))
+        aggs += [F.count(F.when(F.expr(seen(s)), 1)).alias(f"u{k}"),
+                 F.count(F.when(F.col(f"_new{k}"), 1)).alias(f"n{k}"),
+                 F.sum(F.expr(" + ".join(f"_tx{c}" for c in within(s)))).alias(f"t{k}"),
+                 F.sum(F.expr(f"CAST({net} AS DECIMAL(32,2))")).alias(f"v{k}")]
+    rows = ", ".join(f"{s[0]}, {s[1]}, u{k}, n{k}, t{k}, v{k}" for k, s in enumerate(slices))
+    daily = per_user.groupBy("date", "_month").agg(*aggs).selectExpr(
+        "date", "_month", f"stack({len(slices)}, {rows}) AS (is_abroad, is_offline, users, new, tx, net)"
+    ).where("tx > 0")
+    mtd = (Window.partitionBy("is_abroad", "is_offline", "_month").orderBy("date")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return daily.select(
+        "date", F.lit(ALL).alias("acceptor_id"), F.lit(ALL).alias("category_id"), "is_abroad", "is_offline",
+        F.col("users").alias("users_daily"), F.sum("new").over(mtd).alias("users_mtd"),
+        F.col("tx").alias("tx_daily"), F.sum("tx").over(mtd).alias("tx_mtd"),
+        F.col("net").cast(MONEY).alias("net_volume_daily"),
+        F.sum("net").over(mtd).cast(MONEY).alias("net_volume_mtd"))
+
+
 def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                   supplier: DataFrame, since: dt.date | None = None,
                   full: bool = True, until: dt.date | None = None) -> DataFrame:
@@ -201,8 +246,10 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                       (F.col("c_nationkey") != F.col("s_nationkey")).cast("int").alias("is_abroad"),
                       (F.col("l_linestatus") == "F").cast("int").alias("is_offline"),
                       "o_custkey",
-                      to_units(F.when(F.col("l_returnflag") == "R", -F.col("price"))
-                               .otherwise(F.col("price"))).alias("net")))
+                      F.when(F.col("l_returnflag") == "R", -F.col("price"))
+                      .otherwise(F.col("price")).alias("net")))
+    if not full:
+        return _flag_cube(detail)
     return _cube_with_month_to_date(
         detail, "date", ACCEPTOR_DIMS, acceptor_grouping_sets(full), "o_custkey",
         {"net_volume_daily": "net"}, prefix=[])

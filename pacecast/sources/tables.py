@@ -17,36 +17,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Under-split inputs smaller than this are left alone (a spread would only add a stage).
-SPREAD_MIN_BYTES = 8 << 20
-
-
-def _size_in_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(jpath).getLength())
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one table.
-
-    A sizeable scan with fewer splits than the session's parallelism (a file
-    with a single row group is read by one task, and every narrow operator
-    fused after it runs there too) is spread round-robin over the cores;
-    filters and column pruning still reach the Parquet reader below the
-    repartition. Large inputs have at least as many splits as cores and small
-    ones are not worth a stage: both are returned untouched, so raw data is
-    never reshuffled at scale.
-    """
+    """Scan of one table (never reshuffled: splits are the reader's business)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and _size_in_bytes(spark, path) >= SPREAD_MIN_BYTES:
-        df = df.repartition(cores)
-    return df
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 class TableSet:
