@@ -492,9 +492,9 @@ OUTPUT = list(final_columns().keys())
 
 def forecast_sql(lo: dt.date, hi: dt.date, columns: list[str] | None = None,
                  self_history: bool = True, own_month_shift: bool = False,
-                 parts=ALL_PARTS) -> str:
-    """Forecast rows of anchors ``[lo, hi)`` (previous month computed too)."""
-    first = py_add_months(py_month_start(lo), -1) if self_history else lo
+                 parts=ALL_PARTS, from_lo: bool = False) -> str:
+    """Forecast rows of anchors ``[lo, hi)`` (previous month computed too, unless ``from_lo``)."""
+    first = py_add_months(py_month_start(lo), -1) if self_history and not from_lo else lo
     since = py_add_months(py_month_start(first), -3)
     ctes = series_ctes(since, parts) + lookup_ctes(first, hi, own_month_shift) + arithmetic_ctes()
     return _forecast_tail(ctes, f"date >= {d(lo)} AND date < {d(hi)}", columns, self_history)
@@ -646,6 +646,10 @@ def registry() -> dict[str, str]:
         "close_month_sep_own_shift": run_sql(BASES["sep"], own_month_shift=True),
         "run_day_mid_all": run_sql(BASES["mid"]),
         "slice_rewrite_twice": run_sql(BASES["mar"], self_history=False),
+        "close_two_months_stored": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1), from_lo=True),
+        "slice_rewrite_drops_day": (f"SELECT * FROM ({run_sql(BASES['mar'], self_history=False)}) "
+                                    "WHERE date <> DATE '1998-03-10'"),
+        "close_month_from_facts": run_sql(BASES["mar"]),
         "backfill_two_months": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1)),
         "backfill_all_days": backfill_all_days_sql(),
     }

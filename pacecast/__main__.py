@@ -15,6 +15,7 @@ import argparse
 
 from .plans.pipeline import backfill, run_day
 from .session import build_session
+from .sources.standins import read_facts
 from .sources.tables import TableSet
 
 
@@ -27,7 +28,9 @@ def main(argv: list[str] | None = None) -> None:
     fill.add_argument("--first", required=True)
     fill.add_argument("--last", required=True)
     for p in (run, fill):
-        p.add_argument("--tables", required=True)
+        where = p.add_mutually_exclusive_group(required=True)
+        where.add_argument("--tables", help="folder of the test tables (stand-in facts)")
+        where.add_argument("--facts", help="folder with one Parquet table per metric fact")
         p.add_argument("--as-of", default=None, help="ignore source days from this day on")
         p.add_argument("--target", default=None)
         p.add_argument("--own-month-shift", action="store_true",
@@ -43,12 +46,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName("pacecast").getOrCreate()
-    tables = TableSet(spark, args.tables)
+    source = read_facts(spark, args.facts) if args.facts else TableSet(spark, args.tables)
     if args.command == "run-day":
-        rows = run_day(spark, tables, args.base_day, target=args.target,
+        rows = run_day(spark, source, args.base_day, target=args.target,
                        own_month_shift=args.own_month_shift, as_of=args.as_of)
     else:
-        rows = backfill(spark, tables, args.first, args.last, target=args.target,
+        rows = backfill(spark, source, args.first, args.last, target=args.target,
                         own_month_shift=args.own_month_shift, as_of=args.as_of)
     if args.explain:
         rows.explain(mode="formatted")

@@ -11,6 +11,7 @@ only columns that never depend on the look-back itself, so no recursion).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,10 +108,15 @@ def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
             .select(*OUTPUT_COLUMNS))
 
 
-def run_day(spark: SparkSession, tables: TableSet, base_day: str | dt.date,
+def _inputs(source: TableSet | Inputs, since: dt.date, until: dt.date | None) -> Inputs:
+    """The facts themselves, or stand-ins built from the test tables."""
+    return source if isinstance(source, Inputs) else standin_inputs(source, since, until=until)
+
+
+def run_day(spark: SparkSession, source: TableSet | Inputs, base_day: str | dt.date,
             target: str | None = None, own_month_shift: bool = False,
             as_of: str | dt.date | None = None) -> DataFrame:
-    """What the daily procedure does for ``base_day``.
+    """What the daily procedure does for ``base_day``, on metric facts or stand-ins.
 
     With ``target`` the slice is written to that table (reading last month's
     rows from it) and the stored slice is returned; without, the rows are
@@ -118,16 +124,25 @@ def run_day(spark: SparkSession, tables: TableSet, base_day: str | dt.date,
     """
     lo, hi = run_window(base_day)
     as_of = as_date(as_of) if as_of is not None else None
-    inputs = standin_inputs(tables, history_start(py_add_months(lo, -1)), until=as_of)
     if target is None:
+        inputs = _inputs(source, history_start(py_add_months(lo, -1)), as_of)
         return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of)
+    inputs = _inputs(source, history_start(lo), as_of)
     stored = read_output(spark, target, OUTPUT_COLUMNS)
+    return _written(spark, target, lo, hi, lambda scratch: forecast_days(
+        spark, inputs, lo, hi, stored, own_month_shift, as_of, scratch))
+
+
+def _written(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
+             rows_of: Callable[[list[str]], DataFrame]) -> DataFrame:
+    """Write the slice that ``rows_of`` (given a list for scratch paths) makes; the stored slice."""
     scratch: list[str] = []
-    rows = forecast_days(spark, inputs, lo, hi, stored, own_month_shift, as_of, scratch)
-    write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
-    out = stored_slice(spark, target, lo, hi, rows)
-    remove_paths(spark, scratch)
-    return out
+    try:
+        rows = rows_of(scratch)
+        write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
+        return stored_slice(spark, target, lo, hi, rows)
+    finally:
+        remove_paths(spark, scratch)
 
 
 def stored_slice(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
@@ -139,19 +154,16 @@ def stored_slice(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
     return stored.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
 
 
-def backfill(spark: SparkSession, tables: TableSet, first_base: str | dt.date,
+def backfill(spark: SparkSession, source: TableSet | Inputs, first_base: str | dt.date,
              last_base: str | dt.date, target: str | None = None,
              own_month_shift: bool = False, as_of: str | dt.date | None = None) -> DataFrame:
     """All days the runs on ``first_base..last_base`` recompute, in one job."""
     lo, _ = run_window(first_base)
     _, hi = run_window(last_base)
     as_of = as_date(as_of) if as_of is not None else None
-    inputs = standin_inputs(tables, history_start(py_add_months(lo, -1)), until=as_of)
-    scratch: list[str] = []
-    rows = forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of, scratch)
-    if target is None:
-        return rows
-    write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
-    out = stored_slice(spark, target, lo, hi, rows)
-    remove_paths(spark, scratch)
-    return out
+    inputs = _inputs(source, history_start(py_add_months(lo, -1)), as_of)
+
+    def rows(scratch: list[str] | None) -> DataFrame:
+        return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of, scratch)
+
+    return rows(None) if target is None else _written(spark, target, lo, hi, rows)

@@ -25,6 +25,7 @@ from ..operators.series import (CARD_PAIRS, CODED_METRICS, CUBE_SLICES, FEE_METR
                                 row_fee_series)
 from ..session import materialize, scratch_path
 from ..sources import standins
+from ..sources.store import read_output, write_slice
 from ..sources.tables import TableSet
 from .pipeline import OUTPUT_COLUMNS, backfill, forecast_days, history_start, run_day
 
@@ -193,6 +194,37 @@ def slice_rewrite_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_day(spark, tables, BASES["mar"], target=target).select(*OUTPUT_COLUMNS)
 
 
+def close_two_months_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The February close, then the March close, into one table; its rows.
+
+    March's accuracy columns come from the stored February.
+    """
+    target = scratch_path(spark, "forecast-table")
+    tables = _tables(spark, sf_dir)
+    run_day(spark, tables, BASES["feb"], target=target)
+    run_day(spark, tables, BASES["mar"], target=target)
+    return read_output(spark, target, OUTPUT_COLUMNS)
+
+
+def slice_rewrite_drops_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the March close, then its slice again without the 10th; the stored rows."""
+    target = scratch_path(spark, "forecast-table")
+    lo, hi = run_window(BASES["mar"])
+    rows = run_day(spark, _tables(spark, sf_dir), BASES["mar"], target=target)
+    rest = rows.where(F.col("date") != F.lit(dt.date(1998, 3, 10)))
+    write_slice(rest, target, lo, hi, OUTPUT_COLUMNS)
+    return read_output(spark, target, OUTPUT_COLUMNS)
+
+
+def close_month_from_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O16 on facts: the stand-ins (with full cubes) stored as facts, read as such, and closed."""
+    folder = scratch_path(spark, "facts")
+    lo, _ = run_window(BASES["mar"])
+    since = history_start(py_add_months(lo, -1))
+    standins.write_facts(standins.standin_inputs(_tables(spark, sf_dir), since, full_cubes=True), folder)
+    return run_day(spark, standins.read_facts(spark, folder), BASES["mar"]).select(*OUTPUT_COLUMNS)
+
+
 def backfill_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 1998-03-01..1998-04-01 (February and March) in one job."""
     return backfill(spark, _tables(spark, sf_dir), BASES["feb"], BASES["mar"])
@@ -244,6 +276,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "close_month_sep_own_shift": _run("sep", "all", own_month_shift=True),
         "run_day_mid_all": _run("mid", "all"),
         "slice_rewrite_twice": slice_rewrite_twice,
+        "close_two_months_stored": close_two_months_stored,
+        "slice_rewrite_drops_day": slice_rewrite_drops_day,
+        "close_month_from_facts": close_month_from_facts,
         "backfill_two_months": backfill_two_months,
         "backfill_all_days": backfill_all_days,
     }

@@ -17,7 +17,7 @@ import datetime as dt
 import itertools
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.decimals import MONEY, money
@@ -292,6 +292,65 @@ class Inputs:
     hourly_cube: DataFrame
 
 
+# Features of the three hourly cubes.
+BILL, GAME, TRAVEL = 5, 6, 7
+
+
+def hourly_sources(bill: DataFrame, game: DataFrame, travel: DataFrame,
+                   members: tuple[str, str, str] = ("company_id", "sub_type_id", "company_id")) -> DataFrame:
+    """The three hourly cubes as the one frame of ``Inputs``.
+
+    Each has hour, group_id, its own member column (``members``), users_hourly,
+    users_mtd, tx_hourly and tx_mtd.
+    """
+    parts = [cube.select(F.lit(feature).alias("feature"), "hour", "group_id", F.col(member).alias("company_id"),
+                         "users_hourly", "users_mtd", "tx_hourly", "tx_mtd")
+             for feature, cube, member in zip((BILL, GAME, TRAVEL), (bill, game, travel), members, strict=True)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# Files of a folder of facts, and the columns that a run reads of each.
+FACT_COLUMNS = {
+    "card_daily": "date date, online_volume decimal(20,2), offline_volume decimal(20,2), "
+                  "online_count decimal(20,2), offline_count decimal(20,2)",
+    "entry_type_daily": "date date, type_code int, volume decimal(20,2), volume_mtd decimal(20,2), "
+                        "fee decimal(20,2), fee_mtd decimal(20,2)",
+    "acceptor_cube": "date date, acceptor_id int, category_id int, is_abroad int, is_offline int, "
+                     "users_daily long, users_mtd long, tx_daily long, tx_mtd long, "
+                     "net_volume_daily decimal(20,2), net_volume_mtd decimal(20,2)",
+    "bill_hourly": "hour timestamp_ntz, group_id int, company_id int, users_hourly long, users_mtd long, "
+                   "tx_hourly long, tx_mtd long",
+    "game_hourly": "hour timestamp_ntz, group_id int, sub_type_id int, users_hourly long, users_mtd long, "
+                   "tx_hourly long, tx_mtd long",
+    "travel_hourly": "hour timestamp_ntz, group_id int, company_id int, users_hourly long, users_mtd long, "
+                     "tx_hourly long, tx_mtd long",
+}
+
+
+def read_facts(spark: SparkSession, folder: str) -> Inputs:
+    """Inputs from a folder with one Parquet table per fact, read by the schemas above.
+
+    ``fee_rows`` (created_at, fee) keeps the decimal type it is stored with.
+    """
+    def fact(name: str) -> DataFrame:
+        return spark.read.schema(FACT_COLUMNS[name]).parquet(f"{folder}/{name}")
+
+    return Inputs(card_daily=fact("card_daily"), entry_type_daily=fact("entry_type_daily"),
+                  fee_rows=spark.read.parquet(f"{folder}/fee_rows").select("created_at", "fee"),
+                  acceptor_cube=fact("acceptor_cube"),
+                  hourly_cube=hourly_sources(fact("bill_hourly"), fact("game_hourly"), fact("travel_hourly")))
+
+
+def write_facts(inputs: Inputs, folder: str) -> None:
+    """Store inputs as :func:`read_facts` reads them."""
+    for name in ("card_daily", "entry_type_daily", "fee_rows", "acceptor_cube"):
+        getattr(inputs, name).write.parquet(f"{folder}/{name}")
+    for feature, name, member in ((BILL, "bill_hourly", "company_id"), (GAME, "game_hourly", "sub_type_id"),
+                                  (TRAVEL, "travel_hourly", "company_id")):
+        (inputs.hourly_cube.where(F.col("feature") == feature).drop("feature")
+         .withColumnRenamed("company_id", member).write.parquet(f"{folder}/{name}"))
+
+
 def standin_inputs(tables: TableSet, since: dt.date | None = None,
                    full_cubes: bool = False, until: dt.date | None = None) -> Inputs:
     """All stand-in inputs; cubes hold only the read slices unless ``full_cubes``.

@@ -6,13 +6,14 @@ which may read earlier partitions of the same table, and making the write
 retry-safe), then written with *dynamic* partition overwrite so only the
 slice's day partitions are swapped, each committed by Spark's output
 committer. Days of the slice that the new rows do not cover (a slice with
-no live series) are removed afterwards, so re-running a slice is
-idempotent.
+no live series) are removed before that write: a run that breaks off in between
+leaves no stale day beside new ones, and running the slice again completes it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def stored_days(spark: SparkSession, path: str) -> dict[dt.date, object]:
     out = {}
     for status in fs.listStatus(jpath):
         name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("date="):
+        if status.isDirectory() and re.fullmatch(r"date=\d{4}-\d{2}-\d{2}", name):
             out[dt.date.fromisoformat(name[len("date="):])] = status.getPath()
     return out
 
@@ -47,7 +48,8 @@ def stored_days(spark: SparkSession, path: str) -> dict[dt.date, object]:
 def read_output(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame | None:
     if not stored_days(spark, path):
         return None
-    df = spark.read.parquet(path)
+    # a date whatever the session infers from partition names
+    df = spark.read.parquet(path).withColumn("date", F.col("date").cast("date"))
     return df.select(*columns) if columns else df
 
 
@@ -66,18 +68,20 @@ def write_slice(df: DataFrame, path: str, lo: dt.date, hi: dt.date,
         rows = rows.select(*columns)
     staging = scratch_path(spark, "slice-staging")
     rows.repartition("date").write.mode("overwrite").partitionBy("date").parquet(staging)
-    written = sorted(stored_days(spark, staging))
-    if written:
-        staged = spark.read.parquet(staging)
-        if columns:
-            staged = staged.select(*columns)
-        (staged.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date")
-         .parquet(path))
-    fs, _ = _fs(spark, path)
-    for day, jpath in stored_days(spark, path).items():
-        if lo <= day < hi and day not in written:
-            fs.delete(jpath, True)
-    remove_paths(spark, [staging])
+    try:
+        written = sorted(stored_days(spark, staging))
+        fs, _ = _fs(spark, path)
+        for day, jpath in stored_days(spark, path).items():
+            if lo <= day < hi and day not in written:
+                fs.delete(jpath, True)
+        if written:
+            staged = spark.read.parquet(staging)
+            if columns:
+                staged = staged.select(*columns)
+            (staged.write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy("date")
+             .parquet(path))
+    finally:
+        remove_paths(spark, [staging])
     return written

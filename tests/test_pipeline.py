@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import SF_SMOKE, day
 
 from pacecast.plans.pipeline import OUTPUT_COLUMNS, backfill, run_day
@@ -188,3 +189,45 @@ def test_readme_flow_with_separate_fact_frames(spark):
     write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
     stored = rows_of(read_output(spark, target))
     assert stored == rows_of(run_day(spark, t, "1998-04-15", target=scratch_path(spark, "t-r2")))
+
+
+@pytest.mark.parametrize("broken", ["before delete", "between", "after overwrite"])
+def test_broken_rewrite_leaves_no_stale_day_and_completes(spark, monkeypatch, broken):
+    """A slice that loses a day, broken off at each step: never the old day beside new ones."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from pacecast.sources import store
+
+    def rows(days, v):
+        return spark.createDataFrame([(day(d), v) for d in days], "date date, v int")
+
+    target = scratch_path(spark, "t-broken")
+    lo, hi = day("2024-01-01"), day("2024-01-04")
+    store.write_slice(rows(["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"], 0), target, lo, day("2024-01-05"))
+    new = rows(["2024-01-01", "2024-01-03"], 1)
+    real_parquet, real_days = DataFrameWriter.parquet, store.stored_days
+
+    def parquet(self, path, *args, **kw):
+        if path == target and broken == "between":
+            raise OSError("broken")
+        real_parquet(self, path, *args, **kw)
+        if path == target and broken == "after overwrite":
+            raise OSError("broken")
+
+    def days(session, path):
+        if path == target and broken == "before delete":
+            raise OSError("broken")
+        return real_days(session, path)
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrameWriter, "parquet", parquet)
+        m.setattr(store, "stored_days", days)
+        with pytest.raises(OSError):
+            store.write_slice(new, target, lo, hi)
+    left = {(str(r["date"]), r["v"]) for r in store.read_output(spark, target).collect()}
+    assert ("2024-01-04", 0) in left
+    if any(v == 1 for _, v in left):
+        assert not any(d == "2024-01-02" for d, _ in left)
+    store.write_slice(new, target, lo, hi)
+    assert {(str(r["date"]), r["v"]) for r in store.read_output(spark, target).collect()} == {
+        ("2024-01-01", 1), ("2024-01-03", 1), ("2024-01-04", 0)}

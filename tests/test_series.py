@@ -151,3 +151,57 @@ def test_hourly_cube_users_mtd_with_a_hot_user(spark):
             to_date = [u for h, u in mine if h <= hour and (h.year, h.month) == (hour.year, hour.month)]
             want[(f, hour)] = (len(set(in_hour)), len(set(to_date)), len(in_hour), len(to_date))
     assert got == want
+
+
+def test_month_to_date_beyond_64_bit_cents(spark):
+    """Sums and single values of decimal(20,2) that don't fit in 64-bit cents."""
+    fees = [(dt.datetime(2024, 1, 1, h), D("60000000000000000.00")) for h in range(3)]
+    fees.append((dt.datetime(2024, 2, 1), D("100000000000000000.00")))
+    df = spark.createDataFrame(fees, "created_at timestamp_ntz, fee decimal(20,2)")
+    got = {r["date"]: (r["value"], r["value_ptd"]) for r in row_fee_series(df, 3, 6, 2).collect()}
+    assert got == {day("2024-01-01"): (D("60000000000000000.00"), D("180000000000000000.00")),
+                   day("2024-02-01"): (D("100000000000000000.00"),) * 2}
+
+
+def test_month_to_date_of_many_decimals(spark):
+    tiny = D("0.00000000000000000001")
+    rows = [("a", dt.datetime(2024, 1, d, h), D("1.5") + tiny) for d in (1, 2) for h in (0, 1)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v decimal(26,20)")
+    got = {r["date"]: r["value_ptd"] for r in month_to_date(df, ["k"], "ts", "v").collect()}
+    assert got == {day("2024-01-01"): D("3") + 2 * tiny, day("2024-01-02"): D("6") + 4 * tiny}
+
+
+def test_fees_are_cast_after_the_sum(spark):
+    rows = [(dt.datetime(2024, 1, 1, h), D("0.0050")) for h in range(3)]
+    df = spark.createDataFrame(rows, "created_at timestamp_ntz, fee decimal(20,4)")
+    row = row_fee_series(df, 3, 6, 2).collect()[0]
+    assert (row["value"], row["value_ptd"]) == (D("0.01"), D("0.02"))
+
+
+def test_rolled_down_members_are_left_out(spark):
+    """One rolled-down row for each of the four member filters."""
+    cube = spark.createDataFrame(
+        [(day("2024-01-01"), a, c, 0, ALL, 1, 1, 1, 1, D(v), D(v))
+         for a, c, v in ((ALL, ALL, 1), (5, ALL, 10), (ALL, 5, 100))],
+        "date date, acceptor_id int, category_id int, is_abroad int, is_offline int, users_daily long, "
+        "users_mtd long, tx_daily long, tx_mtd long, net_volume_daily decimal(20,2), net_volume_mtd decimal(20,2)")
+    got = cube_slice_series(spark, cube, [CubeSlice(11, 0, ALL)]).where("measure = 5").collect()
+    assert [r["value"] for r in got] == [D(1)]
+    hourly = spark.createDataFrame(
+        [(5, dt.datetime(2024, 1, 1), g, c, v, v, v, v) for g, c, v in ((ALL, ALL, 1), (5, ALL, 10), (ALL, 5, 100))],
+        "feature int, hour timestamp_ntz, group_id int, company_id int, users_hourly long, users_mtd long, "
+        "tx_hourly long, tx_mtd long")
+    assert {r["value"] for r in hourly_peak_series(hourly).collect()} == {D(1)}
+
+
+def test_forecast_cube_is_the_full_cube_rolled_up(spark):
+    from conftest import SF_SMOKE
+
+    from pacecast.sources.standins import acceptor_cube
+    from pacecast.sources.tables import TableSet
+    t = TableSet(spark, SF_SMOKE)
+    tables = (t.lineitem, t.orders, t.customer, t.supplier)
+    full = acceptor_cube(*tables, full=True).where((f"acceptor_id = {ALL} and category_id = {ALL}"))
+    cube = acceptor_cube(*tables, full=False)
+    assert [f.dataType for f in cube.schema] == [f.dataType for f in full.schema]
+    assert cube.exceptAll(full).isEmpty() and full.exceptAll(cube).isEmpty()
