@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacecast.llm import bpe, langid, mixing, neardup, pii
-from pacecast.llm.common import columns, stored
+from pacecast.llm.common import columns, release, stored
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -86,6 +86,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply every stage in turn to ``documents``, each result written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), "pipeline")
+        release(spark, keep=1)  # what the stage wrote on its way, and the documents it read
     return STAGES[-1][1](spark, docs, sf_dir)

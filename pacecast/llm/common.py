@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
-from ..session import scratch_path
+from ..session import remove_paths, scratch_path
 
 #: Java pattern of the words the query contracts count (fixed value).
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -28,13 +28,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scratch: list[str] = []  # tables written so far and not released
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, lineage cut."""
+    """Write ``df`` to the shared folder and read it back: computed once, lineage cut.
+
+    The table stays, since the result may be read at any time, until ``release``.
+    """
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    _scratch.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the scratch tables written so far, but for the last ``keep``.
+
+    For callers that have stored what they need of the results.
+    """
+    done = _scratch[:len(_scratch) - keep]
+    del _scratch[:len(done)]
+    remove_paths(spark, done)
+
+
 _shipped: set[str] = set()  # application ids
 
 
