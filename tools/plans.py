@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from pacecast.plans import queries  # noqa: E402
 from pacecast.session import build_session  # noqa: E402
 
 
@@ -37,7 +37,7 @@ def main():
     spark = build_session()
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan: shows every exchange
     rows, flagship = [], None
-    for name, fn in entry.queries().items():
+    for name, fn in queries.registry().items():
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         rows.append((name, facts(plan)))
