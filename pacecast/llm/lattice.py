@@ -43,6 +43,8 @@ ROUNDS = 2
 SMOOTHING = 0.1
 #: Words of at most this many bytes are scored side by side, longer ones one by one.
 SIDE_BY_SIDE = 48
+#: Distinct words that a task takes on at once.
+TOGETHER = 200_000
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
@@ -150,7 +152,7 @@ def _expect(model: Model, table: np.ndarray, times: np.ndarray, counts: np.ndarr
             rest = model.logs[piece] + beta[j][rows]
             beta[i][rows] = np.logaddexp(beta[i][rows], rest)
             use = times[rows] * np.exp(alpha[i][rows] + rest - total[rows])
-            counts += np.bincount(piece, use, minlength=len(counts))
+            np.add.at(counts, piece, use)
 
 
 def _matches(trie: Trie, word: bytes, i: int) -> Iterator[tuple[int, int]]:
@@ -267,15 +269,27 @@ def _sliced(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataF
     return map_arrow(source, work, schema)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together to about ``TOGETHER`` rows: many words of each length go side by side."""
+    waiting, rows = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        rows += batch.num_rows
+        if rows >= TOGETHER:
+            yield pa.Table.from_batches(waiting)
+            waiting, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(waiting)
+
+
 def _learned(words: DataFrame, model: Model, ends: int, stops: int) -> Model:
     """One round of expectation-maximisation over the training words."""
     held = words.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(len(held.value.pieces))
-        for batch in batches:
-            counts += expected_uses(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float),
-                                    held.value)
+        for batch in _gathered(batches):
+            counts += expected_uses(batch["word"].to_pylist(), batch["c"].to_numpy().astype(float), held.value)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["piece", "uses"])
 
@@ -308,9 +322,9 @@ def score(docs: DataFrame, learn: Column, vocab_path: str, id_col: str = "doc_id
     held = spark.sparkContext.broadcast(model)
 
     def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            logs = word_logs(batch.column(0).to_pylist(), held.value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs)], names=["word", "c", "log"])
+        for batch in _gathered(batches):
+            logs = word_logs(batch["word"].to_pylist(), held.value)
+            yield from batch.append_column("log", pa.array(logs)).to_batches(max_chunksize=50_000)
 
     valued = stored(map_arrow(words, value, "word binary, c long, log double"), "lattice-values")
     back = placed.drop("c").join(valued, "word").select(F.col("slice").alias("of"), "pos", "c", "log")
