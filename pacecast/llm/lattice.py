@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, LongType, StringType,
                                StructField, StructType)
 
-from .common import map_arrow, ship, slices, stored
+from .common import map_arrow, ship, stored
 
 ROUNDS = 2
 SMOOTHING = 0.1
@@ -236,34 +236,36 @@ def _sliced(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataF
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch, texts in slices(batches, 2, max_chars=40_000_000, max_rows=10_000):
+        for batch in batches:  # bounded by Spark in rows and bytes; one text at a time is unpacked
             learned = batch.column(1).to_pylist()
             number: dict[bytes, int] = {}
-            own, name = [], xxhash.xxh3_128()
-            for text in texts:
-                raw = text.encode("utf-8", "surrogatepass") if text else b""
+            sizes, parts, name = np.zeros(batch.num_rows, np.int64), [], xxhash.xxh3_128()
+            for k, text in enumerate(batch.column(2)):
+                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 name.update(len(raw).to_bytes(8, "little") + raw)
                 words = raw.lower().split()
                 for word in {*words}:
                     if word not in number:
                         number[word] = len(number)
-                own.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+                sizes[k] = len(words)
+                parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             name.update(repr(batch.column(0).to_pylist()).encode())
-            tokens = np.concatenate([*own, np.zeros(0, np.int32)])
+            tokens = np.concatenate([*parts, np.zeros(0, np.int32)])
+            del parts
             # frequent words get small numbers, which pack well
             order = np.argsort(-np.bincount(tokens, minlength=len(number)), kind="stable")
             place = np.empty(len(number), np.int32)
             place[order] = np.arange(len(number), dtype=np.int32)
-            sizes = np.array([len(t) for t in own], np.int64)
-            taught = place[tokens[np.repeat(np.array(learned, bool), sizes)]]
+            tokens = place[tokens]
+            counts = np.bincount(tokens[np.repeat(np.array(learned, bool), sizes)], minlength=len(number))
             names = list(number)
             yield pa.RecordBatch.from_arrays([
                 pa.array([name.hexdigest()]),
                 pa.array([[names[k] for k in order.tolist()]], pa.list_(pa.binary())),
-                pa.array([np.bincount(taught, minlength=len(number))], pa.list_(pa.int64())),
+                pa.array([counts], pa.list_(pa.int64())),
                 pa.array([batch.column(0).to_pylist()], pa.list_(batch.column(0).type)),
                 pa.array([learned], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int64())),
-                pa.array([zstandard.compress(place[tokens].tobytes(), 1)], pa.binary())],
+                pa.array([zstandard.compress(tokens.tobytes(), 1)], pa.binary())],
                 names=schema.names)
 
     return map_arrow(source, work, schema)
