@@ -16,7 +16,7 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(master="local[*]", shuffle_partitions=8, app_name="pacecast-tests")
+    session = build_session(master="local[*]", shuffle_partitions=4, app_name="pacecast-tests")
     yield session
     session.stop()
 
