@@ -29,7 +29,7 @@ from .common import beside, map_arrow, others, slices
 
 SHIFT = 20  # ids stay below 2**20
 NONE = 1 << 30  # no merge
-#: Words whose encoding a worker remembers; the memo starts anew when full.
+#: Parts whose encoding a task remembers; the memo starts anew when full.
 MEMO_WORDS = 500_000
 #: Characters of text that are replayed together.
 SLICE_CHARS = 16_000_000
@@ -189,7 +189,7 @@ class Memo:
 
 @lru_cache(maxsize=2)
 def _codec(data: bytes, pattern: str):
-    return Vocabulary(data), regex.compile(pattern), Memo()
+    return Vocabulary(data), regex.compile(pattern)
 
 
 def encode_texts(texts: list, vocabulary: Vocabulary, pattern, memo: Memo,
@@ -263,7 +263,7 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text
                         + [StructField(n, t) for n, t in zip(names, types, strict=False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, splitter, memo = _codec(data.value, pattern)
+        (vocabulary, splitter), memo = _codec(data.value, pattern), Memo()  # the memo goes with the task
         for batch, texts in slices(batches, len(kept), max_chars=SLICE_CHARS, max_rows=10_000):
             ids = encode_texts(texts, vocabulary, splitter, memo, space_led)
             new = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
@@ -282,7 +282,7 @@ def decode(encoded: DataFrame, vocab_path: str, ids_col: str = "ids", to: str =
     schema = StructType(fields + [StructField(to, BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, _, _ = _codec(data.value, "")
+        vocabulary, _ = _codec(data.value, "")
         for batch in batches:
             out = [None if x is None else decode_ids(x, vocabulary)
                    for x in batch.column(len(kept)).to_pylist()]

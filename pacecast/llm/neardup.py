@@ -170,7 +170,7 @@ def near_by_registers(batch: dict, own: slice, share: float) -> np.ndarray:
 def near_by_sets(batch: dict, own: slice, share: float) -> np.ndarray:
     """Pairs of a group's two blocks that are linked, by the full sets.
 
-    Shared shingles are counted by products of 0/1 matrices, some thousand
+    Shared shingles are counted by products of 0/1 matrices, 2,048
     shingles at a time; shingles of one document only are left out.
     """
     first, second = _sides(batch, own)
@@ -182,7 +182,7 @@ def near_by_sets(batch: dict, own: slice, share: float) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     shared = np.zeros((len(first), len(second)))
-    width = 4096
+    width = 2048
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         a, b = np.searchsorted(column, (start, start + width))
         has = np.zeros((len(sets), min(width, int(column[-1]) + 1 - start)), np.float32)
