@@ -8,12 +8,13 @@ that chance can't explain it. Texts that share their smallest word hash count
 as one there, so copies of a text prove nothing. Tokens with an indicator are
 labelled toxic.
 
-The field is trained on segments of the sample (hashed features of a token:
-word and beginnings; two by two transitions) by stochastic gradient steps on
-its exact log likelihood. To score a text, forward-backward in log-odds form
-runs over all its tokens; the marginals give the offending offsets (marginal
-of at least 0.5) and, by their largest, the document's score through a logistic
-curve fitted on the sample's texts.
+The field is trained on all tokens of the sample, cut into segments (hashed
+features of a token: word and beginnings; two by two transitions), by gradient
+steps on its exact log likelihood, whose gradients are summed in Spark tasks. To
+score a text, forward-backward in log-odds form runs over all its tokens; the
+marginals give the offending offsets (marginal of at least 0.5) and, by their
+largest, the document's score through a logistic curve fitted on the largest of
+each of the sample's texts, found in the same way.
 
 Null and empty texts score as a text without toxic tokens. Rows with a null
 label or id are not learned from; a doc_id that is labelled repeatedly counts
@@ -26,7 +27,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
                                StructType)
 
-from .common import beside, map_arrow, others, slices
+from .common import beside, map_arrow, others, slices, stored
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 DIMENSIONS = 1 << 18
-#: Tokens of a training segment, and segments taken of a sampled text.
-SEGMENT, SEGMENTS = 40, 4
+#: Most tokens of a training segment.
+SEGMENT = 40
+#: Most tasks of a training round: each returns one gradient to the driver.
+TASKS = 32
 #: Words whose weight a worker remembers; the memo starts anew when full.
 MEMO_WORDS = 400_000
 
@@ -156,54 +158,80 @@ def indicators(texts: DataFrame, chance: float = 0.1) -> set[str]:
 
 
 def _segments(marks: set[str]):
-    """Tagged segments of a text: those with toxic tokens first, then from its start."""
+    """The texts of each slice as segments: distinct words' slots, tokens (places in the words), tags, lengths."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, 2):
-            ids, kinds, words, tags = [], [], [], []
-            for key, label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts,
-                                        strict=True):
+        for batch, texts in slices(batches, 1):
+            places: dict[str, int] = {}
+            number, lengths, toxic = [], [], []
+            for label, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 tokens = TOKEN.findall((text or "").lower())
-                hits = [int(label and not marks.isdisjoint(word_features(w))) for w in tokens]
-                cuts = sorted(range(0, len(tokens), SEGMENT),
-                              key=lambda i: (not any(hits[i:i + SEGMENT]), i))
-                for i in islice(cuts, SEGMENTS):
-                    ids.append(str(key))
-                    kinds.append(label)
-                    words.append(tokens[i:i + SEGMENT])
-                    tags.append(hits[i:i + SEGMENT])
+                number.append(np.fromiter((places.setdefault(w, len(places)) for w in tokens), np.int32, len(tokens)))
+                lengths += [min(SEGMENT, len(tokens) - i) for i in range(0, len(tokens), SEGMENT)]
+                toxic.append(np.full(len(tokens), label == 1))
+            if lengths:
+                slots = [_slots(w) for w in places]
+                hits = np.array([not marks.isdisjoint(word_features(w)) for w in places])
+                number = np.concatenate(number)
+                parts = (np.concatenate(slots).astype(np.int32), np.array([len(x) for x in slots], np.int32), number,
+                         hits[number] & np.concatenate(toxic), np.array(lengths, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts],
+                                                 names=["slots", "sizes", "number", "tags", "lengths"])
+    return work
+
+
+SEGMENTED = "slots binary, sizes binary, number binary, tags binary, lengths binary"
+
+
+def _gradient(held):
+    """Sums over a task's segments: of each slot, the bias and the transitions, truth less expectation."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias, moves = held.value
+        total = np.zeros(DIMENSIONS + 5)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                slot, sizes, number, truth, lengths = (
+                    np.frombuffer(c[row].as_py(), np.bool_ if name == "tags" else np.int32)
+                    for name, c in zip(batch.schema.names, batch.columns, strict=True))
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                odds = np.bincount(owner, weights[slot], minlength=len(sizes)) + bias
+                starts = np.cumsum(lengths) - lengths
+                p, pairs = _expected(odds[number], starts, lengths, moves)
+                error = np.bincount(number, truth - p, minlength=len(sizes))
+                total[:DIMENSIONS] += np.bincount(slot, error[owner], minlength=DIMENSIONS)
+                total[DIMENSIONS] += error.sum()
+                inner = np.ones(len(number), bool)
+                inner[starts] = False
+                here = np.flatnonzero(inner)
+                seen = np.bincount(truth[here - 1] * 2 + truth[here], minlength=4)
+                total[DIMENSIONS + 1:] += seen - pairs.ravel()
+        used = np.flatnonzero(total)
+        if len(used):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.string()), pa.array(kinds, pa.int32()),
-                 pa.array(words, pa.list_(pa.string())), pa.array(tags, pa.list_(pa.int32()))],
-                names=["id", "label", "words", "tags"])
+                [pa.array([x.tobytes()], pa.binary()) for x in (used.astype(np.int32), total[used])],
+                names=["place", "value"])
     return work
 
 
-def fit(words: list[str], number: np.ndarray, lengths: np.ndarray, truth: np.ndarray,
-        rounds: int = 40, rate: float = 0.5) -> Model:
+def fit(segments: DataFrame, rounds: int = 40, rate: float = 0.5) -> Model:
     """Maximise the chain's log likelihood by AdaGrad over all segments, with hashed features.
 
-    The segments' tokens follow each other in ``number`` (places in ``words``) and ``truth`` (tags).
+    In each round the driver gets one gradient of a task, and there are at most ``TASKS``.
     """
+    context = segments.sparkSession.sparkContext
     weights, bias, moves = np.zeros(DIMENSIONS), -2.0, np.zeros((2, 2))
-    slots = [_slots(w) for w in words]
-    owner = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
-    slot = np.fromiter((x for s in slots for x in s), np.int64)
-    starts = np.cumsum(lengths) - lengths
-    inner = np.ones(len(number), bool)
-    inner[starts] = False
-    here = np.flatnonzero(inner)
-    wanted = np.bincount(truth[here - 1].astype(int) * 2 + truth[here].astype(int), minlength=4).reshape(2, 2)
     g_w, g_b, g_m = np.full(DIMENSIONS, 1e-6), 1e-6, np.full((2, 2), 1e-6)
     for _ in range(rounds):
-        odds = np.bincount(owner, weights[slot], minlength=len(slots)) + bias
-        p, pairs = _expected(odds[number], starts, lengths, moves)
-        error = np.bincount(number, truth - p, minlength=len(slots))
-        step = np.bincount(slot, error[owner], minlength=DIMENSIONS) - 0.02 * weights
+        held = context.broadcast((weights, bias, moves))
+        total = np.zeros(DIMENSIONS + 5)
+        for part in map_arrow(segments.coalesce(TASKS), _gradient(held), "place binary, value binary").collect():
+            total[np.frombuffer(part["place"], np.int32)] += np.frombuffer(part["value"])
+        held.destroy()
+        step = total[:DIMENSIONS] - 0.02 * weights
         g_w += step ** 2
-        weights += rate * step / np.sqrt(g_w)
-        g_b += error.sum() ** 2
-        bias += rate * error.sum() / np.sqrt(g_b)
-        step = wanted - pairs
+        weights = weights + rate * step / np.sqrt(g_w)
+        g_b += total[DIMENSIONS] ** 2
+        bias += rate * total[DIMENSIONS] / np.sqrt(g_b)
+        step = total[DIMENSIONS + 1:].reshape(2, 2)
         g_m += step ** 2
         moves = np.clip(moves + 0.2 * rate * step / np.sqrt(g_m), -4, 4)
     return Model(weights, bias, moves, 1.0, 0.0)
@@ -235,32 +263,33 @@ def _expected(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves:
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic", toxic_rows: int = 2_500,
           clean_rows: int = 5_000) -> Model:
-    """Fit on at most ``toxic_rows`` + ``clean_rows`` labelled texts.
+    """Fit on at most ``toxic_rows`` + ``clean_rows`` labelled texts, on all their tokens.
 
-    The sampled ids are broadcast; the driver gets at most ``SEGMENTS`` segments
-    of ``SEGMENT`` tokens of each sampled text, whatever the tables' size.
+    The sampled ids are broadcast; the driver gets sums over the texts and the
+    largest log odds of each, never the texts or their tokens.
     """
     chosen = sample(labels, learn, id_col, label_col, toxic_rows, clean_rows)
-    texts = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-             .join(F.broadcast(chosen), "_id").select("_id", "_label", "_text"))
-    marks = indicators(texts.select("_label", "_text"))
+    texts = stored(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+                   .join(F.broadcast(chosen), "_id").select("_label", "_text"), "toxicity-sample")
+    marks = indicators(texts)
     if not marks:
         return Model(np.zeros(DIMENSIONS), -8.0, np.zeros((2, 2)), 1.0, 0.0)
-    rows = map_arrow(texts, _segments(marks), "id string, label int, words array<string>, tags array<int>"
-                     ).orderBy("id", "words").toArrow().combine_chunks()
-    lists = rows["words"].chunk(0)
-    tokens = lists.flatten().dictionary_encode()
-    words, number = tokens.dictionary.to_pylist(), tokens.indices.to_numpy()
-    lengths = np.diff(lists.offsets.to_numpy())
-    model = fit(words, number, lengths, rows["tags"].chunk(0).flatten().to_numpy().astype(float))
-    odds = np.array([model.word_odds(w) for w in words])[number]
-    found = marginal_odds(np.split(odds, np.cumsum(lengths)[:-1]), model.moves)
-    _, text = np.unique(rows["id"].to_pylist(), return_inverse=True)
-    top = np.full(text.max() + 1, -np.inf)
-    np.maximum.at(top, text, [o.max() for o in found])
-    label = np.zeros(len(top))
-    label[text] = rows["label"].to_numpy()
-    return _calibrated(model, top, label)
+    model = fit(stored(map_arrow(texts, _segments(marks), SEGMENTED), "toxicity-segments"))
+    tops = map_arrow(texts, _largest(model), "label int, top double").toArrow()
+    label, top = tops["label"].to_numpy(), tops["top"].to_numpy()
+    # texts come in any order: sorted, so that the sums are the same in every run
+    order = np.lexsort((top, label))
+    return _calibrated(model, top[order], label[order].astype(float))
+
+
+def _largest(model: Model):
+    """(label, largest log odds) of every text, as scoring finds it."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, float] = {}
+        for batch, texts in slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()),
+                                              pa.array(token_odds(texts, model, memo)[1])], names=["label", "top"])
+    return work
 
 
 def _calibrated(model: Model, top: np.ndarray, label: np.ndarray) -> Model:
@@ -277,8 +306,8 @@ def _calibrated(model: Model, top: np.ndarray, label: np.ndarray) -> Model:
 
 # -------------------------------------------------------------- scoring ------
 
-def tag_texts(texts: list, model: Model, memo: dict[str, float]) -> tuple[np.ndarray, list[list]]:
-    """Document scores, and the offending (start, end, marginal) of each text."""
+def token_odds(texts: list, model: Model, memo: dict[str, float]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Log odds of tag 1 at all tokens of each text, and the largest of each text (-12 without tokens)."""
     if len(memo) > MEMO_WORDS:
         memo.clear()
     split = [TOKEN.findall(t.lower()) if t else [] for t in texts]
@@ -287,7 +316,12 @@ def tag_texts(texts: list, model: Model, memo: dict[str, float]) -> tuple[np.nda
             memo[word] = model.word_odds(word)
     odds = [np.fromiter(map(memo.__getitem__, s), float, len(s)) for s in split]
     found = marginal_odds(odds, model.moves)
-    top = np.array([o.max() if len(o) else -12.0 for o in found])
+    return found, np.array([o.max() if len(o) else -12.0 for o in found])
+
+
+def tag_texts(texts: list, model: Model, memo: dict[str, float]) -> tuple[np.ndarray, list[list]]:
+    """Document scores, and the offending (start, end, marginal) of each text."""
+    found, top = token_odds(texts, model, memo)
     spans = []
     for text, own in zip(texts, found, strict=True):
         hits = np.flatnonzero(own >= 0).tolist()

@@ -265,6 +265,41 @@ def test_toxicity_held_out_and_offsets(spark, tmp_path):
         assert r.spans == ",".join(f"{m.start()}:{m.end()}" for m in bad.finditer(text or ""))
 
 
+def test_toxicity_learns_from_whole_texts(spark, tmp_path):
+    """Clean words far into long texts share the beginning of toxic ones."""
+    docs, labels = toxic_tables()
+    rng = random.Random(4)
+    for i in range(1, 400, 4):
+        words = docs[i][1].split() + helpers.words(rng, 300)
+        docs[i] = (i, " ".join(words + ["idiotypic"] * 3 + helpers.words(rng, 20)), "en", "s", 1)
+    docs += [(900, "the idiotypic st", None, None, None), (901, "the idiot st", None, None, None)]
+    path = helpers.write(spark, tmp_path, documents=(docs, helpers.DOCS), labels=(labels, helpers.LABELS))
+    rows = {r.doc_id: r for r in queries.op10_crf_toxicity(spark, path).collect()}
+    assert rows[900].spans == "" and rows[900].predicted == 0
+    assert rows[901].spans == "4:9" and rows[901].predicted == 1
+    held = [r for r in rows.values() if r.held_out and r.doc_id < 400]
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) >= 0.97 * len(held)
+
+
+def test_toxicity_curve_sees_whole_texts(spark, monkeypatch):
+    """The curve is fitted on the maximum that scoring finds, and the field on every token."""
+    seen = {}
+    calibrated, fit = toxicity._calibrated, toxicity.fit
+    monkeypatch.setattr(toxicity, "_calibrated", lambda model, top, label: seen.update(
+        model=model, top=top) or calibrated(model, top, label))
+    monkeypatch.setattr(toxicity, "fit", lambda segments: seen.update(
+        tokens=sum(len(r["tags"]) for r in segments.collect())) or fit(segments, rounds=2))
+    docs, labels = toxic_tables(80)
+    monkeypatch.setattr(toxicity, "indicators", lambda texts: {"=idiot", "=moron"})
+    long = " ".join(helpers.words(random.Random(8), 2_000))
+    docs = [(i, f"{text} {long}", *rest) for i, text, *rest in docs]
+    tables = spark.createDataFrame(docs, helpers.DOCS), spark.createDataFrame(labels, helpers.LABELS)
+    toxicity.train(*tables, F.lit(True))
+    texts = [d[1] for d in docs]
+    assert seen["tokens"] == sum(len(toxicity.TOKEN.findall(t)) for t in texts)
+    assert np.allclose(sorted(seen["top"]), sorted(toxicity.token_odds(texts, seen["model"], {})[1]))
+
+
 def test_marginals_by_enumeration():
     """Forward-backward against the sum over all tag sequences."""
     import itertools
