@@ -3,7 +3,7 @@
 Regular expressions propose spans of six kinds. Validators then decide: Luhn
 for card numbers, mod 97 for account numbers (IBAN), ranges for addresses,
 digit counts for phones. A span's score is its kind's prior, raised by a
-checksum and by a fitting word among the ``WINDOW`` characters before it. The four
+checksum and by a fitting word among the ``WINDOW`` characters before or after it. The four
 base kinds are kept whatever their context; the kinds the method adds (``iban``,
 ``short_card`` and ``local_phone``) are kept from ``KEEP`` on, which the latter
 two only reach with a context word.
@@ -29,7 +29,7 @@ from .common import beside, map_arrow, others, slices
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "short_card", "local_phone")
-#: Characters before a span that are searched for context words.
+#: Characters before a span, and after it, that are searched for context words.
 WINDOW = 40
 #: Score from which a span of an added kind is kept.
 KEEP = 0.7
@@ -139,7 +139,10 @@ def find(text: str | None) -> list[Span]:
     out, covered = [], []
     for kind, start, end, checked in propose(text) if text else ():
         near = text[max(0, start - WINDOW):start].lower()
-        words = set(re.findall("[a-z]+", near))
+        # one character more after the span: a word that reaches it is cut, and no word
+        after = text[end:end + WINDOW + 1].lower()
+        words = set(re.findall("[a-z]+", near)) | set(
+            re.findall("[a-z]+" if len(after) <= WINDOW else r"[a-z]++(?!\Z)", after))
         score = PRIOR[kind] + CHECKSUM * checked + CONTEXT * any(w in words for w in CONTEXT_WORDS[kind])
         if kind in BASE:
             covered.append((start, end))

@@ -216,6 +216,16 @@ def test_added_kinds_need_their_checksum_or_context():
     assert found("visa card 4222222222222") == ["short_card"]
 
 
+def test_context_after_a_span():
+    found = lambda t: [s.kind for s in pii.find(t)]
+    assert found("212-555-0187 (mobile)") == ["local_phone"]
+    assert found("4222222222222 is my visa card") == ["short_card"]
+    assert found("212-555-0187" + " " * 34 + "mobile") == ["local_phone"]
+    assert found("212-555-0187" + " " * 35 + "mobile") == []
+    assert found("4222222222222" + " " * 36 + "cardinal") == []
+    assert pii.redact_text("212-555-0187 (mobile)") == "[LOCAL_PHONE] (mobile)"
+
+
 def test_redaction():
     assert pii.redact_text("write a@b.co or +1 (988) 555-2485.") == "write [EMAIL] or [PHONE]."
     assert pii.redact_text(None) is None and pii.redact_text("") == ""
