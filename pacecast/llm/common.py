@@ -95,6 +95,16 @@ def fold(key: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
+def sampled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_label, _text) of the chosen ids (_id, _label), which are broadcast: one text an id.
+
+    Of a repeated id's texts it is the smallest, found in each task first.
+    """
+    return (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+            .join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+            .select("_label", "_text"))
+
+
 def others(df: DataFrame, *new: str) -> list[str]:
     """The columns of ``df`` that stay beside the new ones: an old column gives way to a new one's name."""
     taken = {n.lower() for n in new}

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
                                StructType)
 
-from .common import beside, map_arrow, others, slices, stored
+from .common import beside, map_arrow, others, sampled_texts, slices, stored
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
@@ -263,14 +263,13 @@ def _expected(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves:
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic", toxic_rows: int = 2_500,
           clean_rows: int = 5_000) -> Model:
-    """Fit on at most ``toxic_rows`` + ``clean_rows`` labelled texts, on all their tokens.
+    """Fit on at most ``toxic_rows`` + ``clean_rows`` labelled texts, one an id, on all their tokens.
 
     The sampled ids are broadcast; the driver gets sums over the texts and the
     largest log odds of each, never the texts or their tokens.
     """
     chosen = sample(labels, learn, id_col, label_col, toxic_rows, clean_rows)
-    texts = stored(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-                   .join(F.broadcast(chosen), "_id").select("_label", "_text"), "toxicity-sample")
+    texts = stored(sampled_texts(docs, chosen, id_col, text_col), "toxicity-sample")
     marks = indicators(texts)
     if not marks:
         return Model(np.zeros(DIMENSIONS), -8.0, np.zeros((2, 2)), 1.0, 0.0)

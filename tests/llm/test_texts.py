@@ -172,6 +172,21 @@ def test_quality_sample_is_bounded(spark, folder):
     assert quality.sample(docs, labels, F.lit(True), sample_rows=10).count() == 10
 
 
+@pytest.mark.parametrize("operator", [quality, toxicity])
+def test_sampled_ids_give_one_text(spark, monkeypatch, operator):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)] + [(3, f"other {k}") for k in range(200)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(8)], "doc_id long, quality int, toxic int")
+    seen = []
+    if operator is quality:
+        seen = quality.sample(docs, labels, F.lit(True)).collect()
+    else:
+        monkeypatch.setattr(toxicity, "indicators", lambda texts: seen.extend(texts.collect()))
+        toxicity.train(docs, labels, F.lit(True))
+        assert "other 0" in {r["_text"] for r in seen}
+    assert len(seen) == 8
+
+
 # ---------------------------------------------------------------- PII ---------
 
 def base_by_definition(text):
