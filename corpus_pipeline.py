@@ -6,7 +6,9 @@ returns documents again; the last one adds the token ids. What each stage does:
 1. language ID: learns from the documents' own languages and drops those it rejects:
    without a text or a letter, or with no language at least as likely as not.
 2. near-dedup: of the documents whose 5-word shingle sets are linked by a similarity
-   of 0.8 or more, the one with the smallest id stays. Rows without an id stay.
+   of 0.8 or more, the one with the smallest id stays (one without an id only if none has
+   one). Rows are compared by a number of their own, so neither a repeated id links
+   unlike texts nor a missing one keeps copies.
 3. PII: replaces personal data by its kind in brackets; ``n_chars`` follows.
 4. mixing: takes each document as often as the mix of sources asks, up to twice.
 5. byte-level BPE: the text gives way to ``n_tokens`` and ``ids`` (packed, little-endian).
@@ -36,19 +38,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; fully repeated rows are copies as well."""
-    marked = docs.withColumn("__text", F.xxhash64("text"))
-    found = neardup.near_duplicates(marked, keep=["__text"])
-    # of the rows of a component's smallest id (several, if an id is repeated) those of one text
-    winners = stored(found.where("kept and component_id is not null").groupBy("component_id").agg(
-        F.min("__text").alias("__text"), F.count("*").alias("__rows"))
-        .withColumnRenamed("component_id", "doc_id"), "pipeline-kept")
-    out = marked.join(winners, ["doc_id", "__text"], "left_semi")
-    repeated = winners.where("__rows > 1")
-    if not repeated.isEmpty():
-        rows = marked.join(repeated, ["doc_id", "__text"], "left_semi").dropDuplicates(["doc_id"])
-        out = marked.join(winners.where("__rows = 1"), ["doc_id", "__text"], "left_semi").unionByName(rows)
-    return out.unionByName(marked.where("doc_id is null")).select(*columns(docs, docs.columns))
+    """One document of each group of near-duplicates, whatever their ids; fully repeated rows are copies as well."""
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id())
+                      .withColumn("__text", F.xxhash64("text")), "pipeline-rows")
+    found = neardup.near_duplicates(numbered, id_col="__row", keep=["doc_id", "__text"])
+    # rows without words are linked with nothing: of these, only repeated rows with an id are copies
+    alone, named = F.col("n_shingles") == 0, F.col("doc_id").isNotNull()
+    group = [F.when(alone & named, F.lit(None)).when(alone, F.col("__row")).otherwise(F.col("component_id")),
+             *[F.when(alone & named, F.col(c)) for c in ("doc_id", "__text")]]
+    # the smallest id of a group stays, an id before none, and of its rows the first
+    first = F.min(F.struct((~named).alias("unnamed"), "doc_id", "__row"))
+    winners = (found.groupBy(*[c.alias(f"__{i}") for i, c in enumerate(group)]).agg(first.alias("__first"))
+               .select(F.col("__first.__row").alias("__row")))
+    return numbered.join(winners, "__row", "left_semi").select(*columns(docs, docs.columns))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -393,6 +393,18 @@ def test_pipeline_stages(spark, folder, tmp_path):
         docs, before = after, rows
 
 
+def test_near_dedup_does_not_rest_on_ids(spark):
+    """An id given to unlike texts links nothing; copies without an id are copies."""
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(helpers.words(rng, 60)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a), (3, b + " more"), (None, c), (None, c), (None, d), (4, d), (5, ""), (5, ""),
+            (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], helpers.DOCS)
+    kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(1, a), (1, b), (None, c), (4, d), (5, ""), (None, None), (None, None)])
+
+
 def test_pipeline_run_is_the_stages_in_turn(spark, folder):
     first, second = ([hashlib.sha256(str(r).encode()).hexdigest() for r in corpus_pipeline.run(spark, folder).collect()]
                      for _ in range(2))
