@@ -120,6 +120,35 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (part <= 0).alias("held_out"), "score", "predicted", spans.alias("spans"))
 
 
+def op11_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every text."""
+    from .licenses import scan
+
+    found = scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    starts = F.col("places.start")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"),
+        F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "labels").alias("labels"), "score")
+
+
+def op12_merkle_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle tree of every document; every third is checked with its letters lower-cased."""
+    from . import merkle
+
+    changed = F.when(fold(F.col("doc_id"), 3) == 0, F.translate("text", merkle.UPPER, merkle.LOWER))
+    out = merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+                          tampered={"text": changed.otherwise(F.col("text"))})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_quotient_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 strongest phrases of two to four words."""
+    from .collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_entropy_mix": op1_entropy_mix,
     "op2_lsh_forest": op2_lsh_forest,
@@ -131,6 +160,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_crf_toxicity": op10_crf_toxicity,
+    "op11_license_join": op11_license_join,
+    "op12_merkle_windows": op12_merkle_windows,
+    "op13_quotient_phrases": op13_quotient_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -180,4 +212,160 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(r.component, d.doc_id) AS component_id,
                d.doc_id = coalesce(r.component, d.doc_id) AS kept
         FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN rooted r ON r.node = c.rep""",
+    "op12_merkle_windows": r"""
+        WITH RECURSIVE fields AS (
+            SELECT doc_id, lang, source, n_chars, text,
+                   CASE WHEN doc_id IS NOT NULL AND xor(list_reduce(
+                            list_prepend(4294967295::BIGINT, list_transform(
+                                string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                            lambda crc, byte: list_reduce(
+                                [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 3 = 0
+                        THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                        ELSE text END AS changed
+            FROM documents),
+        hashed AS (
+            SELECT doc_id, lang, lead || coalesce(strlen(text) || ':' || text, '-') AS plain,
+                   lead || coalesce(strlen(changed) || ':' || changed, '-') AS now
+            FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                         || coalesce(strlen(source) || ':' || source, '-')
+                         || coalesce(strlen(lang) || ':' || lang, '-')
+                         || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS lead FROM fields)),
+        leaves AS (
+            SELECT doc_id, coalesce('1' || lang, '0') AS grp, sha256(plain) AS leaf, sha256(now) AS now
+            FROM hashed),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   count(*) OVER (PARTITION BY grp) AS n
+            FROM leaves),
+        tree AS (
+            SELECT grp, 0 AS lvl, pos, n, leaf AS node FROM placed
+            UNION ALL
+            SELECT grp, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos))
+            FROM tree WHERE n > 1 GROUP BY grp, lvl, pos // 8, n),
+        subroots AS (
+            SELECT grp, node AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n
+            FROM tree WHERE n = 1),
+        top AS (
+            SELECT 0 AS lvl, pos, n, subroot AS node FROM subroots
+            UNION ALL
+            SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos))
+            FROM top WHERE n > 1 GROUP BY lvl, pos // 8, n),
+        sides AS (
+            SELECT t.grp, t.lvl, t.pos, coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos < t.pos), '') AS b,
+                   coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos > t.pos), '') AS a
+            FROM tree t JOIN tree s ON s.grp = t.grp AND s.lvl = t.lvl AND s.pos // 8 = t.pos // 8
+            WHERE t.n > 1 GROUP BY t.grp, t.lvl, t.pos),
+        top_sides AS (
+            SELECT t.lvl, t.pos, coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos < t.pos), '') AS b,
+                   coalesce(string_agg(s.node, '' ORDER BY s.pos) FILTER (s.pos > t.pos), '') AS a
+            FROM top t JOIN top s ON s.lvl = t.lvl AND s.pos // 8 = t.pos // 8
+            WHERE t.n > 1 GROUP BY t.lvl, t.pos),
+        climbed AS (
+            SELECT doc_id, leaf, grp, 0 AS lvl, pos, '' AS proof, now AS own FROM placed
+            UNION ALL
+            SELECT c.doc_id, c.leaf, c.grp, c.lvl + 1, c.pos // 8, c.proof || s.b || s.a,
+                   sha256(s.b || c.own || s.a)
+            FROM climbed c JOIN sides s ON s.grp = c.grp AND s.lvl = c.lvl AND s.pos = c.pos),
+        grouped AS (
+            SELECT c.*, r.subroot, r.pos AS spot FROM climbed c JOIN subroots r ON r.grp = c.grp
+            QUALIFY c.lvl = max(c.lvl) OVER (PARTITION BY c.grp)),
+        ended AS (
+            SELECT doc_id, leaf, subroot, 0 AS lvl, spot AS pos, proof, own FROM grouped
+            UNION ALL
+            SELECT e.doc_id, e.leaf, e.subroot, e.lvl + 1, e.pos // 8, e.proof || s.b || s.a,
+                   sha256(s.b || e.own || s.a)
+            FROM ended e JOIN top_sides s ON s.lvl = e.lvl AND s.pos = e.pos)
+        SELECT e.doc_id, e.leaf, e.subroot, t.node AS root, sha256(e.proof) AS proof_sha256, e.own AS folded_root,
+               e.own = t.node AS verified
+        FROM ended e, (SELECT lvl, node FROM top WHERE n = 1) t
+        WHERE e.lvl = t.lvl""",
+    "op13_quotient_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+        grams AS (
+            SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: w[i:i + size - 1])) AS g
+            FROM worded, (SELECT unnest([1, 2, 3, 4]) AS size)),
+        often AS (SELECT lang, size, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+        cuts AS (
+            SELECT c.lang, c.g, c.size, c.f AS a, k, l.f AS l, r.f AS r,
+                   CAST((2000000::HUGEINT * c.f) // (l.f::HUGEINT + r.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM often WHERE size > 1) c
+            JOIN often l ON l.lang = c.lang AND l.size = k AND l.g = c.g[1:k]
+            JOIN often r ON r.lang = c.lang AND r.size = c.size - k AND r.g = c.g[k + 1:c.size]),
+        best AS (
+            SELECT * FROM cuts
+            QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+        inner_parts AS (
+            SELECT lang, g[s:s + z - 1] AS g, f
+            FROM (SELECT lang, g, f, z, unnest(range(1, size - z + 2)) AS s
+                  FROM often, (SELECT unnest([2, 3]) AS z) WHERE size > z)),
+        longer AS (SELECT lang, g, max(f) AS most FROM inner_parts GROUP BY lang, g)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC,
+                                          array_to_string(b.g, ' ')) AS rank,
+               array_to_string(b.g, ' ') AS phrase, b.a, b.l, b.r, t.n, b.score
+        FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN longer o ON o.lang = b.lang AND o.g = b.g
+        WHERE o.most IS NULL OR 100::HUGEINT * o.most < 80::HUGEINT * b.a
+        QUALIFY rank <= 2000""",
 }
+
+
+def _license_sql() -> str:
+    """Every block against every template, by the sets."""
+    from . import licenses as li
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    templates = ", ".join(f"({k}, {quoted(label)}, [{', '.join(map(quoted, li._template_words(text)))}])"
+                          for k, (label, text) in enumerate(li.TEMPLATES))
+    phrases = ", ".join(f"({quoted(label)}, [{', '.join(map(quoted, phrase.split()))}])"
+                        for phrase, label in li.PHRASES.items())
+    pattern, half = li.WORD, li.BLOCK_WORDS // 2
+    return rf"""
+        WITH plain AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(translate(
+                text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS text
+            FROM documents),
+        worded AS (SELECT r, doc_id, text, regexp_extract_all(text, '{pattern}') AS w FROM plain),
+        phrases AS (SELECT * FROM (VALUES {phrases}) p(label, p)),
+        starts AS (
+            SELECT r, label, s - 1 AS start
+            FROM (SELECT r, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS s FROM worded, phrases)
+            WHERE w[s:s + len(p) - 1] = p),
+        base AS (
+            SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+                   list_distinct(list(label)) AS labels
+            FROM starts GROUP BY r),
+        parts AS (
+            SELECT r, regexp_extract_all(part, '{pattern}') AS w
+            FROM (SELECT r, unnest(string_split_regex(text, '{li.BLOCK_END}')) AS part FROM plain)),
+        blocks AS (
+            SELECT r, w FROM parts WHERE len(w) <= {li.BLOCK_WORDS}
+            UNION ALL
+            SELECT r, w[s + 1:s + {li.BLOCK_WORDS}]
+            FROM (SELECT r, w, unnest(range(0, len(w) - {half}, {half})) AS s FROM parts
+                  WHERE len(w) > {li.BLOCK_WORDS})),
+        templates AS (SELECT * FROM (VALUES {templates}) t(k, label, t)),
+        block_words AS (
+            SELECT r, b, unnest(list_distinct(w)) AS word FROM (SELECT *, row_number() OVER () AS b FROM blocks)),
+        template_words AS (SELECT k, label, len(t) AS size, unnest(t) AS word FROM templates),
+        matches AS (
+            SELECT r, label, count(*) AS shared, size
+            FROM block_words JOIN template_words USING (word) GROUP BY r, b, k, label, size
+            HAVING 10 * count(*) >= {round(10 * li.SHARE)} * size),
+        best AS (SELECT r, list_distinct(list(label)) AS labels, max(shared / size) AS score FROM matches GROUP BY r)
+        SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(b.n_base, 0) AS n_base,
+               b.first_word, b.last_word,
+               coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))),
+                               ',') AS labels,
+               CASE WHEN b.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(m.score, 0.0::DOUBLE) END AS score
+        FROM worded w LEFT JOIN base b ON b.r = w.r LEFT JOIN best m ON m.r = w.r"""
+
+
+ORACLE_SQL["op11_license_join"] = _license_sql()
