@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from .common import others, stored
 
-#: Java pattern of a word: ASCII letters and digits and all characters beyond ASCII (fixed value).
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A word: ASCII letters and digits and all characters beyond ASCII. The Java matcher tests a class's
+#: ranges in turn, so the frequent letters come first and nothing is negated.
+WORD = r"[a-z0-9A-Z\x{80}-\x{10FFFF}]+"
 #: Ends of sentences and lines.
 BLOCK_END = r"[.!?][\x20\x09-\x0D]+|[\x0A-\x0D]+"
 BLOCK_WORDS = 100

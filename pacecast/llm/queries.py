@@ -335,7 +335,8 @@ def _license_sql() -> str:
         phrases AS (SELECT * FROM (VALUES {phrases}) p(label, p)),
         starts AS (
             SELECT r, label, s - 1 AS start
-            FROM (SELECT r, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS s FROM worded, phrases)
+            FROM (SELECT r, w, label, p, unnest(range(1, len(w) - len(p) + 2)) AS s
+                  FROM worded, phrases WHERE list_has_all(w, p))
             WHERE w[s:s + len(p) - 1] = p),
         base AS (
             SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
