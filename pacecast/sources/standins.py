@@ -175,40 +175,96 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
                                            name.replace("_daily", "_mtd")))])
 
 
+def _day_bit(date_col: str = "date") -> Column:
+    """A user's activity on a day of the month as one bit; days are united by ``bit_or``."""
+    return F.expr(f"shiftleft(1, dayofmonth({date_col}) - 1)")
+
+
+def _active_days(masks: str) -> Column:
+    """Exploded days of the month (from 0) set in a mask expression."""
+    return F.explode(F.expr(f"filter(sequence(0, 30), d -> shiftright({masks}, d) & 1 = 1)")).alias("_day")
+
+
+def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_col: str,
+              sums: dict[str, str]) -> DataFrame:
+    """The grouping-set cube of :func:`_cube_with_month_to_date` at the grain of days.
+
+    Additive figures and users are rolled up apart, both from aggregates instead of raw rows:
+    the figures from one row per (day, members), the users from one 31-bit mask of active days per
+    (month, members, user). A coarser slice's mask is the union of the finer ones, so a
+    user is counted once per day and, on the mask's first day, once per month. Every step is
+    aggregated before its shuffle, so neither a hot slice nor a hot user is one task's raw rows.
+    """
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{d}', CAST({d if d in s else ALL} AS INT)" for d in dims) + ")"
+        for s in sets)
+
+    def rolled(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+        members = F.expr(f"explode(array({structs}))").alias("_slice")
+        return df.select(*keys, *values, members).select(*keys, *values, "_slice.*")
+
+    inputs = list(dict.fromkeys(sums.values()))
+    cells = detail.groupBy("date", *dims).agg(F.count(F.lit(1)).alias("_tx"),
+                                              *[F.sum(c).alias(f"_s_{c}") for c in inputs])
+    figures = (rolled(cells, ["date"], ["_tx", *[f"_s_{c}" for c in inputs]]).groupBy("date", *dims)
+               .agg(F.sum("_tx").alias("tx_daily"), *[F.sum(f"_s_{c}").alias(n) for n, c in sums.items()]))
+    masks = detail.groupBy("_month", *dims, user_col).agg(F.bit_or(_day_bit()).alias("_mask"))
+    masks = (rolled(masks, ["_month", user_col], ["_mask"]).groupBy("_month", *dims, user_col)
+             .agg(F.bit_or("_mask").alias("_mask")))
+    seen = masks.select("_month", *dims, "_mask", _active_days("_mask"))
+    users = (seen.groupBy("_month", "_day", *dims)
+             .agg(F.count(F.lit(1)).alias("users_daily"),
+                  F.count(F.expr("CASE WHEN _mask & (shiftleft(1, _day) - 1) = 0 THEN 1 END")).alias("_new"))
+             .select(F.date_add("_month", F.col("_day")).alias("date"), *dims, "users_daily", "_new"))
+    # both have one row per (day, slice): put beside each other with a grouping, which keeps null members
+    both = figures.unionByName(users, allowMissingColumns=True)
+    daily = both.groupBy("date", *dims).agg(
+        *[F.sum(c).alias(c) for c in ("users_daily", "_new", "tx_daily")],
+        *[F.max(n).alias(n) for n in sums]).withColumn("_month", F.trunc("date", "MM"))
+    mtd = (Window.partitionBy(*dims, "_month").orderBy("date")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return daily.select(
+        "date", *dims, "users_daily", F.sum("_new").over(mtd).alias("users_mtd"),
+        "tx_daily", F.sum("tx_daily").over(mtd).alias("tx_mtd"),
+        *[c for name in sums for c in (F.col(name).cast(MONEY).alias(name),
+                                       F.sum(name).over(mtd).cast(MONEY).alias(
+                                           name.replace("_daily", "_mtd")))])
+
+
 def _flag_cube(detail: DataFrame) -> DataFrame:
     """The slices with acceptor and category rolled up, without a row per slice.
 
-    One row per (day, user) holds rows and net of the four (abroad, offline)
-    cells; a slice is a sum of cells, and a user is new to it on the first
-    day of the month with a row in it. All steps share one shuffle by (month, user),
-    whose groups hold at most a month of rows; then one aggregation per day.
+    Rows and net are columns for the four (abroad, offline) cells of a day; users have
+    one 31-bit mask of active days per (month, user) and cell. A slice is a sum of cells and a
+    union of masks, and a user is new to it on the first day of its mask. Both aggregations
+    shrink their rows before they are shuffled.
     """
     cells = [(a, o) for a in (0, 1) for o in (0, 1)]
     hit = {c: (F.col("is_abroad") == c[0]) & (F.col("is_offline") == c[1]) for c in cells}
-    per_user = (detail.repartition("_month", "o_custkey").groupBy("_month", "o_custkey", "date")
-                .agg(*[F.count(F.when(hit[a, o], 1)).alias(f"_tx{a}{o}") for a, o in cells],
-                     *[F.sum(F.when(hit[a, o], F.col("net"))).alias(f"_net{a}{o}") for a, o in cells]))
     slices = [(a, o) for a in (0, 1, ALL) for o in (0, 1, ALL)]
 
     def within(s: tuple[int, int]) -> list[str]:
         return [f"{a}{o}" for a, o in cells if s[0] in (a, ALL) and s[1] in (o, ALL)]
 
-    def seen(s: tuple[int, int]) -> str:
-        return "(" + " + ".join(f"_tx{c}" for c in within(s)) + " > 0)"
-
-    month = Window.partitionBy("_month", "o_custkey")
-    first = {s: F.min(F.when(F.expr(seen(s)), F.col("date"))).over(month) for s in slices}
-    per_user = per_user.select("*", *[(F.expr(seen(s)) & (F.col("date") == f)).alias(f"_new{k}")
-                                      for k, (s, f) in enumerate(first.items())])
+    figures = detail.groupBy("date").agg(
+        *[F.count(F.when(hit[a, o], 1)).alias(f"_tx{a}{o}") for a, o in cells],
+        *[F.sum(F.when(hit[a, o], F.col("net"))).alias(f"_net{a}{o}") for a, o in cells])
+    masks = detail.groupBy("_month", "o_custkey").agg(
+        *[F.coalesce(F.bit_or(F.when(hit[a, o], _day_bit())), F.lit(0)).alias(f"_m{a}{o}") for a, o in cells])
+    masks = masks.select("_month", *[F.expr(" | ".join(f"_m{c}" for c in within(s))).alias(f"_s{k}")
+                                     for k, s in enumerate(slices)])
+    everything = slices.index((ALL, ALL))
+    seen = masks.select("*", _active_days(f"_s{everything}"))
     aggs = []
-    for k, s in enumerate(slices):
-        net = " + ".join(f"COALESCE(_net{c}, 0)" for c in within(s))
-        aggs += [F.count(F.when(F.expr(seen(s)), 1)).alias(f"u{k}"),
-                 F.count(F.when(F.col(f"_new{k}"), 1)).alias(f"n{k}"),
-                 F.sum(F.expr(" + ".join(f"_tx{c}" for c in within(s)))).alias(f"t{k}"),
-                 F.sum(F.expr(f"CAST({net} AS DECIMAL(32,2))")).alias(f"v{k}")]
-    rows = ", ".join(f"{s[0]}, {s[1]}, u{k}, n{k}, t{k}, v{k}" for k, s in enumerate(slices))
-    daily = per_user.groupBy("date", "_month").agg(*aggs).selectExpr(
+    for k in range(len(slices)):
+        aggs += [F.count(F.expr(f"CASE WHEN shiftright(_s{k}, _day) & 1 = 1 THEN 1 END")).alias(f"u{k}"),
+                 F.count(F.expr(f"CASE WHEN _s{k} & (shiftleft(2L, _day) - 1) = shiftleft(1, _day) THEN 1 END"))
+                 .alias(f"n{k}")]
+    users = seen.groupBy("_month", "_day").agg(*aggs).withColumn("date", F.date_add("_month", F.col("_day")))
+    rows = ", ".join(
+        f"{s[0]}, {s[1]}, u{k}, n{k}, {' + '.join(f'_tx{c}' for c in within(s))}, CAST("
+        f"{' + '.join(f'COALESCE(_net{c}, 0)' for c in within(s))} AS DECIMAL(32,2))" for k, s in enumerate(slices))
+    daily = figures.join(users, "date").selectExpr(
         "date", "_month", f"stack({len(slices)}, {rows}) AS (is_abroad, is_offline, users, new, tx, net)"
     ).where("tx > 0")
     mtd = (Window.partitionBy("is_abroad", "is_offline", "_month").orderBy("date")
@@ -250,9 +306,8 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                       .otherwise(F.col("price")).alias("net")))
     if not full:
         return _flag_cube(detail)
-    return _cube_with_month_to_date(
-        detail, "date", ACCEPTOR_DIMS, acceptor_grouping_sets(full), "o_custkey",
-        {"net_volume_daily": "net"}, prefix=[])
+    return _day_cube(detail, ACCEPTOR_DIMS, acceptor_grouping_sets(full), "o_custkey",
+                     {"net_volume_daily": "net"})
 
 
 # ------------------------------------------------------------ hourly_cube ----
