@@ -601,6 +601,17 @@ COLUMN_SETS = {
 }
 
 
+def _late_rows_sql() -> str:
+    """The mid-April run with the fees of 3 April twice and a second report row on 17 February."""
+    sql = run_sql(BASES["mid"])
+    fees = "CAST(o_totalprice AS DECIMAL(20,2)) AS fee FROM orders"
+    card = "AS offline_count\n  FROM li GROUP BY date)"
+    assert fees in sql and card in sql
+    sql = sql.replace(fees, "CAST(o_totalprice AS DECIMAL(20,2)) AS fee FROM (SELECT * FROM orders UNION ALL "
+                            "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-04-03')")
+    return sql.replace(card, card[:-1] + " UNION ALL SELECT DATE '1998-02-17', 100, NULL, 1, NULL)")
+
+
 def _series_sql(parts) -> str:
     return with_(series_ctes(None, parts), daily_series_select())
 
@@ -650,6 +661,11 @@ def registry() -> dict[str, str]:
         "slice_rewrite_drops_day": (f"SELECT * FROM ({run_sql(BASES['mar'], self_history=False)}) "
                                     "WHERE date <> DATE '1998-03-10'"),
         "close_month_from_facts": run_sql(BASES["mar"]),
+        "run_day_from_store": run_sql(BASES["mid"]),
+        "run_day_late_rows": _late_rows_sql(),
+        "committed_rewrite_twice": run_sql(BASES["mar"], self_history=False),
+        "committed_two_months": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1), from_lo=True),
+        "backfill_pieces_resumed": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1)),
         "backfill_two_months": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1)),
         "backfill_all_days": backfill_all_days_sql(),
     }

@@ -67,6 +67,16 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
     seconds, or 31 days - so a hot month, day or minute cannot land in one
     task. For a date-grain ``ts_col`` the first two levels collapse.
     """
+    return accumulated(daily_totals(df, keys, ts_col, value_col, sum_col), keys)
+
+
+def daily_totals(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
+                 sum_col: str | None = None) -> DataFrame:
+    """The part of :func:`month_to_date` that sees one day's rows at a time.
+
+    Per (keys, day): ``value`` (largest row value), ``day_total`` and ``day_peak`` (the largest
+    running sum within the day).
+    """
     sum_col = sum_col or value_col
     kind = total_type(df.schema[sum_col].dataType)
 
@@ -101,10 +111,16 @@ def month_to_date(df: DataFrame, keys: list[str], ts_col: str, value_col: str,
                    .agg(total("_btot").alias("day_total"),
                         F.max(F.col("_prev") + F.col("_bpeak")).cast(kind).alias("day_peak"),
                         F.max("_bmax").alias("value")))
+    return per_day.select(*day_keys, "value", "day_total", "day_peak")
+
+
+def accumulated(per_day: DataFrame, keys: list[str]) -> DataFrame:
+    """``value_ptd`` of daily totals: the month's earlier days and the day's peak."""
+    kind = per_day.schema["day_total"].dataType
     before_day = (Window.partitionBy(*keys, F.trunc("date", "MM")).orderBy("date")
                   .rowsBetween(Window.unboundedPreceding, -1))
     return per_day.select(
-        *day_keys, "value",
+        *keys, "date", "value",
         (zero_if_null(F.sum("day_total").over(before_day).cast(kind)) + F.col("day_peak"))
         .alias("value_ptd"))
 
@@ -125,15 +141,19 @@ def pair_total_series(df: DataFrame, pairs: list[PairTotal], since: dt.date | No
                       date_col: str = "date") -> DataFrame:
     """Sum-of-two-columns metrics of a daily report, month-to-date by day."""
     src = df if since is None else df.filter(F.col(date_col) >= F.lit(since))
+    return _finish(month_to_date(pair_rows(src, pairs, date_col), KEYS, "date", "v"))
+
+
+def pair_rows(df: DataFrame, pairs: list[PairTotal], date_col: str = "date") -> DataFrame:
+    """One row (date, keys, v) per report row and pair."""
     money_type = MONEY.simpleString()
     rows = ", ".join(
         f"{p.feature}, {p.measure}, 0, {p.entity}, 0, "
         f"CAST(COALESCE({p.left}, 0) AS {money_type}) + CAST(COALESCE({p.right}, 0) AS {money_type})"
         for p in pairs)
-    flat = src.selectExpr(
+    return df.selectExpr(
         f"{date_col} AS date",
         f"stack({len(pairs)}, {rows}) AS (feature, measure, period, entity, currency, v)")
-    return _finish(month_to_date(flat, KEYS, "date", "v"))
 
 
 # ---------------------------------------------------------------- O5 ---------
@@ -277,12 +297,17 @@ def row_fee_series(fee_rows: DataFrame, feature: int, measure: int, entity: int,
     src = fee_rows
     if since is not None:
         src = src.filter(F.col(ts_col) >= F.lit(since).cast("timestamp_ntz"))
-    src = src.selectExpr(ts_col, f"COALESCE({value_col}, 0) AS fee",
+    daily = month_to_date(fee_source(src, feature, measure, entity, ts_col, value_col), KEYS, ts_col, "v", "fee")
+    return _finish(daily.withColumn("value_ptd", F.col("value_ptd").cast(MONEY)))
+
+
+def fee_source(df: DataFrame, feature: int, measure: int, entity: int, ts_col: str = "created_at",
+               value_col: str = "fee") -> DataFrame:
+    """Fee rows with their keys: ``fee`` as it is, ``v`` in two decimals."""
+    return df.selectExpr(ts_col, f"COALESCE({value_col}, 0) AS fee",
                          f"CAST(COALESCE({value_col}, 0) AS {MONEY.simpleString()}) AS v",
                          f"{feature} AS feature", f"{measure} AS measure", "0 AS period",
                          f"{entity} AS entity", "0 AS currency")
-    daily = month_to_date(src, KEYS, ts_col, "v", "fee")
-    return _finish(daily.withColumn("value_ptd", F.col("value_ptd").cast(MONEY)))
 
 
 # ---------------------------------------------------------------- O8 ---------

@@ -22,10 +22,12 @@ from ..operators.calendar import anchor_range, spine_for_anchors
 from ..operators.forecast import dispersion_bands, linear_projection, pace_forecast
 from ..operators.lookup import period_lookup
 from ..operators.series import KEYS, metric_series
+from ..sources.commits import CommittedTable
 from ..sources.standins import Inputs, standin_inputs
 from ..sources.store import read_output, write_slice
 from ..session import materialize, remove_paths
 from ..sources.tables import TableSet
+from .series_store import SeriesStore
 
 OUTPUT_COLUMNS = [
     "date", *KEYS,
@@ -75,7 +77,7 @@ def _prev_range(lo: dt.date, hi: dt.date) -> tuple[dt.date, dt.date]:
     return py_add_months(lo, -1), py_add_months(hi - dt.timedelta(days=1), -1)
 
 
-def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
+def forecast_days(spark: SparkSession, inputs: Inputs | SeriesStore, lo: dt.date, hi: dt.date,
                   history: DataFrame | str | None = "self",
                   own_month_shift: bool = False, as_of: dt.date | None = None,
                   scratch: list[str] | None = None) -> DataFrame:
@@ -91,8 +93,11 @@ def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
     self_history = isinstance(history, str) and history == "self"
     ranges = anchor_ranges(lo, hi, self_history)
     first = ranges[0][0]
-    series = materialize(metric_series(spark, inputs, history_start(first), as_of),
-                         "daily-series", scratch)
+    if isinstance(inputs, SeriesStore):
+        series = inputs.series(history_start(first), as_of)
+    else:
+        series = materialize(metric_series(spark, inputs, history_start(first), as_of),
+                             "daily-series", scratch)
     n = sum((b - a).days for a, b in ranges)
     anchors = anchor_range(spark, *ranges[0])
     for a, b in ranges[1:]:
@@ -108,19 +113,24 @@ def forecast_days(spark: SparkSession, inputs: Inputs, lo: dt.date, hi: dt.date,
             .select(*OUTPUT_COLUMNS))
 
 
-def _inputs(source: TableSet | Inputs, since: dt.date, until: dt.date | None) -> Inputs:
-    """The facts themselves, or stand-ins built from the test tables."""
-    return source if isinstance(source, Inputs) else standin_inputs(source, since, until=until)
+#: Where a run's figures come from: test tables (stand-in facts), metric facts, or their stored daily series.
+Source = TableSet | Inputs | SeriesStore
 
 
-def run_day(spark: SparkSession, source: TableSet | Inputs, base_day: str | dt.date,
-            target: str | None = None, own_month_shift: bool = False,
+def _inputs(source: Source, since: dt.date, until: dt.date | None) -> Inputs | SeriesStore:
+    """The facts or series themselves, or stand-ins built from the test tables."""
+    return standin_inputs(source, since, until=until) if isinstance(source, TableSet) else source
+
+
+def run_day(spark: SparkSession, source: Source, base_day: str | dt.date,
+            target: str | CommittedTable | None = None, own_month_shift: bool = False,
             as_of: str | dt.date | None = None) -> DataFrame:
     """What the daily procedure does for ``base_day``, on metric facts or stand-ins.
 
     With ``target`` the slice is written to that table (reading last month's
     rows from it) and the stored slice is returned; without, the rows are
-    returned and last month is computed in the same job.
+    returned and last month is computed in the same job. A path is a plain Parquet table, a
+    ``CommittedTable`` swaps the slice in one step.
     """
     lo, hi = run_window(base_day)
     as_of = as_date(as_of) if as_of is not None else None
@@ -128,34 +138,48 @@ def run_day(spark: SparkSession, source: TableSet | Inputs, base_day: str | dt.d
         inputs = _inputs(source, history_start(py_add_months(lo, -1)), as_of)
         return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of)
     inputs = _inputs(source, history_start(lo), as_of)
-    stored = read_output(spark, target, OUTPUT_COLUMNS)
+    stored = _history(spark, target, lo, hi)
     return _written(spark, target, lo, hi, lambda scratch: forecast_days(
         spark, inputs, lo, hi, stored, own_month_shift, as_of, scratch))
 
 
-def _written(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
-             rows_of: Callable[[list[str]], DataFrame]) -> DataFrame:
+def _history(spark: SparkSession, target: str | CommittedTable, lo: dt.date, hi: dt.date) -> DataFrame | None:
+    """The stored rows that the anchors ``[lo, hi)`` look back to."""
+    if not isinstance(target, CommittedTable):
+        return read_output(spark, target, OUTPUT_COLUMNS)
+    first, last = _prev_range(lo, hi)
+    return target.read(first, last + dt.timedelta(days=1))
+
+
+def _written(spark: SparkSession, target: str | CommittedTable, lo: dt.date, hi: dt.date,
+             rows_of: Callable[[list[str]], DataFrame], done: str | None = None) -> DataFrame:
     """Write the slice that ``rows_of`` (given a list for scratch paths) makes; the stored slice."""
     scratch: list[str] = []
     try:
         rows = rows_of(scratch)
-        write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
+        if isinstance(target, CommittedTable):
+            target.replace_days(rows, lo, hi, OUTPUT_COLUMNS, done)
+        else:
+            write_slice(rows, target, lo, hi, OUTPUT_COLUMNS)
         return stored_slice(spark, target, lo, hi, rows)
     finally:
         remove_paths(spark, scratch)
 
 
-def stored_slice(spark: SparkSession, target: str, lo: dt.date, hi: dt.date,
+def stored_slice(spark: SparkSession, target: str | CommittedTable, lo: dt.date, hi: dt.date,
                  like: DataFrame) -> DataFrame:
     """The stored rows of ``[lo, hi)`` (an empty frame shaped like ``like``)."""
+    if isinstance(target, CommittedTable):
+        stored = target.read(lo, hi)
+        return spark.createDataFrame([], like.schema) if stored is None else stored.select(*OUTPUT_COLUMNS)
     stored = read_output(spark, target, OUTPUT_COLUMNS)
     if stored is None:
         return spark.createDataFrame([], like.schema)
     return stored.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
 
 
-def backfill(spark: SparkSession, source: TableSet | Inputs, first_base: str | dt.date,
-             last_base: str | dt.date, target: str | None = None,
+def backfill(spark: SparkSession, source: Source, first_base: str | dt.date,
+             last_base: str | dt.date, target: str | CommittedTable | None = None,
              own_month_shift: bool = False, as_of: str | dt.date | None = None) -> DataFrame:
     """All days the runs on ``first_base..last_base`` recompute, in one job."""
     lo, _ = run_window(first_base)
@@ -167,3 +191,39 @@ def backfill(spark: SparkSession, source: TableSet | Inputs, first_base: str | d
         return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of, scratch)
 
     return rows(None) if target is None else _written(spark, target, lo, hi, rows)
+
+
+def _pieces(lo: dt.date, hi: dt.date, months: int) -> list[tuple[dt.date, dt.date]]:
+    """``[lo, hi)`` cut at every ``months``-th month start after the first."""
+    out, at = [], lo
+    while at < hi:
+        end = min(hi, py_add_months(py_month_start(at), months))
+        out.append((at, end))
+        at = end
+    return out
+
+
+def backfill_in_pieces(spark: SparkSession, source: Source, first_base: str | dt.date,
+                       last_base: str | dt.date, target: CommittedTable, run: str, months: int = 1,
+                       own_month_shift: bool = False, as_of: str | dt.date | None = None) -> DataFrame:
+    """:func:`backfill` by pieces of whole months, each finished piece noted beside its rows.
+
+    A piece's rows and its ledger entry are one commit, so a backfill that broke off goes on
+    with the first piece that its ``run`` (any name) has not finished; a new name does all pieces anew. The first
+    piece computes the month before it in the same job, later ones read it from the table (the
+    columns they read don't depend on the look-back).
+    """
+    lo, _ = run_window(first_base)
+    _, hi = run_window(last_base)
+    as_of = as_date(as_of) if as_of is not None else None
+    finished = set(target.ledger())
+    for a, b in _pieces(lo, hi, months):
+        name = f"{run} [{a}, {b}) as_of={as_of} own_month_shift={own_month_shift}"
+        if name in finished:
+            continue
+        first = a == lo
+        inputs = _inputs(source, history_start(py_add_months(a, -1) if first else a), as_of)
+        history = "self" if first else _history(spark, target, a, b)
+        _written(spark, target, a, b, lambda scratch, a=a, b=b, i=inputs, h=history: forecast_days(
+            spark, i, a, b, h, own_month_shift, as_of, scratch), done=name)
+    return target.read(lo, hi).select(*OUTPUT_COLUMNS)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import py_add_months, py_month_start, run_window
-from ..functions.decimals import SERIES_PTD, SERIES_VALUE, money
+from ..functions.decimals import MONEY, SERIES_PTD, SERIES_VALUE, money
 from ..operators.calendar import calendar_from_range, spine_for_anchors, week_start
 from ..operators.lookup import CARRIED, PTD_ROLES, VALUE_ROLES, period_lookup
 from ..operators.series import (CARD_PAIRS, CODED_METRICS, CUBE_SLICES, FEE_METRIC, KEYS,
@@ -25,9 +25,11 @@ from ..operators.series import (CARD_PAIRS, CODED_METRICS, CUBE_SLICES, FEE_METR
                                 row_fee_series)
 from ..session import materialize, scratch_path
 from ..sources import standins
+from ..sources.commits import CommittedTable
 from ..sources.store import read_output, write_slice
 from ..sources.tables import TableSet
-from .pipeline import OUTPUT_COLUMNS, backfill, forecast_days, history_start, run_day
+from .pipeline import OUTPUT_COLUMNS, backfill, backfill_in_pieces, forecast_days, history_start, run_day
+from .series_store import FactFolder, SeriesStore
 
 # Base days: closes of February, March and September 1998, and a mid-month day.
 BASES = {"feb": "1998-03-01", "mar": "1998-04-01", "sep": "1998-10-01", "mid": "1998-04-15"}
@@ -225,6 +227,79 @@ def close_month_from_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_day(spark, standins.read_facts(spark, folder), BASES["mar"]).select(*OUTPUT_COLUMNS)
 
 
+#: Late rows of ``run_day_late_rows``: a day whose fees arrive twice, a day with a second report row.
+LATE_FEES, LATE_REPORT = dt.date(1998, 4, 3), dt.date(1998, 2, 17)
+
+
+def _stored_facts(spark: SparkSession, sf_dir: str, base_day: str) -> FactFolder:
+    """Stand-in facts of a run's history, stored as tables."""
+    folder = scratch_path(spark, "facts")
+    since = history_start(py_add_months(run_window(base_day)[0], -1))
+    standins.write_facts(standins.standin_inputs(_tables(spark, sf_dir), since), folder)
+    return FactFolder(spark, folder)
+
+
+def add_late_rows(facts: FactFolder) -> None:
+    """Append the late rows to the facts."""
+    def append(rows: DataFrame, name: str, day: dt.date) -> None:
+        writer = rows.write.mode("append")
+        if facts.by_day(name):
+            writer = rows.withColumn("date", F.lit(day)).write.mode("append").partitionBy("date")
+        writer.parquet(f"{facts.folder}/{name}")
+
+    fees = facts.read("fee_rows", [(LATE_FEES, LATE_FEES + dt.timedelta(days=1))])
+    append(materialize(fees, "late-fees"), "fee_rows", LATE_FEES)
+    append(facts.spark.range(1).select(
+        F.lit(LATE_REPORT).alias("date"), F.lit(100).cast(MONEY).alias("online_volume"),
+        F.lit(None).cast(MONEY).alias("offline_volume"), F.lit(1).cast(MONEY).alias("online_count"),
+        F.lit(None).cast(MONEY).alias("offline_count")), "card_daily", LATE_REPORT)
+
+
+def run_day_from_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O16 on the stored daily series: the mid-April run of ``run_day_mid_all``."""
+    facts = _stored_facts(spark, sf_dir, BASES["mid"])
+    store = SeriesStore(spark, scratch_path(spark, "series"))
+    store.sync(facts)
+    return run_day(spark, store, BASES["mid"])
+
+
+def run_day_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after late rows; the store recomputes their two days only."""
+    facts = _stored_facts(spark, sf_dir, BASES["mid"])
+    store = SeriesStore(spark, scratch_path(spark, "series"))
+    store.sync(facts)
+    add_late_rows(facts)
+    store.sync(facts)
+    return run_day(spark, store, BASES["mid"])
+
+
+def committed_rewrite_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The March close twice into a table of atomic commits, old folders removed; its rows."""
+    target = CommittedTable(spark, scratch_path(spark, "forecast-commits"))
+    tables = _tables(spark, sf_dir)
+    run_day(spark, tables, BASES["mar"], target=target)
+    run_day(spark, tables, BASES["mar"], target=target)
+    target.vacuum(keep=1)
+    return target.read().select(*OUTPUT_COLUMNS)
+
+
+def committed_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The February, then the March close into a table of atomic commits; its rows."""
+    target = CommittedTable(spark, scratch_path(spark, "forecast-commits"))
+    tables = _tables(spark, sf_dir)
+    run_day(spark, tables, BASES["feb"], target=target)
+    run_day(spark, tables, BASES["mar"], target=target)
+    return target.read().select(*OUTPUT_COLUMNS)
+
+
+def backfill_pieces_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill over February and March by months that goes on after its first piece."""
+    target = CommittedTable(spark, scratch_path(spark, "forecast-commits"))
+    tables = _tables(spark, sf_dir)
+    backfill_in_pieces(spark, tables, BASES["feb"], BASES["feb"], target, run="q1")
+    return backfill_in_pieces(spark, tables, BASES["feb"], BASES["mar"], target, run="q1")
+
+
 def backfill_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 1998-03-01..1998-04-01 (February and March) in one job."""
     return backfill(spark, _tables(spark, sf_dir), BASES["feb"], BASES["mar"])
@@ -279,6 +354,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "close_two_months_stored": close_two_months_stored,
         "slice_rewrite_drops_day": slice_rewrite_drops_day,
         "close_month_from_facts": close_month_from_facts,
+        "run_day_from_store": run_day_from_store,
+        "run_day_late_rows": run_day_late_rows,
+        "committed_rewrite_twice": committed_rewrite_twice,
+        "committed_two_months": committed_two_months,
+        "backfill_pieces_resumed": backfill_pieces_resumed,
         "backfill_two_months": backfill_two_months,
         "backfill_all_days": backfill_all_days,
     }

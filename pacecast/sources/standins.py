@@ -382,6 +382,11 @@ FACT_COLUMNS = {
 }
 
 
+# The column that tells a fact row's time.
+FACT_TIMES = {"card_daily": "date", "entry_type_daily": "date", "fee_rows": "created_at",
+              "acceptor_cube": "date", "bill_hourly": "hour", "game_hourly": "hour", "travel_hourly": "hour"}
+
+
 def read_facts(spark: SparkSession, folder: str) -> Inputs:
     """Inputs from a folder with one Parquet table per fact, read by the schemas above.
 
@@ -396,14 +401,22 @@ def read_facts(spark: SparkSession, folder: str) -> Inputs:
                   hourly_cube=hourly_sources(fact("bill_hourly"), fact("game_hourly"), fact("travel_hourly")))
 
 
-def write_facts(inputs: Inputs, folder: str) -> None:
-    """Store inputs as :func:`read_facts` reads them."""
+def write_facts(inputs: Inputs, folder: str, by_day: bool = False) -> None:
+    """Store inputs as :func:`read_facts` reads them; ``by_day`` in one folder ``date=...`` a day."""
+    def write(df: DataFrame, name: str) -> None:
+        if by_day:
+            time = FACT_TIMES[name]
+            days = df if time == "date" else df.withColumn("date", F.col(time).cast("date"))
+            days.hint("rebalance", "date").write.partitionBy("date").parquet(f"{folder}/{name}")
+        else:
+            df.write.parquet(f"{folder}/{name}")
+
     for name in ("card_daily", "entry_type_daily", "fee_rows", "acceptor_cube"):
-        getattr(inputs, name).write.parquet(f"{folder}/{name}")
+        write(getattr(inputs, name), name)
     for feature, name, member in ((BILL, "bill_hourly", "company_id"), (GAME, "game_hourly", "sub_type_id"),
                                   (TRAVEL, "travel_hourly", "company_id")):
-        (inputs.hourly_cube.where(F.col("feature") == feature).drop("feature")
-         .withColumnRenamed("company_id", member).write.parquet(f"{folder}/{name}"))
+        write(inputs.hourly_cube.where(F.col("feature") == feature).drop("feature")
+              .withColumnRenamed("company_id", member), name)
 
 
 def standin_inputs(tables: TableSet, since: dt.date | None = None,
