@@ -29,10 +29,12 @@ from .common import beside, map_arrow, others, slices
 
 SHIFT = 20  # ids stay below 2**20
 NONE = 1 << 30  # no merge
-#: Parts whose encoding a task remembers; the memo starts anew when full.
-MEMO_WORDS = 500_000
+#: Parts, and bytes of parts and their ids, that a task remembers; the memo starts anew when full.
+MEMO_WORDS, MEMO_BYTES = 500_000, 48_000_000
+#: What a remembered part costs besides its characters and ids.
+PART_BYTES = 150
 #: Characters of text that are replayed together.
-SLICE_CHARS = 16_000_000
+SLICE_CHARS = 3_000_000
 
 
 class Vocabulary:
@@ -180,10 +182,10 @@ class Memo:
     """
 
     def __init__(self):
-        self.first, self.middle, self.last = {}, {}, {}
+        self.first, self.middle, self.last, self.size = {}, {}, {}, 0
 
     def trim(self) -> None:
-        if len(self.first) + len(self.middle) + len(self.last) > MEMO_WORDS:
+        if self.size > MEMO_BYTES or len(self.first) + len(self.middle) + len(self.last) > MEMO_WORDS:
             self.__init__()
 
 
@@ -210,11 +212,13 @@ def encode_texts(texts: list, vocabulary: Vocabulary, pattern, memo: Memo,
     split = [[pattern.findall(lead + p) for p in parts] for parts, _, lead in fresh]
     split.append([pattern.findall(t) for t in whole])
     ids = _ids({w for many in split for words in many for w in words}, vocabulary)
+    del first, middle, last
     for (parts, known, lead), many in zip(fresh, split, strict=False):
         for part, words in zip(parts, many, strict=True):
             cut_off = known is not memo.first and (not part or part[0].isspace()) \
                 or known is not memo.last and part and part[-1].isspace()
-            known[part] = None if cut_off else b"".join([ids[w] for w in words])
+            known[part] = whole_part = None if cut_off else b"".join([ids[w] for w in words])
+            memo.size += len(part) + len(whole_part or b"") + PART_BYTES
     out = []
     for text in texts:
         parts = text.split(" ") if space_led and text else ()

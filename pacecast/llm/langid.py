@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,15 @@ class Model:
     priors: np.ndarray
     logs: np.ndarray
 
+    @cached_property
+    def usual(self) -> tuple[np.ndarray, np.ndarray]:
+        """Mean and standard deviation of an n-gram's log probability in each language's own training text."""
+        share = np.exp(self.logs)
+        share -= share.min(axis=1, keepdims=True)  # the smoothing, which is all that an unseen n-gram has
+        share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
+        mean = (share * self.logs).sum(axis=1)
+        return mean, np.sqrt((share * (self.logs - mean[:, None]) ** 2).sum(axis=1))
+
 
 @cache
 def _letters() -> np.ndarray:
@@ -155,35 +164,50 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def predict_texts(texts: list, model: Model) -> tuple[list[str], list[float]]:
     """Language and its posterior probability of each text."""
+    return judged(texts, model)[:2]
+
+
+def judged(texts: list, model: Model) -> tuple[list[str], list[float], list]:
+    """Language, posterior probability and fit of each text.
+
+    The fit tells how far the mean log probability of a text's n-grams in its language lies from that
+    of the language's training text, in standard deviations of an n-gram; it doesn't depend
+    on the text's length. Without a letter it is None, where no language was learned 0.
+    """
     lettered = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
-    names, scores = ["und"] * len(texts), [0.0] * len(texts)
+    names, scores, fits = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)
+    for i in lettered:
+        fits[i] = 0.0
     if model.languages and lettered:
-        logs = log_likelihoods([texts[i] for i in lettered], model)
+        own = [texts[i] for i in lettered]
+        logs = log_likelihoods(own, model)
         best = logs.argmax(axis=1)
         odds = np.exp(logs - logs.max(axis=1, keepdims=True))
         top = 1 / odds.sum(axis=1)
-        for i, k, p in zip(lettered, best.tolist(), top.tolist(), strict=True):
-            names[i], scores[i] = model.languages[k], p
-    return names, scores
+        grams = 3 * np.array([len(t) + len(BLANKS) for t in own])
+        mean, spread = model.usual
+        fit = ((logs.max(axis=1) - model.priors[best]) / grams - mean[best]) / spread[best]
+        for i, k, p, f in zip(lettered, best.tolist(), top.tolist(), fit.tolist(), strict=True):
+            names[i], scores[i], fits[i] = model.languages[k], p, f
+    return names, scores, fits
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str = "lang_pred",
-            score_to: str = "score") -> DataFrame:
-    """All rows and columns with the predicted language and its probability.
+            score_to: str = "score", fit_to: str | None = None) -> DataFrame:
+    """All rows and columns with the predicted language, its probability and (if named) the fit of ``judged``.
 
     An old column with a new one's name gives way to it.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kept = others(docs, lang_to, score_to)
+    new = {lang_to: StringType(), score_to: DoubleType(), **({fit_to: DoubleType()} if fit_to else {})}
+    kept = others(docs, *new)
     source, fields = beside(docs, kept, text_col)
-    schema = StructType(fields + [StructField(lang_to, StringType()),
-                                                     StructField(score_to, DoubleType())])
+    schema = StructType(fields + [StructField(name, kind) for name, kind in new.items()])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, len(kept)):
-            langs, scores = predict_texts(texts, held.value)
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:-1] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=schema.names)
+            found = zip(judged(texts, held.value), (pa.string(), pa.float64(), pa.float64()), strict=True)
+            columns = [pa.array(values, kind) for values, kind in found]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + columns[:len(new)], names=schema.names)
 
     return map_arrow(source, work, schema)

@@ -16,7 +16,7 @@ and what is left of the target. Then up to ``CORRECTIONS`` documents of a fittin
 take one copy more or less. Running
 sums go over the (source, size) table and, for a size that many documents share,
 over cells of about the square root of their number, so no window holds a
-source or a group of copies.
+source or a group of copies. (The windows over all sources hold a row per source.)
 
 A null or empty text has size 0 and is never taken; a null source is a source
 of its own, after all others. Repeated rows are documents of their own; an
@@ -37,6 +37,7 @@ from .common import WORD, others, stored
 TOLERANCE = 1e-6
 STEPS_A_JOB, JOBS = 4, 12
 CORRECTIONS = 3
+SALTS = 32
 LONG = 2.0
 WEIGHTS = (3.0, 1.0, 2.0)
 
@@ -120,7 +121,8 @@ def multipliers(sizes: DataFrame, sources: DataFrame, most: float = 2.0) -> Data
         state = stored(state, "mixing-state")
         if (state.agg(F.max("_residual")).first()[0] or 0.0) <= TOLERANCE:
             break
-    return state.select("source_key", "lambda")
+    # sums of doubles depend on the order of rows in their last digits; the multiplier used doesn't
+    return state.select("source_key", F.round("lambda", 12).alias("lambda"))
 
 
 def _rounded(rates: Column) -> Column:
@@ -185,7 +187,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
               .fillna(0.0, ["rate", "_start"]))
     # documents of one size: cells by hash, their number growing as the square root of the documents'
     cells = sizes.select("source_key", "size", F.ceil(F.sqrt("n")).alias("_cells"))
-    placed = docs.join(cells, ["source_key", "size"]).withColumn(
+    # a size that a third of all documents share is dealt over SALTS tasks here, over its cells from then on
+    salted = docs.withColumn("_salt", F.pmod(F.xxhash64("_text", "_id"), F.lit(SALTS)))
+    cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    placed = salted.join(cells, ["source_key", "size", "_salt"]).drop("_salt").withColumn(
         "_cell", F.pmod(F.xxhash64("_id", "_text"), F.col("_cells")))
     by_cell = placed.groupBy("source_key", "size", "_cell").agg(F.count("*").alias("n"))
     to_cell = (Window.partitionBy("source_key", "size").orderBy("_cell")

@@ -1,12 +1,12 @@
 """Personal data: patterns propose, checksums confirm, context adjusts (operator 8).
 
-Regular expressions propose spans of six kinds. Validators then decide: Luhn
+Regular expressions propose spans of eight kinds. Validators then decide: Luhn
 for card numbers, mod 97 for account numbers (IBAN), ranges for addresses,
-digit counts for phones. A span's score is its kind's prior, raised by a
+digit counts for phones, entropy for secrets (keys and tokens). A span's score is its kind's prior, raised by a
 checksum and by a fitting word among the ``WINDOW`` characters before or after it. The four
 base kinds are kept whatever their context; the kinds the method adds (``iban``,
-``short_card`` and ``local_phone``) are kept from ``KEEP`` on, which the latter
-two only reach with a context word.
+``short_card``, ``local_phone`` and ``secret``) are kept from ``KEEP`` on, which the latter
+three only reach with a context word, and but for ``iban`` only where no base span overlaps them.
 
 Offsets are code points, ends exclusive. A null text has no spans; repeated
 rows are searched repeatedly; an empty table gives an empty table. Every
@@ -16,7 +16,10 @@ letters: local parts of addresses are found backwards from their ``@``.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,13 +31,13 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, S
 from .common import beside, map_arrow, others, slices
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "short_card", "local_phone")
+KINDS = (*BASE, "iban", "short_card", "local_phone", "secret")
 #: Characters before a span, and after it, that are searched for context words.
 WINDOW = 40
 #: Score from which a span of an added kind is kept.
 KEEP = 0.7
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.5, "phone": 0.6, "iban": 0.4, "short_card": 0.3,
-         "local_phone": 0.3}
+         "local_phone": 0.3, "secret": 0.3}
 CHECKSUM = 0.35
 CONTEXT = 0.4
 CONTEXT_WORDS = {
@@ -45,7 +48,10 @@ CONTEXT_WORDS = {
     "iban": ("iban", "account", "bank", "transfer"),
     "short_card": ("card", "visa", "credit", "debit", "payment"),
     "local_phone": ("phone", "call", "tel", "mobile", "fax"),
+    "secret": ("token", "key", "apikey", "secret", "password", "passwd", "credential", "credentials", "bearer", "auth"),
 }
+#: A secret is at least this long, and its characters tell at least so many bits each.
+SECRET_LENGTH, SECRET_BITS = 20, 3.0
 # Lengths of account numbers by country.
 IBAN_LENGTH = {
     "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22,
@@ -66,6 +72,7 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}(?= ?[A-Z0-9])")
 IBAN_REST = {n: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in {*IBAN_LENGTH.values()}}
 LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
+SECRET = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{SECRET_LENGTH},}}+={{0,2}}(?![A-Za-z0-9])")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -90,6 +97,14 @@ def mod_97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def random_like(value: str) -> bool:
+    """Letters and digits mixed with the entropy of a made-up key."""
+    if value.isalpha() or not any(map(str.isdigit, value)) or not any(map(str.isalpha, value)):
+        return False
+    counts = Counter(value).values()
+    return sum(n * math.log2(len(value) / n) for n in counts) >= SECRET_BITS * len(value)
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     done, at = 0, text.find("@")
     while at >= 0:
@@ -122,6 +137,9 @@ def propose(text: str) -> Iterator[tuple[str, int, int, bool]]:
                 yield "card", *m.span(), True
             elif len(digits) == 13 and luhn(digits):
                 yield "short_card", *m.span(), True
+    for m in SECRET.finditer(text):
+        if random_like(m[0]):
+            yield "secret", *m.span(), False
     if "+" in text:
         for m in PHONE.finditer(text):
             if 10 <= len(_digits(m[0])) <= 15:
@@ -136,7 +154,7 @@ def propose(text: str) -> Iterator[tuple[str, int, int, bool]]:
 
 def find(text: str | None) -> list[Span]:
     """All spans of a text by start, then kind as listed."""
-    out, covered = [], []
+    out, added, covered = [], [], []
     for kind, start, end, checked in propose(text) if text else ():
         near = text[max(0, start - WINDOW):start].lower()
         # one character more after the span: a word that reaches it is cut, and no word
@@ -144,11 +162,25 @@ def find(text: str | None) -> list[Span]:
         words = set(re.findall("[a-z]+", near)) | set(
             re.findall("[a-z]+" if len(after) <= WINDOW else r"[a-z]++(?!\Z)", after))
         score = PRIOR[kind] + CHECKSUM * checked + CONTEXT * any(w in words for w in CONTEXT_WORDS[kind])
+        span = Span(kind, start, end, min(1.0, score))
         if kind in BASE:
+            out.append(span)
             covered.append((start, end))
-        elif score < KEEP or kind != "iban" and any(a < end and start < b for a, b in covered):
-            continue
-        out.append(Span(kind, start, end, min(1.0, score)))
+        elif score >= KEEP:
+            added.append(span)
+    # what base spans cover, as disjoint intervals in order
+    starts, ends = [], []
+    for start, end in sorted(covered):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    for span in added:
+        # the last interval that begins before the span's end is the only one that can reach into it
+        at = bisect_left(starts, span.end) - 1
+        if span.kind == "iban" or at < 0 or ends[at] <= span.start:
+            out.append(span)
     return sorted(out, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 

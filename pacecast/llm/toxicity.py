@@ -4,13 +4,15 @@ Tokens are runs of letters, lower-cased; each is tagged 0 (clean) or 1 (toxic).
 The labels mark whole texts, so token labels come first: in a bounded sample of
 labelled texts, a word or word beginning (``PREFIXES`` characters) is an
 indicator if it occurs in toxic texts so often, and in clean ones so rarely,
-that chance can't explain it. Texts that share their smallest word hash count
+that chance can't explain it. Texts of the same set of words count
 as one there, so copies of a text prove nothing. Tokens with an indicator are
 labelled toxic.
 
-The field is trained on all tokens of the sample, cut into segments (hashed
+The field is trained on all tokens of the sample (hashed
 features of a token: word and beginnings; two by two transitions), by gradient
-steps on its exact log likelihood, whose gradients are summed in Spark tasks. To
+steps on its log likelihood, whose gradients are summed in Spark tasks. Long chains are
+cut into segments that look ``HALO`` tokens past either end: every token and transition counts once, and
+messages from farther away have faded by then. To
 score a text, forward-backward in log-odds form runs over all its tokens; the
 marginals give the offending offsets (marginal of at least 0.5) and, by their
 largest, the document's score through a logistic curve fitted on the largest of
@@ -30,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StructField,
@@ -40,8 +43,10 @@ from .common import beside, map_arrow, others, sampled_texts, slices, stored
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 DIMENSIONS = 1 << 18
-#: Most tokens of a training segment.
-SEGMENT = 40
+#: Tokens that a training segment counts, and those it sees besides on either side.
+SEGMENT, HALO = 60, 15
+#: Texts scored side by side hold at most this many cells, padding included; a longer text goes alone.
+CELLS = 1_000_000
 #: Most tasks of a training round: each returns one gradient to the driver.
 TASKS = 32
 #: Words whose weight a worker remembers; the memo starts anew when full.
@@ -79,13 +84,16 @@ def marginal_odds(odds: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]
     a = np.exp(moves)
     out: list = [None] * len(odds)
     order = sorted(range(len(odds)), key=lambda i: len(odds[i]))
-    for start in range(0, len(order), 256):
-        group = [i for i in order[start:start + 256] if len(odds[i])]
-        for i in order[start:start + 256]:
-            if not len(odds[i]):
-                out[i] = odds[i]
-        if not group:
-            continue
+    for i in order:
+        if not len(odds[i]):
+            out[i] = odds[i]
+    order = [i for i in order if len(odds[i])]
+    start = 0
+    while start < len(order):
+        stop = start + 1
+        while stop < len(order) and stop - start < 256 and (stop + 1 - start) * len(odds[order[stop]]) <= CELLS:
+            stop += 1
+        group, start = order[start:stop], stop
         lengths = np.array([len(odds[i]) for i in group])
         longest = int(lengths.max())
         # right-aligned for the forward pass is not needed: what follows a text's end is ignored there
@@ -126,12 +134,12 @@ def sample(labels: DataFrame, learn: Column, id_col: str, label_col: str, toxic_
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, label, group) of each text's distinct features; group: its smallest word hash."""
+    """(feature, label, group) of each text's distinct features; group: a hash of its set of words."""
     for batch, texts in slices(batches, 1):
         for label, text in zip(batch.column(0).to_pylist(), texts, strict=True):
             words = set(TOKEN.findall((text or "").lower()))
             if words:
-                group = min(zlib.crc32(w.encode()) for w in words)
+                group = xxhash.xxh3_64_intdigest("\n".join(sorted(words)).encode()) >> 1
                 features = sorted({f for w in words for f in word_features(w)})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(features), pa.array([label] * len(features), pa.int32()),
@@ -158,28 +166,34 @@ def indicators(texts: DataFrame, chance: float = 0.1) -> set[str]:
 
 
 def _segments(marks: set[str]):
-    """The texts of each slice as segments: distinct words' slots, tokens (places in the words), tags, lengths."""
+    """The texts of each slice as segments: distinct words' slots, the segments' tokens (places in the words), the
+    tags of all tokens, each once, lengths of the segments, and where their counted tokens begin and end."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, 1):
             places: dict[str, int] = {}
-            number, lengths, toxic = [], [], []
+            number, lengths, cores, tags, toxic = [], [], [], [], []
             for label, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 tokens = TOKEN.findall((text or "").lower())
-                number.append(np.fromiter((places.setdefault(w, len(places)) for w in tokens), np.int32, len(tokens)))
-                lengths += [min(SEGMENT, len(tokens) - i) for i in range(0, len(tokens), SEGMENT)]
-                toxic.append(np.full(len(tokens), label == 1))
+                own = np.fromiter((places.setdefault(w, len(places)) for w in tokens), np.int32, len(tokens))
+                for i in range(0, len(tokens), SEGMENT):
+                    a, b = max(0, i - HALO), min(len(own), i + SEGMENT + HALO)
+                    number.append(own[a:b])
+                    lengths.append(b - a)
+                    cores += [i - a, min(len(own), i + SEGMENT) - a]
+                tags.append(own)
+                toxic.append(np.full(len(own), label == 1))
             if lengths:
                 slots = [_slots(w) for w in places]
                 hits = np.array([not marks.isdisjoint(word_features(w)) for w in places])
-                number = np.concatenate(number)
-                parts = (np.concatenate(slots).astype(np.int32), np.array([len(x) for x in slots], np.int32), number,
-                         hits[number] & np.concatenate(toxic), np.array(lengths, np.int32))
+                parts = (np.concatenate(slots).astype(np.int32), np.array([len(x) for x in slots], np.int32),
+                         np.concatenate(number), hits[np.concatenate(tags)] & np.concatenate(toxic),
+                         np.array(lengths, np.int32), np.array(cores, np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts],
-                                                 names=["slots", "sizes", "number", "tags", "lengths"])
+                                                 names=["slots", "sizes", "number", "tags", "lengths", "cores"])
     return work
 
 
-SEGMENTED = "slots binary, sizes binary, number binary, tags binary, lengths binary"
+SEGMENTED = "slots binary, sizes binary, number binary, tags binary, lengths binary, cores binary"
 
 
 def _gradient(held):
@@ -189,18 +203,24 @@ def _gradient(held):
         total = np.zeros(DIMENSIONS + 5)
         for batch in batches:
             for row in range(batch.num_rows):
-                slot, sizes, number, truth, lengths = (
+                slot, sizes, number, truth, lengths, cores = (
                     np.frombuffer(c[row].as_py(), np.bool_ if name == "tags" else np.int32)
                     for name, c in zip(batch.schema.names, batch.columns, strict=True))
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 odds = np.bincount(owner, weights[slot], minlength=len(sizes)) + bias
                 starts = np.cumsum(lengths) - lengths
-                p, pairs = _expected(odds[number], starts, lengths, moves)
-                error = np.bincount(number, truth - p, minlength=len(sizes))
+                counted = np.zeros(len(number) + 1, np.int8)
+                np.add.at(counted, starts + cores[::2], 1)
+                np.add.at(counted, starts + cores[1::2], -1)
+                counted = np.cumsum(counted[:-1]).astype(bool)
+                p, pairs = _expected(odds[number], starts, lengths, moves, counted)
+                miss = truth - p[counted]
+                error = np.bincount(number[counted], miss, minlength=len(sizes))
                 total[:DIMENSIONS] += np.bincount(slot, error[owner], minlength=DIMENSIONS)
                 total[DIMENSIONS] += error.sum()
-                inner = np.ones(len(number), bool)
-                inner[starts] = False
+                own = cores[1::2] - cores[::2]
+                inner = np.ones(len(truth), bool)
+                inner[(np.cumsum(own) - own)[cores[::2] == 0]] = False  # no transition leads to a text's first token
                 here = np.flatnonzero(inner)
                 seen = np.bincount(truth[here - 1] * 2 + truth[here], minlength=4)
                 total[DIMENSIONS + 1:] += seen - pairs.ravel()
@@ -237,9 +257,12 @@ def fit(segments: DataFrame, rounds: int = 40, rate: float = 0.5) -> Model:
     return Model(weights, bias, moves, 1.0, 0.0)
 
 
-def _expected(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves: np.ndarray
-              ) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of tag 1 over all tokens in order, and expected transition counts [from][to]."""
+def _expected(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
+              counted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of tag 1 over all tokens in order, and expected transition counts [from][to].
+
+    Transitions into tokens that are not ``counted`` (default: all are) are left out.
+    """
     a = np.exp(moves)
     f, p, pairs = np.zeros(len(odds)), np.zeros(len(odds)), np.zeros((2, 2))
     f[starts] = odds[starts]
@@ -254,7 +277,8 @@ def _expected(odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray, moves:
         r = np.exp(np.clip(odds[at] + b[at], -40, 40))
         left = np.exp(np.clip(f[at - 1], -40, 40))
         joint = np.array([[a[0, 0] + 0 * r, a[0, 1] * r], [a[1, 0] * left, a[1, 1] * left * r]])
-        pairs += (joint / joint.sum(axis=(0, 1))).sum(axis=2)
+        shares = joint / joint.sum(axis=(0, 1))
+        pairs += (shares if counted is None else shares * counted[at]).sum(axis=2)
         b[at - 1] = np.log((a[1, 0] + a[1, 1] * r) / (a[0, 0] + a[0, 1] * r))
     p = _sigmoid(f + b)
     return p, pairs
