@@ -3,8 +3,10 @@
 Every stage takes (spark, docs, sf_dir), works on all documents it is given and
 returns documents again; the last one adds the token ids. What each stage does:
 
-1. language ID: learns from the documents' own languages and drops those it rejects:
-   without a text or a letter, or with no language at least as likely as not.
+1. language ID: learns from the documents' own languages and drops those it rejects: without a text or a
+   letter, or whose n-grams are, whatever the text's length, far less likely in the best
+   language than its training text's (another script, gibberish). Where no row names a language, nothing
+   can be learned, and all texts with a letter stay.
 2. near-dedup: of the documents whose 5-word shingle sets are linked by a similarity
    of 0.8 or more, the one with the smallest id stays (one without an id only if none has
    one). Rows are compared by a number of their own, so neither a repeated id links
@@ -26,15 +28,16 @@ from pyspark.sql import functions as F
 from pacecast.llm import bpe, langid, mixing, neardup, pii
 from pacecast.llm.common import columns, release, stored
 
+#: Standard deviations of an n-gram's log probability that a text's mean may lie below its language's.
+LEAST_FIT = -2.5
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; ``lang`` itself is not changed."""
     model = langid.train(docs)
-    found = langid.predict(docs, model, lang_to="__lang", score_to="__score")
-    kept = (F.col("__lang") != "und") & (F.col("__score") >= 0.5)
-    return found.where(kept).select(*columns(docs, docs.columns))
+    found = langid.predict(docs, model, lang_to="__lang", score_to="__score", fit_to="__fit")
+    return found.where(F.col("__fit") >= LEAST_FIT).select(*columns(docs, docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
