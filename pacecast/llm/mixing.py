@@ -190,7 +190,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # a size that a third of all documents share is dealt over SALTS tasks here, over its cells from then on
     salted = docs.withColumn("_salt", F.pmod(F.xxhash64("_text", "_id"), F.lit(SALTS)))
     cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    placed = salted.join(cells, ["source_key", "size", "_salt"]).drop("_salt").withColumn(
+    # a merge join: the cells grow with the sources and sizes, and are not for broadcasting
+    placed = salted.join(cells.hint("merge"), ["source_key", "size", "_salt"]).drop("_salt").withColumn(
         "_cell", F.pmod(F.xxhash64("_id", "_text"), F.col("_cells")))
     by_cell = placed.groupBy("source_key", "size", "_cell").agg(F.count("*").alias("n"))
     to_cell = (Window.partitionBy("source_key", "size").orderBy("_cell")
