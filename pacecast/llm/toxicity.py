@@ -44,9 +44,9 @@ TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 DIMENSIONS = 1 << 18
 #: Tokens that a training segment counts, and those it sees besides on either side.
-SEGMENT, HALO = 60, 15
+SEGMENT, HALO = 40, 10
 #: Texts scored side by side hold at most this many cells, padding included; a longer text goes alone.
-CELLS = 1_000_000
+CELLS = 4_000_000
 #: Most tasks of a training round: each returns one gradient to the driver.
 TASKS = 32
 #: Words whose weight a worker remembers; the memo starts anew when full.
