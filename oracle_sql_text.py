@@ -601,17 +601,28 @@ COLUMN_SETS = {
 }
 
 
+def _late_fees_sql(sql: str, late: str) -> str:
+    """A query over fees to which late orders are added."""
+    fees = "CAST(o_totalprice AS DECIMAL(20,2)) AS fee FROM orders"
+    assert fees in sql
+    return sql.replace(fees, f"CAST(o_totalprice AS DECIMAL(20,2)) AS fee FROM (SELECT * FROM orders UNION ALL {late})")
+
+
 def _late_rows_sql() -> str:
     """The mid-April run with the fees of 3 April twice and a second report row on 17 February."""
-    sql = run_sql(BASES["mid"])
-    fees = "CAST(o_totalprice AS DECIMAL(20,2)) AS fee FROM orders"
+    sql = _late_fees_sql(run_sql(BASES["mid"]), "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-04-03'")
     card = "AS offline_count\n  FROM li GROUP BY date)"
-    assert fees in sql and card in sql
-    sql = sql.replace(fees, "CAST(o_totalprice AS DECIMAL(20,2)) AS fee FROM (SELECT * FROM orders UNION ALL "
-                            "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-04-03')")
+    assert card in sql
     return sql.replace(card, card[:-1] + " UNION ALL SELECT DATE '1998-02-17', 100, NULL, 1, NULL)")
 
 
+def _late_end_sql() -> str:
+    """Errors of the March close with March's fees once more on its last day."""
+    return _late_fees_sql(run_sql(BASES["mar"], COLUMN_SETS["errors"]),
+                          "SELECT * REPLACE (CAST(DATE '1998-03-31' AS TIMESTAMP) AS o_orderdate) FROM orders "
+                          "WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'")
+
+
 def _series_sql(parts) -> str:
     return with_(series_ctes(None, parts), daily_series_select())
 
@@ -666,6 +677,11 @@ def registry() -> dict[str, str]:
         "committed_rewrite_twice": run_sql(BASES["mar"], self_history=False),
         "committed_two_months": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1), from_lo=True),
         "backfill_pieces_resumed": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1)),
+        # events lie in a later year: series that were not known when the rows were stored
+        "restated_month": ("SELECT * FROM ("
+                           f"{forecast_sql(dt.date(1998, 3, 1), dt.date(1998, 4, 15), parts=('card', 'coded', 'fee', 'cube'))}"
+                           ") WHERE date < DATE '1998-03-31' OR date = DATE '1998-04-14'"),
+        "restated_late_rows": f"SELECT * FROM ({_late_end_sql()}) WHERE date < DATE '1998-03-31'",
         "backfill_two_months": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1)),
         "backfill_all_days": backfill_all_days_sql(),
     }

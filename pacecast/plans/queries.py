@@ -29,6 +29,7 @@ from ..sources.commits import CommittedTable
 from ..sources.store import read_output, write_slice
 from ..sources.tables import TableSet
 from .pipeline import OUTPUT_COLUMNS, backfill, backfill_in_pieces, forecast_days, history_start, run_day
+from .restate import months_span, restate
 from .series_store import FactFolder, SeriesStore
 
 # Base days: closes of February, March and September 1998, and a mid-month day.
@@ -239,17 +240,25 @@ def _stored_facts(spark: SparkSession, sf_dir: str, base_day: str) -> FactFolder
     return FactFolder(spark, folder)
 
 
+def _append(facts: FactFolder, rows: DataFrame, name: str, day: dt.date) -> None:
+    writer = rows.write.mode("append")
+    if facts.by_day(name):
+        writer = rows.withColumn("date", F.lit(day)).write.mode("append").partitionBy("date")
+    writer.parquet(f"{facts.folder}/{name}")
+
+
+def add_late_fees(facts: FactFolder, first: dt.date, last: dt.date) -> None:
+    """Append the fees of the days ``first..last`` once more; those of several days are booked on the last."""
+    fees = facts.read("fee_rows", [(first, last + dt.timedelta(days=1))])
+    if first < last:
+        fees = fees.withColumn("created_at", F.lit(last).cast(fees.schema["created_at"].dataType))
+    _append(facts, materialize(fees, "late-fees"), "fee_rows", last)
+
+
 def add_late_rows(facts: FactFolder) -> None:
     """Append the late rows to the facts."""
-    def append(rows: DataFrame, name: str, day: dt.date) -> None:
-        writer = rows.write.mode("append")
-        if facts.by_day(name):
-            writer = rows.withColumn("date", F.lit(day)).write.mode("append").partitionBy("date")
-        writer.parquet(f"{facts.folder}/{name}")
-
-    fees = facts.read("fee_rows", [(LATE_FEES, LATE_FEES + dt.timedelta(days=1))])
-    append(materialize(fees, "late-fees"), "fee_rows", LATE_FEES)
-    append(facts.spark.range(1).select(
+    add_late_fees(facts, LATE_FEES, LATE_FEES)
+    _append(facts, facts.spark.range(1).select(
         F.lit(LATE_REPORT).alias("date"), F.lit(100).cast(MONEY).alias("online_volume"),
         F.lit(None).cast(MONEY).alias("offline_volume"), F.lit(1).cast(MONEY).alias("online_count"),
         F.lit(None).cast(MONEY).alias("offline_count")), "card_daily", LATE_REPORT)
@@ -300,6 +309,36 @@ def backfill_pieces_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill_in_pieces(spark, tables, BASES["feb"], BASES["mar"], target, run="q1")
 
 
+#: The month end of the restating queries.
+LATE_END = dt.date(1998, 3, 31)
+
+
+def restated_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """March stored while it was open, and an April day that looks back to it; once
+    both months have ended the rows are judged, not computed again. All rows of the table."""
+    target = CommittedTable(spark, scratch_path(spark, "forecast-commits"))
+    tables = _tables(spark, sf_dir)
+    backfill(spark, tables, "1998-03-02", "1998-03-31", target=target, as_of=LATE_END)
+    run_day(spark, tables, BASES["mid"], target=target, as_of=BASES["mid"])
+    restate(spark, tables, target, dt.date(1998, 3, 1), dt.date(1998, 5, 1))
+    return target.read().select(*OUTPUT_COLUMNS)
+
+
+def restated_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The March close from stored series, then March's fees once more on its last day;
+    errors of the days before it."""
+    facts = _stored_facts(spark, sf_dir, BASES["mar"])
+    store = SeriesStore(spark, scratch_path(spark, "series"))
+    store.sync(facts)
+    target = CommittedTable(spark, scratch_path(spark, "forecast-commits"))
+    run_day(spark, store, BASES["mar"], target=target)
+    add_late_fees(facts, dt.date(1998, 3, 1), LATE_END)
+    changed = store.sync(facts)
+    if changed:
+        restate(spark, store, target, *months_span(changed))
+    return target.read().where(F.col("date") < F.lit(LATE_END)).select(*COLUMN_SETS["errors"])
+
+
 def backfill_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 1998-03-01..1998-04-01 (February and March) in one job."""
     return backfill(spark, _tables(spark, sf_dir), BASES["feb"], BASES["mar"])
@@ -359,6 +398,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "committed_rewrite_twice": committed_rewrite_twice,
         "committed_two_months": committed_two_months,
         "backfill_pieces_resumed": backfill_pieces_resumed,
+        "restated_month": restated_month,
+        "restated_late_rows": restated_late_rows,
         "backfill_two_months": backfill_two_months,
         "backfill_all_days": backfill_all_days,
     }

@@ -33,6 +33,8 @@ from ..sources.standins import BILL, FACT_COLUMNS, FACT_TIMES, GAME, TRAVEL
 
 #: Totals of any fact: up to ten decimals are kept exactly.
 TOTAL = "decimal(38,10)"
+#: From so many day ranges on, a condition lists days instead of ranges.
+MANY_RANGES = 32
 HOURLY = {"bill_hourly": (BILL, "company_id"), "game_hourly": (GAME, "sub_type_id"),
           "travel_hourly": (TRAVEL, "company_id")}
 
@@ -49,10 +51,20 @@ def day_ranges(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
 
 
 def _within(col: str, kind: str, ranges: list[tuple[dt.date, dt.date]]) -> Column:
-    """Whether a date or timestamp lies in one of the day ranges; literal bounds reach the scan."""
+    """Whether a date or timestamp lies in one of the sorted day ranges; literal bounds reach the scan.
+
+    Many ranges (a sparse fact has gaps everywhere) are the bounds of all and one flat list of days, since a
+    condition per range would nest too deep.
+    """
+    def between(a: dt.date, b: dt.date) -> Column:
+        return (F.col(col) >= F.lit(a).cast(kind)) & (F.col(col) < F.lit(b).cast(kind))
+
+    if len(ranges) > MANY_RANGES:
+        days = [a + dt.timedelta(days=k) for a, b in ranges for k in range((b - a).days)]
+        return between(ranges[0][0], ranges[-1][1]) & F.col(col).cast("date").isin(days)
     found = F.lit(False)
     for a, b in ranges:
-        found = found | ((F.col(col) >= F.lit(a).cast(kind)) & (F.col(col) < F.lit(b).cast(kind)))
+        found = found | between(a, b)
     return found
 
 
