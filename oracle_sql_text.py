@@ -623,6 +623,24 @@ def _late_end_sql() -> str:
                           "WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'")
 
 
+def _quarantined_sql() -> str:
+    """The planted rows that break the contract, by fact, day and reason."""
+    since = py_add_months(py_month_start(run_window(dt.date.fromisoformat(BASES["mar"]))[0]), -4)
+    kinds = [("card_daily", "date", 7, "repeated row", 1),
+             ("card_daily", "NULL", 9, "no time", 1),
+             ("entry_type_daily", "date", 11, "no member: type_code", 1),
+             ("fee_rows", "NULL", 12, "no time", 1),
+             ("acceptor_cube", "date", 13, "negative: tx_daily", 1),
+             ("acceptor_cube", "date", 14, "above month to date: users_daily", 1),
+             ("entry_type_daily", "date", 15, "conflicting key", 2)]
+    parts = [f"SELECT '{fact}' AS fact, CAST({day} AS DATE) AS day, '{reason}' AS reason, "
+             f"CAST({n} * COUNT(*) AS BIGINT) AS n_rows, CAST({n} * COUNT(*) AS BIGINT) AS n_copies "
+             f"FROM {fact} WHERE day({'created_at' if fact == 'fee_rows' else 'date'}) = {on} "
+             f"GROUP BY ALL HAVING COUNT(*) > 0"
+             for fact, day, on, reason, n in kinds]
+    return with_(inputs_ctes(since, {"card", "coded", "fee", "cube"}), "\nUNION ALL ".join(parts))
+
+
 def _series_sql(parts) -> str:
     return with_(series_ctes(None, parts), daily_series_select())
 
@@ -677,6 +695,8 @@ def registry() -> dict[str, str]:
         "committed_rewrite_twice": run_sql(BASES["mar"], self_history=False),
         "committed_two_months": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1), from_lo=True),
         "backfill_pieces_resumed": forecast_sql(dt.date(1998, 2, 1), dt.date(1998, 4, 1)),
+        "close_month_checked": run_sql(BASES["mar"]),
+        "quarantined_rows": _quarantined_sql(),
         # events lie in a later year: series that were not known when the rows were stored
         "restated_month": ("SELECT * FROM ("
                            f"{forecast_sql(dt.date(1998, 3, 1), dt.date(1998, 4, 15), parts=('card', 'coded', 'fee', 'cube'))}"

@@ -26,6 +26,7 @@ from ..operators.series import (CARD_PAIRS, CODED_METRICS, CUBE_SLICES, FEE_METR
 from ..session import materialize, scratch_path
 from ..sources import standins
 from ..sources.commits import CommittedTable
+from ..sources.contract import check_facts
 from ..sources.store import read_output, write_slice
 from ..sources.tables import TableSet
 from .pipeline import OUTPUT_COLUMNS, backfill, backfill_in_pieces, forecast_days, history_start, run_day
@@ -339,6 +340,37 @@ def restated_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read().where(F.col("date") < F.lit(LATE_END)).select(*COLUMN_SETS["errors"])
 
 
+def _facts_with_bad_rows(spark: SparkSession, sf_dir: str) -> str:
+    """Stand-in facts beside rows that break the contract, one of each kind for the rows of a kind of day."""
+    facts = _stored_facts(spark, sf_dir, BASES["mar"])
+
+    def append(name: str, where: str, **changed: str) -> None:
+        rows = facts.read(name).where(where)
+        rows = rows.withColumns({c: F.expr(e).cast(rows.schema[c].dataType) for c, e in changed.items()})
+        materialize(rows, "bad-rows").write.mode("append").parquet(f"{facts.folder}/{name}")
+
+    append("card_daily", "day(date) = 7")
+    append("card_daily", "day(date) = 9", date="CAST(NULL AS DATE)")
+    append("entry_type_daily", "day(date) = 11 AND type_code > 0", type_code="CAST(NULL AS INT)")
+    append("fee_rows", "day(created_at) = 12", created_at="CAST(NULL AS TIMESTAMP_NTZ)")
+    append("acceptor_cube", "day(date) = 13", tx_daily="-tx_daily")
+    append("acceptor_cube", "day(date) = 14", acceptor_id="20000", users_daily="users_mtd + 1")
+    for value in ("volume + 1", "volume + 2"):
+        append("entry_type_daily", "day(date) = 15 AND type_code < 1000", type_code="type_code + 1000", volume=value)
+    return facts.folder
+
+
+def close_month_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The March close on the rows that keep the contract of the facts."""
+    return run_day(spark, check_facts(spark, _facts_with_bad_rows(spark, sf_dir)).inputs(), BASES["mar"])
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows set aside, counted by fact, day and reason."""
+    bad = check_facts(spark, _facts_with_bad_rows(spark, sf_dir)).bad
+    return bad.groupBy("fact", "day", "reason").agg(F.count("row").alias("n_rows"), F.sum("copies").alias("n_copies"))
+
+
 def backfill_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 1998-03-01..1998-04-01 (February and March) in one job."""
     return backfill(spark, _tables(spark, sf_dir), BASES["feb"], BASES["mar"])
@@ -400,6 +432,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfill_pieces_resumed": backfill_pieces_resumed,
         "restated_month": restated_month,
         "restated_late_rows": restated_late_rows,
+        "close_month_checked": close_month_checked,
+        "quarantined_rows": quarantined_rows,
         "backfill_two_months": backfill_two_months,
         "backfill_all_days": backfill_all_days,
     }
