@@ -23,7 +23,8 @@ from ..operators.forecast import dispersion_bands, linear_projection, pace_forec
 from ..operators.lookup import period_lookup
 from ..operators.series import KEYS, metric_series
 from ..sources.commits import CommittedTable
-from ..sources.standins import Inputs, standin_inputs
+from ..sources.shipping import one_pass_inputs
+from ..sources.standins import Inputs
 from ..sources.store import read_output, write_slice
 from ..session import materialize, remove_paths
 from ..sources.tables import TableSet
@@ -117,9 +118,10 @@ def forecast_days(spark: SparkSession, inputs: Inputs | SeriesStore, lo: dt.date
 Source = TableSet | Inputs | SeriesStore
 
 
-def _inputs(source: Source, since: dt.date, until: dt.date | None) -> Inputs | SeriesStore:
-    """The facts or series themselves, or stand-ins built from the test tables."""
-    return standin_inputs(source, since, until=until) if isinstance(source, TableSet) else source
+def _inputs(source: Source, since: dt.date, until: dt.date | None,
+            scratch: list[str] | None = None) -> Inputs | SeriesStore:
+    """The facts or series themselves, or stand-ins built from the test tables (lineitem read once)."""
+    return one_pass_inputs(source, since, until, scratch) if isinstance(source, TableSet) else source
 
 
 def run_day(spark: SparkSession, source: Source, base_day: str | dt.date,
@@ -137,10 +139,9 @@ def run_day(spark: SparkSession, source: Source, base_day: str | dt.date,
     if target is None:
         inputs = _inputs(source, history_start(py_add_months(lo, -1)), as_of)
         return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of)
-    inputs = _inputs(source, history_start(lo), as_of)
     stored = _history(spark, target, lo, hi)
     return _written(spark, target, lo, hi, lambda scratch: forecast_days(
-        spark, inputs, lo, hi, stored, own_month_shift, as_of, scratch))
+        spark, _inputs(source, history_start(lo), as_of, scratch), lo, hi, stored, own_month_shift, as_of, scratch))
 
 
 def _history(spark: SparkSession, target: str | CommittedTable, lo: dt.date, hi: dt.date) -> DataFrame | None:
@@ -185,9 +186,9 @@ def backfill(spark: SparkSession, source: Source, first_base: str | dt.date,
     lo, _ = run_window(first_base)
     _, hi = run_window(last_base)
     as_of = as_date(as_of) if as_of is not None else None
-    inputs = _inputs(source, history_start(py_add_months(lo, -1)), as_of)
 
     def rows(scratch: list[str] | None) -> DataFrame:
+        inputs = _inputs(source, history_start(py_add_months(lo, -1)), as_of, scratch)
         return forecast_days(spark, inputs, lo, hi, "self", own_month_shift, as_of, scratch)
 
     return rows(None) if target is None else _written(spark, target, lo, hi, rows)
@@ -222,8 +223,8 @@ def backfill_in_pieces(spark: SparkSession, source: Source, first_base: str | dt
         if name in finished:
             continue
         first = a == lo
-        inputs = _inputs(source, history_start(py_add_months(a, -1) if first else a), as_of)
+        since = history_start(py_add_months(a, -1) if first else a)
         history = "self" if first else _history(spark, target, a, b)
-        _written(spark, target, a, b, lambda scratch, a=a, b=b, i=inputs, h=history: forecast_days(
-            spark, i, a, b, h, own_month_shift, as_of, scratch), done=name)
+        _written(spark, target, a, b, lambda scratch, a=a, b=b, s=since, h=history: forecast_days(
+            spark, _inputs(source, s, as_of, scratch), a, b, h, own_month_shift, as_of, scratch), done=name)
     return target.read(lo, hi).select(*OUTPUT_COLUMNS)

@@ -27,6 +27,7 @@ from ..session import materialize, scratch_path
 from ..sources import standins
 from ..sources.commits import CommittedTable
 from ..sources.contract import check_facts
+from ..sources.shipping import one_pass_inputs
 from ..sources.store import read_output, write_slice
 from ..sources.tables import TableSet
 from .pipeline import OUTPUT_COLUMNS, backfill, backfill_in_pieces, forecast_days, history_start, run_day
@@ -156,7 +157,7 @@ def hourly_peaks(spark, sf_dir):
 
 
 def metric_series_all(spark, sf_dir):
-    return metric_series(spark, standins.standin_inputs(_tables(spark, sf_dir)))
+    return metric_series(spark, one_pass_inputs(_tables(spark, sf_dir)))
 
 
 # ------------------------------------------------------------- lookups -------
@@ -168,7 +169,7 @@ def _lookup(spark: SparkSession, sf_dir: str, base_day: str, only_hourly: bool =
     if only_hourly:
         series = hourly_peak_series(standins.hourly_cube(t.events, since, full=False), since)
     else:
-        series = metric_series(spark, standins.standin_inputs(t, since), since)
+        series = metric_series(spark, one_pass_inputs(t, since), since)
     # read twice below (role join and alive pairs): computed once
     series = materialize(series, "daily-series")
     spine = spine_for_anchors(
@@ -237,7 +238,7 @@ def _stored_facts(spark: SparkSession, sf_dir: str, base_day: str) -> FactFolder
     """Stand-in facts of a run's history, stored as tables."""
     folder = scratch_path(spark, "facts")
     since = history_start(py_add_months(run_window(base_day)[0], -1))
-    standins.write_facts(standins.standin_inputs(_tables(spark, sf_dir), since), folder)
+    standins.write_facts(one_pass_inputs(_tables(spark, sf_dir), since), folder)
     return FactFolder(spark, folder)
 
 
@@ -382,7 +383,7 @@ def backfill_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = t.lineitem.agg(F.min(F.to_date("l_shipdate")).alias("lo"),
                             F.max(F.to_date("l_shipdate")).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"] + dt.timedelta(days=1)
-    inputs = standins.standin_inputs(t, history_start(py_add_months(lo, -1)))
+    inputs = one_pass_inputs(t, history_start(py_add_months(lo, -1)))
     return forecast_days(spark, inputs, lo, hi, "self")
 
 

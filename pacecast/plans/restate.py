@@ -90,7 +90,7 @@ def restate(spark: SparkSession, source: Source, target: CommittedTable, lo: dt.
         if isinstance(source, SeriesStore):
             series = source.series(first, as_of)
         else:
-            inputs = _inputs(source, first, as_of)
+            inputs = _inputs(source, first, as_of, scratch)
             series = metric_series(spark, inputs, first, as_of)
         ends = materialize(month_ends(series), "month-ends", scratch)
         for _ in range(ATTEMPTS):

@@ -45,7 +45,7 @@ def _since_ts(since: dt.date | None) -> Column | None:
     return None if since is None else F.lit(since).cast("timestamp_ntz")
 
 
-def _filter_since(df: DataFrame, ts_col: str, since: dt.date | None,
+def filter_since(df: DataFrame, ts_col: str, since: dt.date | None,
                   until: dt.date | None = None) -> DataFrame:
     """Bounds on the raw timestamp column (``since`` inclusive, ``until``
     exclusive), so they reach the Parquet scan."""
@@ -75,7 +75,7 @@ def card_daily(lineitem: DataFrame, since: dt.date | None = None,
 
     A side absent on a day is NULL, as in a report table.
     """
-    li = _filter_since(lineitem, "l_shipdate", since, until).select(
+    li = filter_since(lineitem, "l_shipdate", since, until).select(
         F.to_date("l_shipdate").alias("date"),
         F.col("l_linestatus").alias("status"),
         money("l_extendedprice").alias("price"))
@@ -92,13 +92,20 @@ def card_daily(lineitem: DataFrame, since: dt.date | None = None,
 def entry_type_daily(lineitem: DataFrame, since: dt.date | None = None,
                      until: dt.date | None = None) -> DataFrame:
     """Daily volume and fee per entry-type code, with month-to-date columns."""
-    code = F.element_at(F.array(*[F.lit(c) for c in ENTRY_TYPE_CODES]),
-                        (F.col("l_suppkey") % 10 + 1).cast("int"))
-    daily = (_filter_since(lineitem, "l_shipdate", since, until)
-             .select(F.to_date("l_shipdate").alias("date"), code.alias("type_code"),
+    daily = (filter_since(lineitem, "l_shipdate", since, until)
+             .select(F.to_date("l_shipdate").alias("date"), entry_type_code().alias("type_code"),
                      money("l_extendedprice").alias("price"), money("l_quantity").alias("qty"))
              .groupBy("date", "type_code")
              .agg(F.sum("price").alias("volume"), F.sum("qty").alias("fee")))
+    return entry_types_to_date(daily)
+
+
+def entry_type_code() -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in ENTRY_TYPE_CODES]), (F.col("l_suppkey") % 10 + 1).cast("int"))
+
+
+def entry_types_to_date(daily: DataFrame) -> DataFrame:
+    """Volume and fee per (date, type_code) with their month-to-date columns."""
     mtd = (Window.partitionBy("type_code", _month("date")).orderBy("date")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return daily.select(
@@ -113,7 +120,7 @@ def entry_type_daily(lineitem: DataFrame, since: dt.date | None = None,
 def fee_rows(orders: DataFrame, since: dt.date | None = None,
              until: dt.date | None = None) -> DataFrame:
     """Row-grain fee report; many rows share a timestamp (peers in a window)."""
-    return _filter_since(orders, "o_orderdate", since, until).select(
+    return filter_since(orders, "o_orderdate", since, until).select(
         F.col("o_orderdate").alias("created_at"), money("o_totalprice").alias("fee"))
 
 
@@ -175,7 +182,7 @@ def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
                                            name.replace("_daily", "_mtd")))])
 
 
-def _day_bit(date_col: str = "date") -> Column:
+def day_bit(date_col: str = "date") -> Column:
     """A user's activity on a day of the month as one bit; days are united by ``bit_or``."""
     return F.expr(f"shiftleft(1, dayofmonth({date_col}) - 1)")
 
@@ -208,7 +215,7 @@ def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_co
                                               *[F.sum(c).alias(f"_s_{c}") for c in inputs])
     figures = (rolled(cells, ["date"], ["_tx", *[f"_s_{c}" for c in inputs]]).groupBy("date", *dims)
                .agg(F.sum("_tx").alias("tx_daily"), *[F.sum(f"_s_{c}").alias(n) for n, c in sums.items()]))
-    masks = detail.groupBy("_month", *dims, user_col).agg(F.bit_or(_day_bit()).alias("_mask"))
+    masks = detail.groupBy("_month", *dims, user_col).agg(F.bit_or(day_bit()).alias("_mask"))
     masks = (rolled(masks, ["_month", user_col], ["_mask"]).groupBy("_month", *dims, user_col)
              .agg(F.bit_or("_mask").alias("_mask")))
     seen = masks.select("_month", *dims, "_mask", _active_days("_mask"))
@@ -231,41 +238,38 @@ def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_co
                                            name.replace("_daily", "_mtd")))])
 
 
-def _flag_cube(detail: DataFrame) -> DataFrame:
-    """The slices with acceptor and category rolled up, without a row per slice.
+# The (abroad, offline) cells of a day, and the slices that are unions of them.
+CELLS = [(a, o) for a in (0, 1) for o in (0, 1)]
+SLICES = [(a, o) for a in (0, 1, ALL) for o in (0, 1, ALL)]
 
-    Rows and net are columns for the four (abroad, offline) cells of a day; users have
-    one 31-bit mask of active days per (month, user) and cell. A slice is a sum of cells and a
-    union of masks, and a user is new to it on the first day of its mask. Both aggregations
-    shrink their rows before they are shuffled.
-    """
-    cells = [(a, o) for a in (0, 1) for o in (0, 1)]
-    hit = {c: (F.col("is_abroad") == c[0]) & (F.col("is_offline") == c[1]) for c in cells}
-    slices = [(a, o) for a in (0, 1, ALL) for o in (0, 1, ALL)]
 
-    def within(s: tuple[int, int]) -> list[str]:
-        return [f"{a}{o}" for a, o in cells if s[0] in (a, ALL) and s[1] in (o, ALL)]
+def cells_within(s: tuple[int, int]) -> list[str]:
+    return [f"{a}{o}" for a, o in CELLS if s[0] in (a, ALL) and s[1] in (o, ALL)]
 
-    figures = detail.groupBy("date").agg(
-        *[F.count(F.when(hit[a, o], 1)).alias(f"_tx{a}{o}") for a, o in cells],
-        *[F.sum(F.when(hit[a, o], F.col("net"))).alias(f"_net{a}{o}") for a, o in cells])
-    masks = detail.groupBy("_month", "o_custkey").agg(
-        *[F.coalesce(F.bit_or(F.when(hit[a, o], _day_bit())), F.lit(0)).alias(f"_m{a}{o}") for a, o in cells])
-    masks = masks.select("_month", *[F.expr(" | ".join(f"_m{c}" for c in within(s))).alias(f"_s{k}")
-                                     for k, s in enumerate(slices)])
-    everything = slices.index((ALL, ALL))
-    seen = masks.select("*", _active_days(f"_s{everything}"))
-    aggs = []
-    for k in range(len(slices)):
-        aggs += [F.count(F.expr(f"CASE WHEN shiftright(_s{k}, _day) & 1 = 1 THEN 1 END")).alias(f"u{k}"),
-                 F.count(F.expr(f"CASE WHEN _s{k} & (shiftleft(2L, _day) - 1) = shiftleft(1, _day) THEN 1 END"))
-                 .alias(f"n{k}")]
-    users = seen.groupBy("_month", "_day").agg(*aggs).withColumn("date", F.date_add("_month", F.col("_day")))
+
+def slice_masks() -> list[Column]:
+    """A user's mask ``_s<k>`` of each slice, from the masks ``_m<cell>`` of the cells."""
+    return [F.expr(" | ".join(f"_m{c}" for c in cells_within(s))).alias(f"_s{k}") for k, s in enumerate(SLICES)]
+
+
+def slice_users() -> list[Column]:
+    """Aggregates over (user, active ``_day``): users ``u<k>`` of each slice, and those new in the month, ``n<k>``."""
+    out = []
+    for k in range(len(SLICES)):
+        out += [F.count(F.expr(f"CASE WHEN shiftright(_s{k}, _day) & 1 = 1 THEN 1 END")).alias(f"u{k}"),
+                F.count(F.expr(f"CASE WHEN _s{k} & (shiftleft(2L, _day) - 1) = shiftleft(1, _day) THEN 1 END"))
+                .alias(f"n{k}")]
+    return out
+
+
+def flag_slices(daily: DataFrame) -> DataFrame:
+    """Cube rows of the slices, from one row a day: ``_tx<cell>`` and ``_net<cell>``, ``u<k>`` and ``n<k>``."""
     rows = ", ".join(
-        f"{s[0]}, {s[1]}, u{k}, n{k}, {' + '.join(f'_tx{c}' for c in within(s))}, CAST("
-        f"{' + '.join(f'COALESCE(_net{c}, 0)' for c in within(s))} AS DECIMAL(32,2))" for k, s in enumerate(slices))
-    daily = figures.join(users, "date").selectExpr(
-        "date", "_month", f"stack({len(slices)}, {rows}) AS (is_abroad, is_offline, users, new, tx, net)"
+        f"{s[0]}, {s[1]}, u{k}, n{k}, {' + '.join(f'_tx{c}' for c in cells_within(s))}, CAST("
+        f"{' + '.join(f'COALESCE(_net{c}, 0)' for c in cells_within(s))} AS DECIMAL(32,2))"
+        for k, s in enumerate(SLICES))
+    daily = daily.selectExpr(
+        "date", "_month", f"stack({len(SLICES)}, {rows}) AS (is_abroad, is_offline, users, new, tx, net)"
     ).where("tx > 0")
     mtd = (Window.partitionBy("is_abroad", "is_offline", "_month").orderBy("date")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -277,6 +281,28 @@ def _flag_cube(detail: DataFrame) -> DataFrame:
         F.sum("net").over(mtd).cast(MONEY).alias("net_volume_mtd"))
 
 
+def _flag_cube(detail: DataFrame) -> DataFrame:
+    """The slices with acceptor and category rolled up, without a row per slice.
+
+    Rows and net are columns for the four (abroad, offline) cells of a day; users have
+    one 31-bit mask of active days per (month, user) and cell. A slice is a sum of cells and a
+    union of masks, and a user is new to it on the first day of its mask. Both aggregations
+    shrink their rows before they are shuffled.
+    """
+    hit = {c: (F.col("is_abroad") == c[0]) & (F.col("is_offline") == c[1]) for c in CELLS}
+    figures = detail.groupBy("date").agg(
+        *[F.count(F.when(hit[a, o], 1)).alias(f"_tx{a}{o}") for a, o in CELLS],
+        *[F.sum(F.when(hit[a, o], F.col("net"))).alias(f"_net{a}{o}") for a, o in CELLS])
+    masks = detail.groupBy("_month", "o_custkey").agg(
+        *[F.coalesce(F.bit_or(F.when(hit[a, o], day_bit())), F.lit(0)).alias(f"_m{a}{o}") for a, o in CELLS])
+    masks = masks.select("_month", *slice_masks())
+    everything = SLICES.index((ALL, ALL))
+    seen = masks.select("*", _active_days(f"_s{everything}"))
+    users = (seen.groupBy("_month", "_day").agg(*slice_users())
+             .withColumn("date", F.date_add("_month", F.col("_day"))))
+    return flag_slices(figures.join(users, "date"))
+
+
 def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                   supplier: DataFrame, since: dt.date | None = None,
                   full: bool = True, until: dt.date | None = None) -> DataFrame:
@@ -286,7 +312,7 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     ``full=False`` builds only the grouping sets the forecast reads
     (acceptor and category rolled up), which is all the branch filters see.
     """
-    li = _filter_since(lineitem, "l_shipdate", since, until).select(
+    li = filter_since(lineitem, "l_shipdate", since, until).select(
         "l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("date"),
         "l_linestatus", "l_returnflag", money("l_extendedprice").alias("price"))
     detail = (li.join(orders.select("o_orderkey", "o_custkey"),
@@ -322,7 +348,7 @@ def hourly_cube(events: DataFrame, since: dt.date | None = None, full: bool = Tr
     ts = F.col("ts")
     hour = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
                                 F.lit(0), F.lit(0))
-    detail = _filter_since(events, "ts", since, until).select(
+    detail = filter_since(events, "ts", since, until).select(
         _lookup(EVENT_FEATURE, "event_type").cast("int").alias("feature"),
         hour.alias("hour"),
         F.trunc(ts.cast("date"), "MM").alias("_month"),
