@@ -90,13 +90,11 @@ def entry_types(shipped: DataFrame) -> DataFrame:
 
 def cube_slices(shipped: DataFrame) -> DataFrame:
     """``standins.acceptor_cube`` with acceptor and category rolled up, of figures and user counts."""
-    figures = [F.coalesce(F.sum(F.when(_in_cell(a, o), F.col("n_rows"))), F.lit(0)).alias(f"_tx{a}{o}")
-               for a, o in CELLS]
-    figures += [F.sum(F.when(_in_cell(a, o), F.col("net"))).alias(f"_net{a}{o}") for a, o in CELLS]
-    counts = [F.sum(F.when(~F.col("is_figures"), F.col(f"{kind}{k}"))).alias(f"{kind}{k}")
-              for k in range(len(SLICES)) for kind in "un"]
-    daily = shipped.where(F.col("date").isNotNull()).groupBy("date").agg(*figures, *counts)
-    return flag_slices(daily.withColumn("_month", F.trunc("date", "MM")))
+    figures = shipped.where("is_figures").groupBy("date").agg(
+        *[F.coalesce(F.sum(F.when(_in_cell(a, o), F.col("n_rows"))), F.lit(0)).alias(f"_tx{a}{o}") for a, o in CELLS],
+        *[F.sum(F.when(_in_cell(a, o), F.col("net"))).alias(f"_net{a}{o}") for a, o in CELLS])
+    users = shipped.where("NOT is_figures").select("date", *[f"{c}{k}" for k in range(len(SLICES)) for c in "un"])
+    return flag_slices(figures.join(users, "date").withColumn("_month", F.trunc("date", "MM")))
 
 
 def one_pass_inputs(tables: TableSet, since: dt.date | None = None, until: dt.date | None = None,
