@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.decimals import MONEY, money
+from ..session import materialize
 from .tables import TableSet
 
 # ----------------------------------------------------------------------------
@@ -135,31 +136,41 @@ def acceptor_grouping_sets(full: bool) -> list[list[str]]:
     return sets
 
 
+def _spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Rows of a key in one partition. ``tasks`` is given where each row is then copied in place: by
+    the shuffled bytes alone, partitions would be joined that are small before the copies are made."""
+    return df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+
+
 def _cube_with_month_to_date(detail: DataFrame, time_col: str, dims: list[str],
                              sets: list[list[str]], user_col: str,
-                             sums: dict[str, str], prefix: list[str]) -> DataFrame:
-    """Grouping-set cube by ``time_col`` with distinct users, rows and sums
-    (outputs decimal(20,2)), each also month-to-date.
-
-    One pass: every detail row is exploded into the slices it belongs to
-    (rolled-up members = ALL), aggregated once per (time, slice, user); a
+                             sums: dict[str, str], prefix: list[str], within: list[str],
+                             tasks: int | None = None) -> DataFrame:
+    """Grouping-set cube by ``time_col`` with distinct users, rows (sums of
+    ``_tx``) and sums (outputs decimal(20,2)), each also month-to-date.
+
+    The detail rows are shuffled once, by ``within``; each is then exploded in
+    place into the slices it belongs to (rolled-up members = ALL), so that no copy
+    is shuffled, and aggregated once per (time, slice, user); a
     user counts as new on its first time of the month (a window over the
-    (month, slice, user) key, at most one month of rows each, so neither a
-    hot slice nor a hot user lands in one task); then per (time, slice) the
+    (month, slice, user) key); then per (time, slice) the
     distinct users are the row count, and the month-to-date figures are
     running sums over a (slice, month) window of at most one month of rows.
     Unique users month-to-date cannot be summed from daily figures; this
-    counts each user exactly once per month and slice.
+    counts each user exactly once per month and slice. ``within`` is the month and either
+    the user, and the counts are aggregated before they are shuffled, or the
+    prefix, and nothing else is shuffled; its keys must hold no more rows than suit one task.
     """
     structs = ", ".join(
         "named_struct(" + ", ".join(f"'{d}', CAST({d if d in s else ALL} AS INT)" for d in dims) + ")"
         for s in sets)
     members = F.expr(f"explode(array({structs}))").alias("_slice")
     inputs = list(dict.fromkeys(sums.values()))
-    sliced = (detail.select(*prefix, time_col, "_month", user_col, *inputs, members)
-              .select(*prefix, time_col, "_month", user_col, *inputs, "_slice.*"))
+    sliced = (_spread(detail, tasks, *within)
+              .select(*prefix, time_col, "_month", user_col, "_tx", *inputs, members)
+              .select(*prefix, time_col, "_month", user_col, "_tx", *inputs, "_slice.*"))
     per_user = (sliced.groupBy(*prefix, time_col, "_month", *dims, user_col)
-                .agg(F.count(F.lit(1)).alias("_tx"),
+                .agg(F.sum("_tx").alias("_tx"),
                      *[F.sum(c).alias(f"_s_{c}") for c in inputs]))
     first_seen = Window.partitionBy(*prefix, "_month", *dims, user_col)
     per_user = per_user.withColumn(
@@ -193,14 +204,15 @@ def _active_days(masks: str) -> Column:
 
 
 def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_col: str,
-              sums: dict[str, str]) -> DataFrame:
+              sums: dict[str, str], tasks: int | None = None) -> DataFrame:
     """The grouping-set cube of :func:`_cube_with_month_to_date` at the grain of days.
 
     Additive figures and users are rolled up apart, both from aggregates instead of raw rows:
     the figures from one row per (day, members), the users from one 31-bit mask of active days per
     (month, members, user). A coarser slice's mask is the union of the finer ones, so a
     user is counted once per day and, on the mask's first day, once per month. Every step is
-    aggregated before its shuffle, so neither a hot slice nor a hot user is one task's raw rows.
+    aggregated before its shuffle, so neither a hot slice nor a hot user is one task's raw rows;
+    the masks of a (month, user) are rolled up in one partition, so their copies aren't shuffled.
     """
     structs = ", ".join(
         "named_struct(" + ", ".join(f"'{d}', CAST({d if d in s else ALL} AS INT)" for d in dims) + ")"
@@ -216,7 +228,8 @@ def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_co
     figures = (rolled(cells, ["date"], ["_tx", *[f"_s_{c}" for c in inputs]]).groupBy("date", *dims)
                .agg(F.sum("_tx").alias("tx_daily"), *[F.sum(f"_s_{c}").alias(n) for n, c in sums.items()]))
     masks = detail.groupBy("_month", *dims, user_col).agg(F.bit_or(day_bit()).alias("_mask"))
-    masks = (rolled(masks, ["_month", user_col], ["_mask"]).groupBy("_month", *dims, user_col)
+    masks = (rolled(_spread(masks, tasks, "_month", user_col), ["_month", user_col], ["_mask"])
+             .groupBy("_month", *dims, user_col)
              .agg(F.bit_or("_mask").alias("_mask")))
     seen = masks.select("_month", *dims, "_mask", _active_days("_mask"))
     users = (seen.groupBy("_month", "_day", *dims)
@@ -303,26 +316,66 @@ def _flag_cube(detail: DataFrame) -> DataFrame:
     return flag_slices(figures.join(users, "date"))
 
 
+#: Rows of an acceptor and month from which they are dealt by users instead.
+HOT_ROWS = 1_000_000
+#: Detail rows of a task that makes eight copies of each.
+TASK_ROWS = 50_000
+
+
+def _acceptor_day_cube(detail: DataFrame, scratch: list[str] | None = None) -> DataFrame:
+    """All 16 grouping sets of the acceptor cube, by day.
+
+    The eight with the acceptor have about a row per detail row each. They are made where the rows of
+    an acceptor and month lie, after one shuffle of the detail. The rows of acceptors with more than
+    ``HOT_ROWS`` of them in a month, and the sets with all acceptors, have few slices a day for their
+    rows: they are rolled up by users. ``detail`` is read several times and hence stored first.
+    """
+    detail = materialize(detail, "acceptor-detail", scratch).withColumn("_month", F.trunc("date", "MM"))
+    acceptor, dims = ACCEPTOR_DIMS[0], ACCEPTOR_DIMS[1:]
+    sets = acceptor_grouping_sets(True)
+    user, sums = "o_custkey", {"net_volume_daily": "net"}
+    by_month = ["_month", acceptor]
+    tasks = -(-detail.count() // TASK_ROWS) or 1
+    hot = materialize(detail.groupBy(*by_month).count().where(F.col("count") > HOT_ROWS).select(*by_month),
+                      "hot-acceptors", scratch)
+    parts = [_day_cube(detail.withColumn(acceptor, F.lit(ALL)), ACCEPTOR_DIMS,
+                       [s for s in sets if acceptor not in s], user, sums, tasks)]
+    rest = detail
+    if not hot.isEmpty():
+        rest = detail.join(F.broadcast(hot), by_month, "left_anti")
+        parts.append(_day_cube(detail.join(F.broadcast(hot), by_month, "left_semi"), ACCEPTOR_DIMS,
+                               [s for s in sets if acceptor in s], user, sums, tasks))
+    own = _cube_with_month_to_date(rest.withColumn("_tx", F.lit(1)), "date", dims,
+                                   [s[1:] for s in sets if acceptor in s], user, sums, [acceptor], by_month, tasks)
+    # users of rows without a day aren't counted, here as in _day_cube
+    out = own.withColumn("users_daily", F.when(F.col("date").isNotNull(), F.col("users_daily")))
+    out = out.select(*parts[0].columns)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
 def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                   supplier: DataFrame, since: dt.date | None = None,
-                  full: bool = True, until: dt.date | None = None) -> DataFrame:
+                  full: bool = True, until: dt.date | None = None,
+                  scratch: list[str] | None = None) -> DataFrame:
     """Card-acceptor cube: members acceptor (supplier), category (customer
     segment), abroad (nations differ), offline (status 'F'); 10000 = all.
 
     ``full=False`` builds only the grouping sets the forecast reads
-    (acceptor and category rolled up), which is all the branch filters see.
+    (acceptor and category rolled up), which is all the branch filters see. Paths of
+    what ``full=True`` stores in the shared folder are appended to ``scratch``.
     """
     li = filter_since(lineitem, "l_shipdate", since, until).select(
         "l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("date"),
         "l_linestatus", "l_returnflag", money("l_extendedprice").alias("price"))
-    detail = (li.join(orders.select("o_orderkey", "o_custkey"),
-                      li.l_orderkey == F.col("o_orderkey"))
-              .join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"),
-                    F.col("o_custkey") == F.col("c_custkey"))
+    # customers meet the orders, of which there are fewer than line items
+    bought = orders.select("o_orderkey", "o_custkey").join(
+        customer.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    detail = (li.join(bought, li.l_orderkey == F.col("o_orderkey"))
               .join(supplier.select("s_suppkey", "s_nationkey"),
                     F.col("l_suppkey") == F.col("s_suppkey"))
               .select("date",
-                      F.trunc("date", "MM").alias("_month"),
                       F.col("s_suppkey").cast("int").alias("acceptor_id"),
                       _lookup(SEGMENT_CODES, "c_mktsegment").cast("int").alias("category_id"),
                       (F.col("c_nationkey") != F.col("s_nationkey")).cast("int").alias("is_abroad"),
@@ -331,9 +384,8 @@ def acceptor_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                       F.when(F.col("l_returnflag") == "R", -F.col("price"))
                       .otherwise(F.col("price")).alias("net")))
     if not full:
-        return _flag_cube(detail)
-    return _day_cube(detail, ACCEPTOR_DIMS, acceptor_grouping_sets(full), "o_custkey",
-                     {"net_volume_daily": "net"})
+        return _flag_cube(detail.withColumn("_month", F.trunc("date", "MM")))
+    return _acceptor_day_cube(detail, scratch)
 
 
 # ------------------------------------------------------------ hourly_cube ----
@@ -356,8 +408,12 @@ def hourly_cube(events: DataFrame, since: dt.date | None = None, full: bool = Tr
         (F.col("user_id") % 10 + 1).cast("int").alias("company_id"),
         "user_id")
     sets = [HOURLY_DIMS, ["group_id"], ["company_id"], []] if full else [[]]
+    # one row per hour, members read and user: what a hot user is shuffled with
+    read = [d for d in HOURLY_DIMS if any(d in s for s in sets)]
+    detail = detail.groupBy("feature", "hour", "_month", *read, "user_id").agg(F.count(F.lit(1)).alias("_tx"))
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")) if full else None
     cube = _cube_with_month_to_date(detail, "hour", HOURLY_DIMS, sets, "user_id", {},
-                                    prefix=["feature"])
+                                    prefix=["feature"], within=["_month", "user_id"], tasks=tasks)
     return cube.withColumnsRenamed({"users_daily": "users_hourly", "tx_daily": "tx_hourly"})
 
 
@@ -446,16 +502,18 @@ def write_facts(inputs: Inputs, folder: str, by_day: bool = False) -> None:
 
 
 def standin_inputs(tables: TableSet, since: dt.date | None = None,
-                   full_cubes: bool = False, until: dt.date | None = None) -> Inputs:
+                   full_cubes: bool = False, until: dt.date | None = None,
+                   scratch: list[str] | None = None) -> Inputs:
     """All stand-in inputs; cubes hold only the read slices unless ``full_cubes``.
 
     ``until`` (exclusive) drops later rows at the scan; figures of earlier
-    days do not change (month-to-date sums only look back).
+    days do not change (month-to-date sums only look back). Paths of what full cubes
+    store in the shared folder are appended to ``scratch``.
     """
     return Inputs(
         card_daily=card_daily(tables.lineitem, since, until),
         entry_type_daily=entry_type_daily(tables.lineitem, since, until),
         fee_rows=fee_rows(tables.orders, since, until),
         acceptor_cube=acceptor_cube(tables.lineitem, tables.orders, tables.customer,
-                                    tables.supplier, since, full=full_cubes, until=until),
+                                    tables.supplier, since, full=full_cubes, until=until, scratch=scratch),
         hourly_cube=hourly_cube(tables.events, since, full=full_cubes, until=until))

@@ -205,3 +205,53 @@ def test_forecast_cube_is_the_full_cube_rolled_up(spark):
     cube = acceptor_cube(*tables, full=False)
     assert [f.dataType for f in cube.schema] == [f.dataType for f in full.schema]
     assert cube.exceptAll(full).isEmpty() and full.exceptAll(cube).isEmpty()
+
+
+def _cube_tables(spark, rows):
+    """Tables of line items (day, supplier, customer, line status, return flag, price), an order each."""
+    lines = [(k, s, float(p), status, flag, dt.datetime.fromisoformat(d) if d else None)
+             for k, (d, s, _, status, flag, p) in enumerate(rows)]
+    return (spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_extendedprice double, l_linestatus string, "
+                                         "l_returnflag string, l_shipdate timestamp_ntz"),
+            spark.createDataFrame([(k, r[2]) for k, r in enumerate(rows)], "o_orderkey long, o_custkey long"),
+            spark.createDataFrame([(c, c % 2, ("BUILDING", "MACHINERY", None)[c % 3]) for c in {r[2] for r in rows}],
+                                  "c_custkey long, c_nationkey int, c_mktsegment string"),
+            spark.createDataFrame([(s, 0) for s in {r[1] for r in rows}], "s_suppkey long, s_nationkey int"))
+
+
+def test_acceptor_cube_matches_model(spark, monkeypatch):
+    """All 16 sets against sets of users in Python, with acceptors dealt by month and by users."""
+    from pacecast.sources import standins
+
+    chance = random.Random(5)
+    rows = [(chance.choice(["2024-01-30", "2024-01-31", "2024-02-01", "2024-02-02"]), chance.choice([1, 1, 1, 2, 3]),
+             chance.randrange(6), chance.choice("FO"), chance.choice("RN"), chance.randrange(1, 9)) for _ in range(120)]
+    want = {}
+    for sets in standins.acceptor_grouping_sets(True):
+        daily = {}
+        for d, s, c, status, flag, p in rows:
+            member = {"acceptor_id": s, "category_id": (2, 5, None)[c % 3], "is_abroad": c % 2,
+                      "is_offline": int(status == "F")}
+            key = tuple(member[m] if m in sets else standins.ALL for m in standins.ACCEPTOR_DIMS)
+            users, net = daily.setdefault((key, d), (set(), []))
+            users.add(c)
+            net.append(-p if flag == "R" else p)
+        for (key, d), (users, net) in daily.items():
+            month = [v for (k, e), v in daily.items() if k == key and e[:7] == d[:7] and e <= d]
+            want[(dt.date.fromisoformat(d), *key)] = (
+                len(users), len(set().union(*(u for u, _ in month))), len(net), sum(len(n) for _, n in month),
+                sum(net), sum(sum(n) for _, n in month))
+    tables = _cube_tables(spark, rows)
+    for hot_rows in (standins.HOT_ROWS, 20):
+        monkeypatch.setattr(standins, "HOT_ROWS", hot_rows)
+        got = standins.acceptor_cube(*tables, full=True).collect()
+        assert len(got) == len(want) and {tuple(r)[:5]: tuple(r)[5:] for r in got} == want
+
+
+def test_acceptor_cube_copies_are_not_shuffled(spark):
+    """Eight of the 16 copies of a row, those with its acceptor, are aggregated where they are made."""
+    from pacecast.sources.standins import acceptor_cube
+
+    cube = acceptor_cube(*_cube_tables(spark, [("2024-01-30", 1, 1, "F", "N", 1), ("2024-01-31", 2, 2, "O", "R", 2)]))
+    own = cube._jdf.queryExecution().executedPlan().toString().split("Union")[1]
+    assert "Exchange" not in own[:own.index("Generate")]
