@@ -23,7 +23,7 @@ from ..operators.series import (CARD_PAIRS, CODED_METRICS, CUBE_SLICES, FEE_METR
                                 coded_series, cube_slice_series, hourly_peak_series,
                                 metric_series, month_to_date, pair_total_series,
                                 row_fee_series)
-from ..session import materialize, scratch_path
+from ..session import materialize, remove_paths, scratch_path
 from ..sources import standins
 from ..sources.commits import CommittedTable
 from ..sources.contract import check_facts
@@ -226,7 +226,9 @@ def close_month_from_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "facts")
     lo, _ = run_window(BASES["mar"])
     since = history_start(py_add_months(lo, -1))
-    standins.write_facts(standins.standin_inputs(_tables(spark, sf_dir), since, full_cubes=True), folder)
+    scratch: list[str] = []
+    standins.write_facts(standins.standin_inputs(_tables(spark, sf_dir), since, full_cubes=True, scratch=scratch), folder)
+    remove_paths(spark, scratch)
     return run_day(spark, standins.read_facts(spark, folder), BASES["mar"]).select(*OUTPUT_COLUMNS)
 
 
