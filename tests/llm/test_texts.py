@@ -172,6 +172,29 @@ def test_quality_sample_is_bounded(spark, folder):
     assert quality.sample(docs, labels, F.lit(True), sample_rows=10).count() == 10
 
 
+def test_quality_learns_from_all_labelled_rows(spark):
+    """Mean, spread and threshold are those of all 20,600 rows, though bad ones are few."""
+    docs = spark.range(20_600).selectExpr("id AS doc_id", "concat(repeat('word ', int(id % 13)), id * 7919 % 10007, "
+                                          "IF(id % 50 = 0, '!!! A|B', ' then.')) AS text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 50 != 0 AND doc_id % 1001 != 0) AS quality")
+    model = quality.train(docs, labels, F.lit(True))
+    x = np.array([quality.features(r.text) for r in docs.select("text").collect()])
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.spread, x.std(axis=0), atol=1e-7)
+    bad = labels.where("quality = 0").count()
+    assert (model.scores(x) < 0.5).sum() == bad or (np.clip((x - model.mean) / model.spread, -8, 8) @ model.weights
+                                                    == model.threshold).any()
+
+
+def test_quality_meets_all_pairs_of_few_rows(spark):
+    """A single bad row among many good ones is copied to all blocks, and every good row meets it."""
+    rows = spark.range(400).selectExpr("id AS _id", "int(id != 7) AS label",
+                                       "transform(sequence(1, 18), k -> double(id % (k + 2))) AS x")
+    blocks = quality._blocks(rows, 399, 1).collect()
+    met = [np.frombuffer(b.good, bool) for b in blocks]
+    assert len(met) == 4 and sum(g.sum() for g in met) == 399 and all((~g).sum() == 1 for g in met)
+    assert sum((~np.frombuffer(b.good, bool) & np.frombuffer(b.own, bool)).sum() for b in blocks) == 1
+
+
 @pytest.mark.parametrize("operator", [quality, toxicity])
 def test_sampled_ids_give_one_text(spark, monkeypatch, operator):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)] + [(3, f"other {k}") for k in range(200)],
