@@ -191,12 +191,17 @@ def _run(base_key: str, columns: str, own_month_shift: bool = False):
     return query
 
 
+def _inputs_from(spark: SparkSession, sf_dir: str, first: dt.date) -> standins.Inputs:
+    """Inputs of several runs on the same tables, built once; ``first``: the earliest anchor day computed."""
+    return one_pass_inputs(_tables(spark, sf_dir), history_start(first))
+
+
 def slice_rewrite_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the March close twice into a fresh table; the stored rows."""
     target = scratch_path(spark, "forecast-table")
-    tables = _tables(spark, sf_dir)
-    run_day(spark, tables, BASES["mar"], target=target)
-    return run_day(spark, tables, BASES["mar"], target=target).select(*OUTPUT_COLUMNS)
+    inputs = _inputs_from(spark, sf_dir, run_window(BASES["mar"])[0])
+    run_day(spark, inputs, BASES["mar"], target=target)
+    return run_day(spark, inputs, BASES["mar"], target=target).select(*OUTPUT_COLUMNS)
 
 
 def close_two_months_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,9 +210,9 @@ def close_two_months_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     March's accuracy columns come from the stored February.
     """
     target = scratch_path(spark, "forecast-table")
-    tables = _tables(spark, sf_dir)
-    run_day(spark, tables, BASES["feb"], target=target)
-    run_day(spark, tables, BASES["mar"], target=target)
+    inputs = _inputs_from(spark, sf_dir, run_window(BASES["feb"])[0])
+    run_day(spark, inputs, BASES["feb"], target=target)
+    run_day(spark, inputs, BASES["mar"], target=target)
     return read_output(spark, target, OUTPUT_COLUMNS)
 
 

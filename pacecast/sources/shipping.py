@@ -38,9 +38,10 @@ def line_items(tables: TableSet, since: dt.date | None = None, until: dt.date |
     customer = tables.customer.select("c_custkey", F.col("c_nationkey").alias("_home"))
     supplier = tables.supplier.select("s_suppkey", F.col("s_nationkey").alias("_there"))
     price = money("l_extendedprice")
+    # customers meet the orders, of which there are fewer than line items
+    bought = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     return (filter_since(tables.lineitem, "l_shipdate", since, until)
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(bought, F.col("l_orderkey") == F.col("o_orderkey"), "left")
             .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
             .select(F.to_date("l_shipdate").alias("date"), F.col("l_linestatus").alias("status"),
                     entry_type_code().alias("type_code"),
@@ -101,9 +102,11 @@ def one_pass_inputs(tables: TableSet, since: dt.date | None = None, until: dt.da
                     scratch: list[str] | None = None) -> Inputs:
     """The inputs of ``standins.standin_inputs`` (forecast slices only), with lineitem read once.
 
-    The rows of :func:`shipping_days` are written here; their path is appended to ``scratch``.
+    The rows of :func:`shipping_days` and the hourly cube's slices are written here, so that several runs
+    on the same inputs build them once; their paths are appended to ``scratch``.
     """
     shipped = materialize(shipping_days(tables, since, until), "shipping-days", scratch)
     return Inputs(card_daily=card_report(shipped), entry_type_daily=entry_types(shipped),
                   fee_rows=fee_rows(tables.orders, since, until), acceptor_cube=cube_slices(shipped),
-                  hourly_cube=hourly_cube(tables.events, since, full=False, until=until))
+                  hourly_cube=materialize(hourly_cube(tables.events, since, full=False, until=until),
+                                          "hourly-slices", scratch))
