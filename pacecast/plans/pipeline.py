@@ -212,19 +212,25 @@ def backfill_in_pieces(spark: SparkSession, source: Source, first_base: str | dt
     A piece's rows and its ledger entry are one commit, so a backfill that broke off goes on
     with the first piece that its ``run`` (any name) has not finished; a new name does all pieces anew. The first
     piece computes the month before it in the same job, later ones read it from the table (the
-    columns they read don't depend on the look-back).
+    columns they read don't depend on the look-back). Stand-ins are built once for all pieces left.
     """
     lo, _ = run_window(first_base)
     _, hi = run_window(last_base)
     as_of = as_date(as_of) if as_of is not None else None
     finished = set(target.ledger())
-    for a, b in _pieces(lo, hi, months):
-        name = f"{run} [{a}, {b}) as_of={as_of} own_month_shift={own_month_shift}"
-        if name in finished:
-            continue
-        first = a == lo
-        since = history_start(py_add_months(a, -1) if first else a)
-        history = "self" if first else _history(spark, target, a, b)
-        _written(spark, target, a, b, lambda scratch, a=a, b=b, s=since, h=history: forecast_days(
-            spark, _inputs(source, s, as_of, scratch), a, b, h, own_month_shift, as_of, scratch), done=name)
+    shared: list[str] = []
+    inputs = None
+    try:
+        for a, b in _pieces(lo, hi, months):
+            name = f"{run} [{a}, {b}) as_of={as_of} own_month_shift={own_month_shift}"
+            if name in finished:
+                continue
+            first = a == lo
+            if inputs is None:  # of the earliest piece left, which reads furthest back
+                inputs = _inputs(source, history_start(py_add_months(a, -1) if first else a), as_of, shared)
+            history = "self" if first else _history(spark, target, a, b)
+            _written(spark, target, a, b, lambda scratch, a=a, b=b, h=history: forecast_days(
+                spark, inputs, a, b, h, own_month_shift, as_of, scratch), done=name)
+    finally:
+        remove_paths(spark, shared)
     return target.read(lo, hi).select(*OUTPUT_COLUMNS)

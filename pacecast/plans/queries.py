@@ -313,9 +313,10 @@ def committed_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_pieces_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backfill over February and March by months that goes on after its first piece."""
     target = CommittedTable(spark, scratch_path(spark, "forecast-commits"))
-    tables = _tables(spark, sf_dir)
-    backfill_in_pieces(spark, tables, BASES["feb"], BASES["feb"], target, run="q1")
-    return backfill_in_pieces(spark, tables, BASES["feb"], BASES["mar"], target, run="q1")
+    # the first piece computes the month before it, too
+    inputs = _inputs_from(spark, sf_dir, py_add_months(run_window(BASES["feb"])[0], -1))
+    backfill_in_pieces(spark, inputs, BASES["feb"], BASES["feb"], target, run="q1")
+    return backfill_in_pieces(spark, inputs, BASES["feb"], BASES["mar"], target, run="q1")
 
 
 #: The month end of the restating queries.

@@ -8,6 +8,7 @@ import pytest
 from conftest import SF_SMOKE
 
 from pacecast.operators.series import metric_series
+from pacecast.sources import shipping
 from pacecast.sources.shipping import one_pass_inputs, shipping_days
 from pacecast.sources.standins import standin_inputs
 from pacecast.sources.tables import TableSet
@@ -74,3 +75,24 @@ def test_lineitem_is_read_once(spark):
     assert not any(c in scan.split("ReadSchema:")[1] for c in ("l_partkey", "l_discount", "l_tax"))
     series = metric_series(spark, one_pass_inputs(tables, since), since)
     assert not scans(series, "lineitem") and len(scans(series, "orders")) == 1
+
+
+@pytest.mark.parametrize("name", ["backfill_pieces_resumed", "committed_two_months", "slice_rewrite_twice"])
+def test_runs_on_the_same_tables_build_the_facts_once(spark, monkeypatch, name):
+    from pacecast.plans import queries
+
+    built = []
+    monkeypatch.setattr(shipping, "shipping_days", lambda *a, plain=shipping.shipping_days: built.append(a) or plain(*a))
+    queries.registry()[name](spark, SF_SMOKE)
+    assert len(built) == 1
+
+
+def test_pieces_of_a_backfill_share_the_facts(spark, monkeypatch, tmp_path):
+    from pacecast.plans.pipeline import backfill_in_pieces
+    from pacecast.sources.commits import CommittedTable
+
+    built = []
+    monkeypatch.setattr(shipping, "shipping_days", lambda *a, plain=shipping.shipping_days: built.append(a) or plain(*a))
+    backfill_in_pieces(spark, TableSet(spark, SF_SMOKE), "1998-03-01", "1998-04-01",
+                       CommittedTable(spark, str(tmp_path / "t")), run="r")
+    assert len(built) == 1
