@@ -67,7 +67,10 @@ class Model:
 
 
 class Trie:
-    """Pieces as paths from node 0 over ``moves[node, byte]`` (0: none); ``piece[node]`` or -1."""
+    """Pieces as paths from node 0 over ``after(nodes, bytes)`` (0: none); ``piece[node]`` or -1.
+
+    Most nodes have one child or none: only a node with more has a row of its own.
+    """
 
     def __init__(self, pieces: tuple[bytes, ...]):
         nodes: dict[bytes, int] = {b"": 0}
@@ -78,14 +81,23 @@ class Trie:
                     nodes[p[:i]] = len(nodes)
                     steps.append((nodes[p[:i - 1]], p[i - 1], nodes[p[:i]]))
             piece[nodes[p]] = k
-        self.moves = np.zeros((len(nodes), 256), np.int32)
-        a, b, c = np.array(steps, np.int64).reshape(-1, 3).T
-        self.moves[a, b] = c
+        a, b, c = np.array(steps, np.int32).reshape(-1, 3).T
+        fork = np.bincount(a, minlength=len(nodes)) > 1
+        self.only, self.child = np.zeros(len(nodes), np.int32), np.zeros(len(nodes), np.int32)
+        single = ~fork[a]
+        self.only[a[single]], self.child[a[single]] = b[single], c[single]
+        self.row = np.where(fork, np.cumsum(fork), 0).astype(np.int32)
+        self.forks = np.zeros((fork.sum() + 1, 256), np.int32)
+        self.forks[self.row[a[~single]], b[~single]] = c[~single]
         self.piece = np.full(len(nodes), -1, np.int32)
         self.piece[list(piece)] = list(piece.values())
         self.number = {p: k for k, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=0)
 
+    def after(self, nodes: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
+        """The nodes that follow the given ones at the given bytes."""
+        return np.where(self.only[nodes] == bytes_, self.child[nodes], 0) + self.forks[self.row[nodes], bytes_]
+
 
 @lru_cache(maxsize=2)
 def _trie(pieces: tuple[bytes, ...]) -> Trie:
@@ -117,7 +129,7 @@ def _walks(trie: Trie, table: np.ndarray, i: int) -> Iterator[tuple[int, np.ndar
     rows = np.arange(len(table))
     state = np.zeros(len(table), np.int32)
     for j in range(i, table.shape[1]):
-        state = trie.moves[state, table[rows, j]]
+        state = trie.after(state, table[rows, j])
         alive = state > 0
         if not alive.all():
             rows, state = rows[alive], state[alive]
@@ -157,9 +169,10 @@ def _expect(model: Model, table: np.ndarray, times: np.ndarray, counts: np.ndarr
 
 def _matches(trie: Trie, word: bytes, i: int) -> Iterator[tuple[int, int]]:
     """(end, piece) of the pieces that start at byte i of a word."""
-    state, moves, piece = 0, trie.moves, trie.piece
+    state, piece, only, child, forks, row = 0, trie.piece, trie.only, trie.child, trie.forks, trie.row
     for j in range(i, len(word)):
-        state = moves[state, word[j]]
+        byte = word[j]
+        state = forks[row[state], byte] or (child[state] if only[state] == byte else 0)
         if not state:
             return
         if piece[state] >= 0:
@@ -222,6 +235,19 @@ def expected_uses(words: list[bytes], times: np.ndarray, model: Model) -> np.nda
 
 # ------------------------------------------------------------- the flow ------
 
+def _occurrences(numbers: np.ndarray, kinds: int) -> np.ndarray:
+    """How often each number below ``kinds`` occurs; counted in parts, as numpy counts on wide copies."""
+    out = np.zeros(kinds, np.int64)
+    for start in range(0, len(numbers), 1 << 18):
+        out += np.bincount(numbers[start:start + (1 << 18)], minlength=kinds)
+    return out
+
+
+def _as_one(values: pa.Array) -> pa.ListArray:
+    """One list of all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _sliced(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFrame:
     """One row per slice: its distinct words with training counts, and its documents."""
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(learn, F.lit(False)).alias("_learn"),
@@ -250,22 +276,22 @@ def _sliced(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataF
                 sizes[k] = len(words)
                 parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             name.update(repr(batch.column(0).to_pylist()).encode())
+            names = pa.array(list(number), pa.binary())
+            del number
             tokens = np.concatenate([*parts, np.zeros(0, np.int32)])
             del parts
             # frequent words get small numbers, which pack well
-            order = np.argsort(-np.bincount(tokens, minlength=len(number)), kind="stable")
-            place = np.empty(len(number), np.int32)
-            place[order] = np.arange(len(number), dtype=np.int32)
+            order = np.argsort(-_occurrences(tokens, len(names)), kind="stable")
+            place = np.empty(len(names), np.int32)
+            place[order] = np.arange(len(names), dtype=np.int32)
             tokens = place[tokens]
-            counts = np.bincount(tokens[np.repeat(np.array(learned, bool), sizes)], minlength=len(number))
-            names = list(number)
+            counts = _occurrences(tokens[np.repeat(np.array(learned, bool), sizes)], len(names))
+            packed = zstandard.compress(tokens, 1)
+            del tokens
             yield pa.RecordBatch.from_arrays([
-                pa.array([name.hexdigest()]),
-                pa.array([[names[k] for k in order.tolist()]], pa.list_(pa.binary())),
-                pa.array([counts], pa.list_(pa.int64())),
-                pa.array([batch.column(0).to_pylist()], pa.list_(batch.column(0).type)),
-                pa.array([learned], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int64())),
-                pa.array([zstandard.compress(tokens.tobytes(), 1)], pa.binary())],
+                pa.array([name.hexdigest()]), _as_one(names.take(pa.array(order))), _as_one(pa.array(counts)),
+                _as_one(batch.column(0)), _as_one(pa.array(learned, pa.bool_())), _as_one(pa.array(sizes)),
+                pa.array([packed], pa.binary())],
                 names=schema.names)
 
     return map_arrow(source, work, schema)
@@ -328,7 +354,7 @@ def score(docs: DataFrame, learn: Column, vocab_path: str, id_col: str = "doc_id
             logs = word_logs(batch["word"].to_pylist(), held.value)
             yield from batch.append_column("log", pa.array(logs)).to_batches(max_chunksize=50_000)
 
-    valued = stored(map_arrow(words, value, "word binary, c long, log double"), "lattice-values")
+    valued = map_arrow(words, value, "word binary, c long, log double")
     back = placed.drop("c").join(valued, "word").select(F.col("slice").alias("of"), "pos", "c", "log")
     id_type = docs.schema[id_col].dataType
     schema = StructType([
@@ -366,4 +392,6 @@ def score(docs: DataFrame, learn: Column, vocab_path: str, id_col: str = "doc_id
         return pa.concat_tables(out)
 
     ship(spark)
-    return sliced.groupBy("slice").cogroup(back.groupBy("of")).applyInArrow(total, schema)
+    # the words themselves have done their part: they need not go along
+    left = sliced.select("slice", "ids", "learned", "sizes", "tokens")
+    return left.groupBy("slice").cogroup(back.groupBy("of")).applyInArrow(total, schema)

@@ -1,15 +1,18 @@
 """Very long texts, the language stage's cases, gradients against differences, equal results under any partitioning."""
+import math
 import random
 import time
 import tracemalloc
 
 import helpers
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pacecast.llm import bpe, langid, mixing, pii, quality, toxicity
+from pacecast.llm import bpe, langid, lattice, mixing, pii, quality, toxicity
 
 
 # ------------------------------------------------------------ language stage ---
@@ -184,3 +187,33 @@ def test_mix_is_the_same_under_any_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert found[0] == found[1]
+
+
+# --------------------------------------------------------------- lattice -------
+
+def test_trie_is_compact_and_follows_every_piece():
+    model = lattice.initial_model(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    trie = model.trie
+    nodes = len(trie.piece)
+    assert sum(v.nbytes for v in vars(trie).values() if isinstance(v, np.ndarray)) < 256 * nodes
+    starts = {p[:i] for p in model.pieces for i in range(1, len(p) + 1)}
+    rng = random.Random(4)
+    for text in [*rng.sample(model.pieces, 500), *(rng.randbytes(3) for _ in range(200)), b"\x00\x00", b"a\x00"]:
+        state = np.zeros(1, np.int32)
+        for i, byte in enumerate(text):
+            state = trie.after(state, np.array([byte], np.uint8))
+            assert (state[0] > 0) == (text[:i + 1] in starts)
+            if not state[0]:
+                break
+            assert trie.piece[state[0]] == trie.number.get(text[:i + 1], -1)
+        ways = list(lattice._matches(trie, text, 0))
+        assert ways == [(i, trie.number[text[:i]]) for i in range(1, len(text) + 1) if text[:i] in trie.number]
+
+
+def test_words_of_a_slice_stay_behind_where_documents_are_summed(spark):
+    docs = spark.createDataFrame([(1, "one two two"), (2, None)], "doc_id long, text string")
+    out = lattice.score(docs, F.lit(True), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), rounds=0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    together = next(line for line in plan.split("\n") if "FlatMapCoGroupsInArrow" in line)
+    assert "words#" not in together and "counts#" not in together
+    assert sorted((r.doc_id, r.n_tokens, r.n_known) for r in out.collect()) == [(1, 4, 4), (2, 1, 1)]
