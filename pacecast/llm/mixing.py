@@ -6,8 +6,8 @@ those closest to one copy each in relative entropy are exponentially tilted:
 r_i = min(most, exp(lambda_k size_i / mean size_k)). The multipliers maximise a concave
 dual whose gradient is the constraint's residual; they are found by Newton steps,
 kept inside a bracket that the residual's sign narrows. A step needs two sums per
-source, taken over the counts of documents by (source, size), so a step costs
-one aggregation of that table and is distributed however large a source is.
+source, taken over the counts of documents by (source, size): windows of that table,
+which the steps of a job share one exchange and one small join for.
 
 Rates become copies by systematic rounding in the order of sizes: the running sum
 of rates, rounded down, goes up by a document's copies. Documents longer than ``LONG``
@@ -40,11 +40,16 @@ CORRECTIONS = 3
 SALTS = 32
 LONG = 2.0
 WEIGHTS = (3.0, 1.0, 2.0)
+#: What the words of ``WORD`` leave of a text.
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def words(text: Column) -> Column:
-    """Number of words of a text (null: 0)."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    """Number of words of a text (null: 0).
+
+    Each word becomes one letter, blanks go; ``regexp_count`` would hold a text's words as an array.
+    """
+    return F.coalesce(F.length(F.translate(F.regexp_replace(text, WORD, "w"), BLANKS, "")), F.lit(0)).cast("long")
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5,
@@ -97,28 +102,30 @@ def multipliers(sizes: DataFrame, sources: DataFrame, most: float = 2.0) -> Data
         F.when(above, 0.0).otherwise(-F.lit(1e6)).alias("_low"),
         F.when(above, math.log(most) * F.col("mean") / F.col("smallest")).otherwise(0.0).alias("_high"),
         F.lit(None).cast("double").alias("_residual"))
-    limit = F.lit(math.log(most))
+    limit, source = F.lit(math.log(most)), Window.partitionBy("source_key")
     for job in range(JOBS):
+        # one join a job; its steps follow each other on the rows of a source, without another exchange or broadcast
+        rows = sizes.select("source_key", "size", "n").join(state, "source_key")
         for _ in range(STEPS_A_JOB):
             tilt = F.col("lambda") * F.col("size") / F.col("mean")
             mass = F.col("n") * F.col("size") * _rate(F.col("lambda"), F.col("size"), F.col("mean"), most)
-            sums = (sizes.join(state, "source_key")
-                    .groupBy("source_key", "target", "mean", "lambda", "_low", "_high")
-                    .agg(F.sum(mass).alias("_mass"),
-                         F.sum(F.when(tilt < limit, mass * F.col("size") / F.col("mean")))
-                         .alias("_slope")))
+            sums = rows.withColumns({
+                "_mass": F.sum(mass).over(source),
+                "_slope": F.sum(F.when(tilt < limit, mass * F.col("size") / F.col("mean"))).over(source)})
             gap = F.col("_mass") - F.col("target")
             low = F.when(gap < 0, F.greatest("_low", "lambda")).otherwise(F.col("_low"))
             high = F.when(gap > 0, F.least("_high", "lambda")).otherwise(F.col("_high"))
             newton = F.col("lambda") - gap / F.col("_slope")
             inside = (newton >= low) & (newton <= high)
             done = F.abs(gap) <= TOLERANCE * F.col("target")
-            state = sums.select(
-                "source_key", "target", "mean",
+            rows = sums.select(
+                "source_key", "size", "n", "target", "mean",
                 F.when(done, F.col("lambda")).when(inside, newton).otherwise((low + high) / 2)
                 .alias("lambda"), low.alias("_low"), high.alias("_high"),
                 (F.abs(gap) / F.col("target")).alias("_residual"))
-        state = stored(state, "mixing-state")
+        # all rows of a source hold the same values
+        state = stored(rows.groupBy("source_key").agg(
+            *[F.max(c).alias(c) for c in ("target", "mean", "lambda", "_low", "_high", "_residual")]), "mixing-state")
         if (state.agg(F.max("_residual")).first()[0] or 0.0) <= TOLERANCE:
             break
     # sums of doubles depend on the order of rows in their last digits; the multiplier used doesn't

@@ -189,6 +189,37 @@ def test_mix_is_the_same_under_any_partitioning(spark):
     assert found[0] == found[1]
 
 
+def test_words_are_counted_without_an_array_of_them(spark):
+    texts = [None, "", " \t\n\x0b\x0c\r ", "w", "one", " two  words\n", "a\u00a0b \u2003 c", "\x1c\x85 x\x00y", "\U0001f600 \ufffd",
+             "$1 \\ w", "tab\tline\nfeed\x0bform\x0cend\r", "long " * 5_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(
+        "i", mixing.words(F.col("text")).alias("n"))
+    assert dict(frame.collect()) == {i: len((t or "").encode().split()) for i, t in enumerate(texts)}
+    assert "extract_all" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_newton_steps_of_a_job_share_one_join(spark, monkeypatch):
+    """A broadcast a step took a page of memory on every executor."""
+    joins, keep = [], mixing.stored
+
+    def stored(df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return keep(df, name)
+
+    monkeypatch.setattr(mixing, "stored", stored)
+    rows = [(s, k, 5 + k % 3) for s in ("1a", "1b") for k in range(1, 40)]
+    sizes = spark.createDataFrame(rows, "source_key string, size long, n long")
+    total = sum(k * n for s, k, n in rows if s == "1a")
+    mean = total / sum(n for s, _, n in rows if s == "1a")
+    sources = spark.createDataFrame([("1a", total, 1.5 * total, mean, 1), ("1b", total, 0.4 * total, mean, 1)],
+                                    "source_key string, source_size long, target double, mean double, smallest long")
+    solved = {r["source_key"]: r["lambda"] for r in mixing.multipliers(sizes, sources).collect()}
+    assert joins and max(joins) <= 1
+    for key, share in (("1a", 1.5), ("1b", 0.4)):
+        taken = sum(n * k * min(2.0, math.exp(solved[key] * k / mean)) for s, k, n in rows if s == key)
+        assert abs(taken - share * total) <= 1e-5 * share * total
+
+
 # --------------------------------------------------------------- lattice -------
 
 def test_trie_is_compact_and_follows_every_piece():
