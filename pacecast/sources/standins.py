@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.decimals import MONEY, money
+from ..operators.slices import cube_rows, users_by_day
 from ..session import materialize
 from .tables import TableSet
 
@@ -136,7 +137,7 @@ def acceptor_grouping_sets(full: bool) -> list[list[str]]:
     return sets
 
 
-def _spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+def _spread(df: DataFrame, tasks: int | None, *keys: str | Column) -> DataFrame:
     """Rows of a key in one partition. ``tasks`` is given where each row is then copied in place: by
     the shuffled bytes alone, partitions would be joined that are small before the copies are made."""
     return df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
@@ -204,7 +205,7 @@ def _active_days(masks: str) -> Column:
 
 
 def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_col: str,
-              sums: dict[str, str], tasks: int | None = None) -> DataFrame:
+              sums: dict[str, str], tasks: int, parts: int) -> DataFrame:
     """The grouping-set cube of :func:`_cube_with_month_to_date` at the grain of days.
 
     Additive figures and users are rolled up apart, both from aggregates instead of raw rows:
@@ -212,7 +213,8 @@ def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_co
     (month, members, user). A coarser slice's mask is the union of the finer ones, so a
     user is counted once per day and, on the mask's first day, once per month. Every step is
     aggregated before its shuffle, so neither a hot slice nor a hot user is one task's raw rows;
-    the masks of a (month, user) are rolled up in one partition, so their copies aren't shuffled.
+    the masks of a (month, user) are rolled up in one partition, in arrays, so their copies aren't shuffled.
+    ``tasks`` do that, and the users of a month are dealt in ``parts``.
     """
     structs = ", ".join(
         "named_struct(" + ", ".join(f"'{d}', CAST({d if d in s else ALL} AS INT)" for d in dims) + ")"
@@ -228,13 +230,10 @@ def _day_cube(detail: DataFrame, dims: list[str], sets: list[list[str]], user_co
     figures = (rolled(cells, ["date"], ["_tx", *[f"_s_{c}" for c in inputs]]).groupBy("date", *dims)
                .agg(F.sum("_tx").alias("tx_daily"), *[F.sum(f"_s_{c}").alias(n) for n, c in sums.items()]))
     masks = detail.groupBy("_month", *dims, user_col).agg(F.bit_or(day_bit()).alias("_mask"))
-    masks = (rolled(_spread(masks, tasks, "_month", user_col), ["_month", user_col], ["_mask"])
-             .groupBy("_month", *dims, user_col)
-             .agg(F.bit_or("_mask").alias("_mask")))
-    seen = masks.select("_month", *dims, "_mask", _active_days("_mask"))
-    users = (seen.groupBy("_month", "_day", *dims)
-             .agg(F.count(F.lit(1)).alias("users_daily"),
-                  F.count(F.expr("CASE WHEN _mask & (shiftleft(1, _day) - 1) = 0 THEN 1 END")).alias("_new"))
+    # a task holds few months, so that its counts are few
+    masks = _spread(masks, tasks, "_month", F.pmod(F.hash(user_col), F.lit(parts)))
+    users = (users_by_day(masks, "_month", dims, user_col, "_mask", sets, ALL).groupBy("_month", "_day", *dims)
+             .agg(F.sum("users").alias("users_daily"), F.sum("new").alias("_new"))
              .select(F.date_add("_month", F.col("_day")).alias("date"), *dims, "users_daily", "_new"))
     # both have one row per (day, slice): put beside each other with a grouping, which keeps null members
     both = figures.unionByName(users, allowMissingColumns=True)
@@ -317,16 +316,19 @@ def _flag_cube(detail: DataFrame) -> DataFrame:
 
 
 #: Rows of an acceptor and month from which they are dealt by users instead.
-HOT_ROWS = 1_000_000
-#: Detail rows of a task that makes eight copies of each.
+HOT_ROWS = 50_000
+#: Detail rows of a task that returns about eight rows of each.
 TASK_ROWS = 50_000
+#: Detail rows of a task that returns counts of users, and in how many parts of a month's users they come: enough
+#: for tasks of like size, few enough for counts of few months.
+COUNT_ROWS, COUNT_PARTS = 200_000, 8
 
 
 def _acceptor_day_cube(detail: DataFrame, scratch: list[str] | None = None) -> DataFrame:
     """All 16 grouping sets of the acceptor cube, by day.
 
     The eight with the acceptor have about a row per detail row each. They are made where the rows of
-    an acceptor and month lie, after one shuffle of the detail. The rows of acceptors with more than
+    an acceptor and month lie, after one shuffle of the detail, in arrays. The rows of acceptors with more than
     ``HOT_ROWS`` of them in a month, and the sets with all acceptors, have few slices a day for their
     rows: they are rolled up by users. ``detail`` is read several times and hence stored first.
     """
@@ -335,21 +337,32 @@ def _acceptor_day_cube(detail: DataFrame, scratch: list[str] | None = None) -> D
     sets = acceptor_grouping_sets(True)
     user, sums = "o_custkey", {"net_volume_daily": "net"}
     by_month = ["_month", acceptor]
-    tasks = -(-detail.count() // TASK_ROWS) or 1
-    hot = materialize(detail.groupBy(*by_month).count().where(F.col("count") > HOT_ROWS).select(*by_month),
-                      "hot-acceptors", scratch)
+    rows, months = detail.agg(F.count(F.lit(1)), F.count_distinct("_month")).first()
+    counting = -(-rows // COUNT_ROWS) or 1
+    dealt = (counting, -(-COUNT_PARTS * counting // (months or 1)))
+
+    def hot(rows: DataFrame, *keys: str) -> DataFrame:
+        return F.broadcast(rows.groupBy(*keys).count().where(F.col("count") > HOT_ROWS).select(*keys))
+
+    # few acceptors have so many rows at all, and months are only counted of them
+    hot_months = materialize(hot(detail.join(hot(detail, acceptor), acceptor, "left_semi"), *by_month)
+                             .toDF("_hot_month", "_hot"), "hot-acceptors", scratch)
+    is_hot = F.col("_month").eqNullSafe(F.col("_hot_month")) & (F.col(acceptor) == F.col("_hot"))
     parts = [_day_cube(detail.withColumn(acceptor, F.lit(ALL)), ACCEPTOR_DIMS,
-                       [s for s in sets if acceptor not in s], user, sums, tasks)]
+                       [s for s in sets if acceptor not in s], user, sums, *dealt)]
     rest = detail
-    if not hot.isEmpty():
-        rest = detail.join(F.broadcast(hot), by_month, "left_anti")
-        parts.append(_day_cube(detail.join(F.broadcast(hot), by_month, "left_semi"), ACCEPTOR_DIMS,
-                               [s for s in sets if acceptor in s], user, sums, tasks))
-    own = _cube_with_month_to_date(rest.withColumn("_tx", F.lit(1)), "date", dims,
-                                   [s[1:] for s in sets if acceptor in s], user, sums, [acceptor], by_month, tasks)
-    # users of rows without a day aren't counted, here as in _day_cube
-    out = own.withColumn("users_daily", F.when(F.col("date").isNotNull(), F.col("users_daily")))
-    out = out.select(*parts[0].columns)
+    if not hot_months.isEmpty():
+        rest = detail.join(F.broadcast(hot_months), is_hot, "left_anti")
+        parts.append(_day_cube(detail.join(F.broadcast(hot_months), is_hot, "left_semi"), ACCEPTOR_DIMS,
+                               [s for s in sets if acceptor in s], user, sums, *dealt))
+    rolled = cube_rows(by_month, "date", dims, user, "net", [s[1:] for s in sets if acceptor in s], ALL)
+    own = _spread(rest, -(-rows // TASK_ROWS) or 1, *by_month).select(acceptor, rolled.alias("_rows"))
+    # not ``inline``, for which Spark filters by the array's size, even before the rows are dealt
+    own = own.select(acceptor, F.inline_outer("_rows")).where("rows IS NOT NULL")
+    out = own.select(
+        "date", *ACCEPTOR_DIMS, F.col("users").alias("users_daily"), F.col("users_to_date").alias("users_mtd"),
+        F.col("rows").alias("tx_daily"), F.col("rows_to_date").alias("tx_mtd"),
+        F.col("value").cast(MONEY).alias("net_volume_daily"), F.col("value_to_date").cast(MONEY).alias("net_volume_mtd"))
     for part in parts:
         out = out.unionByName(part)
     return out

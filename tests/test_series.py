@@ -255,3 +255,66 @@ def test_acceptor_cube_copies_are_not_shuffled(spark):
     cube = acceptor_cube(*_cube_tables(spark, [("2024-01-30", 1, 1, "F", "N", 1), ("2024-01-31", 2, 2, "O", "R", 2)]))
     own = cube._jdf.queryExecution().executedPlan().toString().split("Union")[1]
     assert "Exchange" not in own[:own.index("Generate")]
+
+
+def _cube_of(spark, rows):
+    """All 16 sets of detail rows (day, acceptor, category, abroad, offline, customer, net), as made by windows."""
+    from pyspark.sql import functions as F
+
+    from pacecast.sources import standins
+
+    detail = spark.createDataFrame(rows, "date date, acceptor_id int, category_id int, is_abroad int, is_offline int, "
+                                         "o_custkey long, net decimal(20,2)").withColumn("_month", F.trunc("date", "MM"))
+    want = standins._cube_with_month_to_date(
+        detail.withColumn("_tx", F.lit(1)), "date", standins.ACCEPTOR_DIMS, standins.acceptor_grouping_sets(True),
+        "o_custkey", {"net_volume_daily": "net"}, [], ["_month", "o_custkey"])
+    return detail, want.withColumn("users_daily", F.when(F.col("date").isNotNull(), F.col("users_daily")))
+
+
+def test_cube_in_arrays_matches_windows(spark, monkeypatch):
+    """Null days, members, users and nets, sums beyond a long, customers of several rows a day; in many blocks."""
+    from pacecast.operators import slices
+    from pacecast.sources import standins
+
+    chance = random.Random(11)
+    days = [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.date(2024, 2, 29), None]
+    nets = [D("0.01"), D("-2.50"), D("9999999999999999.99"), D("-999999999999999.99"), None]
+    rows = [(chance.choice(days), chance.choice([1, 2, standins.ALL, -7]), chance.choice([1, 5, None]), chance.choice([0, 1, None]),
+             chance.choice([0, 1, None]), chance.choice([3, 4, 5, 2 ** 40, None]), chance.choice(nets)) for _ in range(400)]
+    rows.append((days[0], 1, 1, 0, 0, 3, D("123456789012345678.91")))
+    detail, want = _cube_of(spark, rows)
+    monkeypatch.setattr(slices, "BLOCK_ROWS", 32)
+    for hot_rows, task_rows in ((standins.HOT_ROWS, 50), (10, 1000)):
+        monkeypatch.setattr(standins, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(standins, "TASK_ROWS", task_rows)
+        got = standins._acceptor_day_cube(detail.drop("_month"))
+        # supplier 10000 shares its key with "all" but has rows of its own
+        assert sorted(map(str, got.where("acceptor_id <> 10000").collect())) == sorted(
+            map(str, want.where("acceptor_id <> 10000").select(*got.columns).collect()))
+        others = [r for r in rows if r[1] != standins.ALL]
+        alone, expected = _cube_of(spark, others)
+        assert sorted(map(str, standins._acceptor_day_cube(alone.drop("_month")).collect())) == sorted(
+            map(str, expected.select(*got.columns).collect()))
+
+
+def test_acceptor_cube_is_rolled_up_without_rows_per_copy(spark):
+    """No copy of a row is a Spark row that is sorted or aggregated; filters by acceptor reach the stored detail."""
+    from pyspark.sql import functions as F
+
+    from pacecast.sources import standins
+
+    chance = random.Random(3)
+    rows = [(chance.choice(["2024-01-30", "2024-02-01"]), chance.choice([1, 2]), chance.randrange(4), chance.choice("FO"),
+             "N", chance.randrange(1, 9)) for _ in range(40)]
+    cube = standins.acceptor_cube(*_cube_tables(spark, rows), full=True)
+    all_rows = cube.collect()
+    assert cube.count() == len(all_rows) == cube.groupBy().agg(F.count("users_daily")).first()[0]
+    plan = cube._jdf.queryExecution().optimizedPlan().toString()
+    own = [l for l in plan.split("\n") if l.startswith(":")]  # the first of the union's parts
+    assert not any(word in l for l in own for word in ("Sort", "Aggregate", "Window"))
+    assert sum("ArrowEvalPython" in l for l in own) == 1
+    assert "lambdafunction" not in plan
+    one = cube.where("acceptor_id = 1")
+    assert sorted(map(str, one.collect())) == sorted(str(r) for r in all_rows if r["acceptor_id"] == 1)
+    scans = [l for l in one._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in l]
+    assert any("acceptor_id" in l.split("PushedFilters")[1] and "EqualTo(acceptor_id,1)" in l for l in scans)
